@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import rounded, unmark
 from basketry.operators.similarity import profile_vectors, profiles, shared_pairs
+from basketry.session import materialise
 
 
 def customer_product_matrix(sales: DataFrame) -> DataFrame:
@@ -32,8 +33,8 @@ def customer_cosine(matrix: DataFrame, min_cosine: float = 0.1, limit: int = 200
 
     Both columns name profiles (the least customer of a group with equal purchases) with their
     number of members. A profile of several customers is also paired with itself, at 1."""
-    triples = _triples(matrix, "CustomerKey", "ProductKey")
-    members = profiles(triples)
+    triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
+    members = materialise(profiles(triples), "profiles")
     pairs = shared_pairs(profile_vectors(triples, members), min_cosine=min_cosine, limit=limit)
     sizes = members.filter("entity = profile").select("profile", "members")
     named = pairs.join(sizes.toDF("a", "members_a"), "a").join(sizes.toDF("b", "members_b"), "b")
@@ -61,8 +62,8 @@ def recommend_top_n(
 
     The score is the sum over the neighbours of cosine times orders. Customers with equal purchases
     have the same neighbours and get the same products, so the work is done per profile."""
-    triples = _triples(matrix, "CustomerKey", "ProductKey")
-    members = profiles(triples)
+    triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
+    members = materialise(profiles(triples), "profiles")
     vectors = profile_vectors(triples, members)
     pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
     both_ways = pairs.select("a", "b", "cosine").unionByName(
@@ -119,10 +120,11 @@ def content_similar(products: DataFrame, min_cosine: float = 0.8, limit: int = 2
     frequency = tokens.groupBy("token").agg(F.count("*").alias("df"))
     weight = F.ln((n + 1.0) / (F.col("df").cast("double") + 1.0))
     weights = frequency.select("token", weight.alias("weight")).filter("weight > 0")
-    triples = tokens.join(weights, "token").select(
+    weighted = tokens.join(weights, "token").select(
         F.col("ProductKey").alias("entity"), F.col("token").alias("feature"), "weight"
     )
-    members = profiles(triples)
+    triples = materialise(weighted, "triples")
+    members = materialise(profiles(triples), "profiles")
     pairs = shared_pairs(profile_vectors(triples, members), min_cosine=min_cosine, limit=limit)
     sizes = members.filter("entity = profile").select("profile", "members")
     named = pairs.join(sizes.toDF("a", "members_a"), "a").join(sizes.toDF("b", "members_b"), "b")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import rounded
+from basketry.session import materialise
 
 _SLACK = 1.0 - 1e-9
 
@@ -48,7 +49,9 @@ def shared_pairs(
     parts = marked.groupBy("entity").agg(
         F.sum(w2).alias("n"), F.sum(F.when(F.col("size").isNotNull(), w2).otherwise(F.lit(0))).alias("h")
     )
-    vectors = marked.join(parts, "entity")
+    # Every branch below reads the marked vectors: written once, they are not computed per branch.
+    vectors = materialise(marked.join(parts, "entity"), "vectors")
+    any_heavy = not vectors.filter("size IS NOT NULL").isEmpty()
 
     def norm(x: str, y: str) -> Column:
         return F.sqrt(F.col(x).cast("double") * F.col(y).cast("double"))
@@ -62,15 +65,22 @@ def shared_pairs(
         reach = norm("ha", "hb")
         strong = F.col("h").cast("double") >= F.col("n").cast("double") * (float(min_cosine) ** 2) * _SLACK
 
-    light = _expand(vectors.filter("size IS NULL"), ["feature"])
-    strong_heavy = vectors.filter(F.col("size").isNotNull() & strong)
-    heavy = _expand_in_blocks(strong_heavy, limit)
-    found = (
-        light.unionByName(heavy)
-        .groupBy("a", "b")
-        .agg(F.sum("dot").alias("dot"), *[F.max(c).alias(c) for c in ("na", "nb", "ha", "hb", "sa", "sb")])
+    shared = _expand(vectors.filter("size IS NULL"), ["feature"])
+    if any_heavy:
+        strong_heavy = vectors.filter(F.col("size").isNotNull() & strong)
+        shared = shared.unionByName(_expand_in_blocks(strong_heavy, limit))
+    found = shared.groupBy("a", "b").agg(
+        F.sum("dot").alias("dot"), *[F.max(c).alias(c) for c in ("na", "nb", "ha", "hb", "sa", "sb")]
     )
+    pairs = _finish(materialise(found, "pairs"), vectors, reach, need) if any_heavy else found
+    if min_count is not None:
+        return pairs.filter(F.col("dot") >= min_count).select("a", "b", "dot")
+    cosine = rounded(F.col("dot").cast("double") / norm("na", "nb"), 6)
+    return pairs.withColumn("cosine", cosine).filter(F.col("cosine") >= min_cosine).select("a", "b", "dot", "cosine")
 
+
+def _finish(found: DataFrame, vectors: DataFrame, reach: Column, need: Column) -> DataFrame:
+    """Add the heavy part to the pairs that miss it and can still reach the threshold."""
     # Complete: no heavy part on one side, or both strong, so that the heavy join saw the pair.
     complete = (F.col("ha") == 0) | (F.col("hb") == 0) | (F.col("sa") & F.col("sb"))
     short = found.filter(~complete & (F.col("dot") + reach >= need * _SLACK))
@@ -85,11 +95,7 @@ def shared_pairs(
         .agg(F.sum(F.col("wa") * F.col("wb")).alias("more"))
     )
     finished = short.join(rest, ["a", "b"], "left").withColumn("dot", F.col("dot") + F.coalesce("more", F.lit(0)))
-    pairs = found.filter(complete).unionByName(finished.drop("more"))
-    if min_count is not None:
-        return pairs.filter(F.col("dot") >= min_count).select("a", "b", "dot")
-    cosine = rounded(F.col("dot").cast("double") / norm("na", "nb"), 6)
-    return pairs.withColumn("cosine", cosine).filter(F.col("cosine") >= min_cosine).select("a", "b", "dot", "cosine")
+    return found.filter(complete).unionByName(finished.drop("more"))
 
 
 def _side(df: DataFrame, name: str, on: list[str], strong: Column) -> DataFrame:
