@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import plain_code, strip, tidy_text, to_day, to_money, to_whole
+from basketry.session import materialise
 from basketry.sources.delimited import ORDINAL
 from basketry.specs import (
     CUSTOMER,
@@ -118,22 +119,27 @@ def cast_entity(df: DataFrame, spec: EntitySpec) -> DataFrame:
 # ---- referential integrity ------------------------------------------------------------------
 
 
-def parent_keys(parent: DataFrame, key: str, flag: str) -> DataFrame:
-    keys = parent.select(strip(key).alias(f"{flag}_key")).filter(F.col(f"{flag}_key").isNotNull())
-    return keys.distinct().withColumn(flag, F.lit(True))
+def orphan_keys(child: DataFrame, fk: ForeignKey) -> DataFrame:
+    """Distinct child keys without parent, stored.
 
+    Only the key columns move, and equal child keys are merged before they do. What remains is
+    usually small; being a stored table its size is known, so the join that marks the child rows
+    broadcasts it when it is under the session's threshold and shuffles when it is not. The wide
+    child rows are not shuffled for the check, and a hot key costs nothing."""
+    keys = child.select(strip(fk.column).alias("_key")).filter("_key IS NOT NULL").distinct()
+    parents = fk.parent.select(strip(fk.parent_key).alias("_key"))
+    orphans = keys.filter(F.col("_key") != UNKNOWN_KEY).join(parents, "_key", "left_anti")
+    return materialise(orphans, "orphans")
 
-def flag_orphans(df: DataFrame, fk: ForeignKey, flag: str) -> DataFrame:
-    """Add ``flag``: true where the key has no parent. The unknown key is always valid.
 
-    Parent keys are unique, so the join adds no rows. Which side is broadcast is left to the
-    measured sizes; a hot key on the child side is split by adaptive execution.
-    """
-    matched = df.join(
-        parent_keys(fk.parent, fk.parent_key, flag), strip(fk.column) == F.col(f"{flag}_key"), "left"
-    )
-    found = F.coalesce(F.col(flag), strip(fk.column) == UNKNOWN_KEY, F.lit(False))
-    return matched.withColumn(flag, ~found).drop(f"{flag}_key")
+def flag_orphans(df: DataFrame, fk: ForeignKey, flag: str, keys_from: DataFrame | None = None) -> DataFrame:
+    """Add ``flag``: true where the key is null or has no parent. The unknown key is always valid.
+
+    ``keys_from`` may name a table with the same keys that is cheaper to read than ``df``."""
+    orphans = orphan_keys(df if keys_from is None else keys_from, fk).withColumn("_found", F.lit(True))
+    marked = df.join(orphans, strip(fk.column) == F.col("_key"), "left")
+    flagged = F.col(fk.column).isNull() | F.coalesce("_found", F.lit(False))
+    return marked.withColumn(flag, flagged).drop("_key", "_found")
 
 
 def map_orphans(df: DataFrame, fk: ForeignKey) -> DataFrame:
@@ -145,8 +151,7 @@ def map_orphans(df: DataFrame, fk: ForeignKey) -> DataFrame:
 
 
 def drop_orphans(df: DataFrame, fk: ForeignKey) -> DataFrame:
-    keys = parent_keys(fk.parent, fk.parent_key, "_parent").drop("_parent")
-    return df.join(keys, strip(fk.column) == F.col("_parent_key"), "left_semi")
+    return flag_orphans(df, fk, "_orphan").filter(~F.col("_orphan")).drop("_orphan")
 
 
 def with_unknown_member(df: DataFrame, key: str) -> DataFrame:
@@ -180,7 +185,7 @@ def flag_entity(
     keyed = reduce(and_, [F.col(k).isNotNull() for k in spec.keys])
     rows = rows.withColumn(KEYED, keyed).withColumn(RULED, rules_hold(spec.rules, rows.columns))
     for fk in foreign_keys:
-        rows = flag_orphans(rows, fk, f"_orphan_{fk.column}")
+        rows = flag_orphans(rows, fk, f"_orphan_{fk.column}", keys_from=df)
         if use_unknown and fk.orphan == "map":
             replaced = F.when(F.col(f"_orphan_{fk.column}"), F.lit(UNKNOWN_KEY))
             rows = rows.withColumn(fk.column, replaced.otherwise(F.col(fk.column)))
@@ -298,7 +303,7 @@ def clean_invoice(raw: DataFrame, header: DataFrame, use_unknown: bool = True) -
 
 
 def clean_all(raw: dict[str, DataFrame], use_unknown: bool = True) -> dict[str, Cleaned]:
-    """All entities in dependency order, as lazy plans."""
+    """All entities in dependency order. Rows and counts are lazy; only the orphan keys are computed."""
     done = {s.name: clean_dimension(raw[s.name], s) for s in (REGION, SECTOR, CUSTOMER, SELLER, PRODUCT)}
     header = clean_sales_header(raw["SalesHeader"], done["Customer"].rows, done["Seller"].rows, use_unknown)
     done["SalesHeader"] = header

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MONEY, date_key, strip
+from basketry.operators.cleaning import keep_first
 from basketry.operators.dimensions import code_or_unknown
 
 MONTH = "order_month"
@@ -25,10 +26,13 @@ def sale_number(c: str) -> Column:
     return F.coalesce(F.col(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def resolved_headers(header: DataFrame, dim_customer: DataFrame, dim_seller: DataFrame) -> DataFrame:
-    """Headers with their keys. Customers and sellers are looked up here, at header grain, where
-    there are several times fewer rows than lines; headers that cannot resolve go no further."""
-    rows = header.dropDuplicates(["saleid"]) if "_copies" in header.columns else header
+def sale_keys(header: DataFrame, dim_customer: DataFrame, dim_seller: DataFrame) -> DataFrame:
+    """Headers as both facts need them: one per sale, keys looked up, dates as keys.
+
+    Customers and sellers are looked up here, at header grain, where there are several times fewer
+    rows than lines. Store the result before the facts are joined: their joins then have a plain
+    shuffle on either side, which is what adaptive execution can split when one sale is hot."""
+    rows = keep_first(header, ["saleid"])
     rows = look_up(rows, strip("accountid"), dim_customer, "AccountID", "CustomerKey")
     rows = look_up(rows, strip("sellerid"), dim_seller, "SellerID", "SellerKey")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast(MONEY)
@@ -69,19 +73,10 @@ FACT_MEASURES = [
 ]
 
 
-def fact_sales(
-    header: DataFrame,
-    line: DataFrame,
-    dim_customer: DataFrame,
-    dim_seller: DataFrame,
-    dim_product: DataFrame,
-    dim_promotion: DataFrame,
-) -> DataFrame:
-    """Sales at line grain. The only large shuffle is the join of lines and headers on the sale;
-    rows with a key that does not resolve are dropped before it where the key is known."""
-    headers = resolved_headers(header, dim_customer, dim_seller).na.drop(
-        subset=["OrderDateKey", "DeliveryDateKey", "CustomerKey", "SellerKey"]
-    )
+def fact_sales(sales: DataFrame, line: DataFrame, dim_product: DataFrame, dim_promotion: DataFrame) -> DataFrame:
+    """Sales at line grain; ``sales`` are the stored ``sale_keys``. The only large shuffle is the
+    join of lines and sales; rows with a key that does not resolve are dropped before it."""
+    headers = sales.na.drop(subset=["OrderDateKey", "DeliveryDateKey", "CustomerKey", "SellerKey"])
     lines = line_measures(line)
     lines = look_up(lines, strip("itemid"), dim_product, "ItemID", "ProductKey")
     lines = look_up(lines, code_or_unknown("promotype"), dim_promotion, "PromoType", "PromotionKey")
@@ -95,20 +90,17 @@ def fact_sales(
     )
 
 
-def fact_invoices(
-    invoice: DataFrame, header: DataFrame, dim_customer: DataFrame, dim_payment: DataFrame
-) -> DataFrame:
-    """Invoices with the customer and order date of their sale; those that do not resolve are dropped."""
-    sales = header.select(
-        F.col("saleid").try_cast("bigint").alias("SaleID"), "accountid", date_key("orderdate").alias("PaymentDateKey")
-    ).na.drop(subset=["SaleID", "accountid", "PaymentDateKey"])
-    sales = look_up(sales, strip("accountid"), dim_customer, "AccountID", "CustomerKey")
-    sales = sales.filter("CustomerKey IS NOT NULL").drop("accountid")
+def fact_invoices(invoice: DataFrame, sales: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """Invoices with the customer and order date of their sale; those that do not resolve are dropped.
+    ``sales`` are the stored ``sale_keys``."""
+    known = sales.select(
+        F.col("saleid").try_cast("bigint").alias("SaleID"), "CustomerKey", F.col("OrderDateKey").alias("PaymentDateKey")
+    ).na.drop()
     rows = invoice.withColumn("SaleID", F.col("salesid").try_cast("bigint")).filter("SaleID IS NOT NULL")
     rows = look_up(rows, code_or_unknown("paymentmethod"), dim_payment, "PaymentMethodCode", "PaymentMethodKey")
     return (
         rows.filter("PaymentMethodKey IS NOT NULL")
-        .join(sales, "SaleID")
+        .join(known, "SaleID")
         .select(
             F.monotonically_increasing_id().alias("InvoiceKey"),
             F.col("invoiceid").alias("InvoiceID"),

@@ -473,11 +473,12 @@ def retention_new_returning(sales: DataFrame) -> DataFrame:
 
 
 def loyal_customers(sales: DataFrame, months: int = 3) -> DataFrame:
-    """Customers with an order in each of the last ``months`` months."""
-    last = sales.agg(F.max(F.floor(F.col("OrderDateKey") / 100))).scalar()
-    index = lambda k: F.floor(k / 100) * 12 + k % 100
-    recent = _active_months(sales).filter(index(F.col("year_month")) > index(last) - months)
+    """Customers with an order in each of the last ``months`` whole months. The month the data end
+    in counts only if they reach its last day."""
+    latest = date_from_key(sales.agg(F.max("OrderDateKey")).scalar())
+    whole = F.when(latest == F.last_day(latest), latest).otherwise(F.add_months(latest, -1))
+    last = F.year(whole) * 12 + F.month(whole)
+    index = F.floor(F.col("year_month") / 100) * 12 + F.col("year_month") % 100
+    recent = _active_months(sales).filter((index > last - months) & (index <= last))
     counted = recent.groupBy("CustomerKey").agg(F.count("*").alias("months_active"))
     return counted.filter(F.col("months_active") == months)
-
-

@@ -275,7 +275,7 @@ B["rules"] = f"""SELECT * FROM (SELECT ante AS antecedent, cons AS consequent, {
       UNION ALL SELECT t.item_a || ',' || t.item_c, CAST(t.item_b AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_a AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_b
       UNION ALL SELECT t.item_b || ',' || t.item_c, CAST(t.item_a AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_b AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_a), orders_n)
     WHERE conf_exact >= 0.05 AND lift_exact > 1"""
-B["matrix"] = """SELECT CustomerKey, ProductKey, sum(Quantity) AS quantity, count(DISTINCT SaleID) AS orders FROM fact_sales GROUP BY ALL"""
+B["matrix"] = """SELECT CustomerKey, ProductKey, CAST(sum(Quantity) AS BIGINT) AS quantity, count(DISTINCT SaleID) AS orders FROM fact_sales GROUP BY ALL"""
 
 
 def _cosine(table: str, entity: str, feature: str, weight: str = "orders") -> str:
@@ -564,7 +564,7 @@ S["key_overlap"] = """SELECT min(f) AS fact_min, max(f) AS fact_max, min(d) AS d
     count(*) FILTER (f IS NOT NULL AND d IS NOT NULL) AS common_keys, count(*) FILTER (d IS NULL) AS orphan_keys
     FROM (SELECT DISTINCT CustomerKey AS f FROM fact_sales) FULL JOIN (SELECT CustomerKey AS d FROM named_dim) ON f = d"""
 _COUNTS = " UNION ALL ".join(f'SELECT \'{n}\' AS "table", count(*) AS rows FROM {t}' for n, t in RAW.items())
-S["table_row_counts"] = f"{_COUNTS} UNION ALL SELECT 'TOTAL', sum(rows) FROM ({_COUNTS})"
+S["table_row_counts"] = f"{_COUNTS} UNION ALL SELECT 'TOTAL', CAST(sum(rows) AS BIGINT) FROM ({_COUNTS})"
 S["anonymous_names_top"] = "SELECT AccountName FROM dim_customer WHERE AccountName LIKE 'CLIENT_%' ORDER BY AccountName LIMIT 20"
 S["anonymous_names_count"] = """SELECT count(*) FILTER (AccountName LIKE 'CLIENT_%') AS by_pattern, count(*) FILTER (left(AccountName, 7) = 'CLIENT_') AS by_prefix FROM dim_customer"""
 
@@ -592,8 +592,8 @@ S["monthly_peaks"] = f"""SELECT m AS year_month, {num('r')} AS revenue, (SELECT
     FROM (SELECT OrderDateKey // 100 AS m, {_REV} AS r FROM fact_sales GROUP BY 1) ORDER BY r DESC, m LIMIT 3"""
 for _by, _name in (("r", "top_products_revenue"), ("qty", "top_products_qty")):
     S[_name] = f"""SELECT ItemID, ProductName, CASE WHEN length(ProductName) > 32 THEN substr(ProductName, 1, 32) || '…' ELSE ProductName END AS label, {num('r')} AS revenue, qty
-    FROM (SELECT ItemID, ProductName, {_REV} AS r, sum(Quantity) AS qty FROM fact_sales JOIN dim_product USING (ProductKey) GROUP BY ALL) WHERE ProductName IS NOT NULL ORDER BY {_by} DESC, ItemID LIMIT 15"""
-S["top_items_qty_raw"] = """SELECT t.itemid, t.qty, p.name, p.marque FROM (SELECT itemid, sum(qty) AS qty FROM typed_line GROUP BY itemid ORDER BY 2 DESC, 1 LIMIT 15) t LEFT JOIN clean_product p ON p.itemid = t.itemid"""
+    FROM (SELECT ItemID, ProductName, {_REV} AS r, CAST(sum(Quantity) AS BIGINT) AS qty FROM fact_sales JOIN dim_product USING (ProductKey) GROUP BY ALL) WHERE ProductName IS NOT NULL ORDER BY {_by} DESC, ItemID LIMIT 15"""
+S["top_items_qty_raw"] = """SELECT t.itemid, t.qty, p.name, p.marque FROM (SELECT itemid, CAST(sum(qty) AS BIGINT) AS qty FROM typed_line GROUP BY itemid ORDER BY 2 DESC, 1 LIMIT 15) t LEFT JOIN clean_product p ON p.itemid = t.itemid"""
 S["short_name"] = "SELECT ItemID, CASE WHEN length(ProductName) > 8 THEN substr(ProductName, 1, 8) || '…' ELSE ProductName END AS label FROM dim_product"
 S["top_brands"] = f"""SELECT Brand, {num('r')} AS revenue FROM (SELECT Brand, {_REV} AS r FROM fact_sales JOIN dim_product USING (ProductKey)
     WHERE Brand IS NOT NULL AND Brand NOT IN ('', 'Unknown', 'nan') GROUP BY Brand) ORDER BY r DESC, Brand LIMIT 10"""
@@ -626,8 +626,8 @@ S["seller_rank_outliers"] = f"""WITH t AS (SELECT SellerKey, {num('r')} AS reven
     {', '.join(f'CASE WHEN {m} < {m}_q1 - ({m}_q3 - {m}_q1) * 1.5 OR {m} > {m}_q3 + ({m}_q3 - {m}_q1) * 1.5 THEN 1 ELSE 0 END AS {m}_outlier' for m in _MEASURES)},
     SellerID, SellerName FROM t LEFT JOIN dim_seller USING (SellerKey), q"""
 _PLAIN = "PromoType = 'No Promotion'"
-S["promo_vs_no_promo"] = f"""SELECT ItemID, count(*) FILTER (NOT {_PLAIN}) AS lines_promo, count(*) FILTER ({_PLAIN}) AS lines_plain, coalesce(sum(Quantity) FILTER (NOT {_PLAIN}), 0) AS qty_promo,
-    coalesce(sum(Quantity) FILTER ({_PLAIN}), 0) AS qty_plain, {num(f'coalesce(sum(LineTotalAmount) FILTER (NOT {_PLAIN}), 0)')} AS revenue_promo, {num(f'coalesce(sum(LineTotalAmount) FILTER ({_PLAIN}), 0)')} AS revenue_plain
+S["promo_vs_no_promo"] = f"""SELECT ItemID, count(*) FILTER (NOT {_PLAIN}) AS lines_promo, count(*) FILTER ({_PLAIN}) AS lines_plain, CAST(coalesce(sum(Quantity) FILTER (NOT {_PLAIN}), 0) AS BIGINT) AS qty_promo,
+    CAST(coalesce(sum(Quantity) FILTER ({_PLAIN}), 0) AS BIGINT) AS qty_plain, {num(f'coalesce(sum(LineTotalAmount) FILTER (NOT {_PLAIN}), 0)')} AS revenue_promo, {num(f'coalesce(sum(LineTotalAmount) FILTER ({_PLAIN}), 0)')} AS revenue_plain
     FROM fact_sales JOIN dim_promotion USING (PromotionKey) JOIN dim_product USING (ProductKey) GROUP BY ItemID"""
 S["promo_response_by_segment"] = f"""SELECT Segment, PromoType, lines, {share('lines', 'sum(lines) OVER (PARTITION BY Segment)')} AS lines_pct, {num('r')} AS revenue, {share('r', 'sum(r) OVER (PARTITION BY Segment)')} AS revenue_pct
     FROM (SELECT Segment, PromoType, count(*) AS lines, {_REV} AS r FROM fact_sales JOIN rfm USING (CustomerKey) JOIN dim_promotion USING (PromotionKey) GROUP BY ALL)"""
@@ -644,8 +644,9 @@ S["customer_payment_balance"] = f"""SELECT CustomerKey, {num('s')} AS sales_tota
 S["kpi_overview"] = f"""SELECT {num(_REV)} AS total_revenue, count(DISTINCT CustomerKey) AS customers, count(DISTINCT SaleID) AS orders, count(*) AS lines, {ratio(_REV, 'count(DISTINCT SaleID)')} AS avg_basket FROM fact_sales"""
 S["retention_new_returning"] = f"""SELECT ym AS year_month, count(*) AS active, count(*) FILTER (ym = f) AS new_customers, count(*) FILTER (ym <> f) AS returning_customers, {share('count(*) FILTER (ym <> f)', 'count(*)')} AS repeat_rate_pct
     FROM (SELECT ym, min(ym) OVER (PARTITION BY CustomerKey) AS f FROM (SELECT DISTINCT CustomerKey, OrderDateKey // 100 AS ym FROM fact_sales)) GROUP BY ym"""
-S["loyal_customers"] = """WITH a AS (SELECT DISTINCT CustomerKey, OrderDateKey // 10000 * 12 + OrderDateKey // 100 % 100 AS i FROM fact_sales)
-    SELECT CustomerKey, count(*) AS months_active FROM a WHERE i > (SELECT max(i) FROM a) - 2 GROUP BY 1 HAVING count(*) = 2"""
+S["loyal_customers"] = f"""WITH a AS (SELECT DISTINCT CustomerKey, OrderDateKey // 10000 * 12 + OrderDateKey // 100 % 100 AS i FROM fact_sales),
+    e AS (SELECT {kdate('max(OrderDateKey)')} AS d FROM fact_sales), l AS (SELECT CASE WHEN d = last_day(d) THEN year(d) * 12 + month(d) ELSE year(d) * 12 + month(d) - 1 END AS last FROM e)
+    SELECT CustomerKey, count(*) AS months_active FROM a, l WHERE i > last - 2 AND i <= last GROUP BY 1 HAVING count(*) = 2"""
 
 # RFM and distributions
 _M3 = {"recency": "Recency", "frequency": "Frequency", "log_monetary": "ln(1 + CAST(Monetary AS DOUBLE))"}
@@ -738,7 +739,7 @@ S["recommend_top_n"] = f"""WITH ways AS (SELECT a, b, cosine FROM profile_cosine
 S["content_similar"] = f"""SELECT a AS profile_a, b AS profile_b, x.members AS members_a, y.members AS members_b, cosine FROM ({_cosine('token_leaders', 'ProductKey', 'token', 'w')})
     JOIN token_profiles x ON x.ProductKey = a JOIN token_profiles y ON y.ProductKey = b WHERE cosine >= 0.8"""
 S["recommend_by_segment"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Segment ORDER BY customers DESC, quantity DESC, ProductKey) AS rank FROM
-    (SELECT Segment, ProductKey, count(*) AS customers, sum(quantity) AS quantity FROM matrix JOIN rfm USING (CustomerKey) GROUP BY ALL)) WHERE rank <= 5"""
+    (SELECT Segment, ProductKey, count(*) AS customers, CAST(sum(quantity) AS BIGINT) AS quantity FROM matrix JOIN rfm USING (CustomerKey) GROUP BY ALL)) WHERE rank <= 5"""
 
 
 # ---- assembly -------------------------------------------------------------------------------

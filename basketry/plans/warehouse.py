@@ -9,7 +9,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.functions.columns import MONEY
 from basketry.operators import cleaning as C
 from basketry.operators import dimensions as D
 from basketry.operators import facts as X
@@ -78,7 +77,7 @@ class Warehouse:
         """Rebuild everything as new versions. Readers keep the old version until a table is whole."""
         self.raw = raw or self.raw
         self._open.clear()
-        self._reloading = {f"clean_{e}" for e in ENTITIES} | set(STAR_TABLES) | {"rfm", *map(_map_name, KEYED)}
+        self._reloading = {f"clean_{e}" for e in ENTITIES} | set(STAR_TABLES) | {"sale_keys", "rfm", *map(_map_name, KEYED)}
         return self.build_star()
 
     def _build(self, name: str) -> DataFrame:
@@ -92,11 +91,11 @@ class Warehouse:
         if name == "DimDate":
             return D.dim_date(self.clean("SalesHeader"))
         if name == "FactSales":
-            dims = ("DimCustomer", "DimSeller", "DimProduct", "DimPromotion")
-            return X.fact_sales(*self.tables("clean_SalesHeader", "clean_SalesLine", *dims))
+            return X.fact_sales(*self.tables("sale_keys", "clean_SalesLine", "DimProduct", "DimPromotion"))
         if name == "FactInvoices":
-            inputs = ("clean_Invoice", "clean_SalesHeader", "DimCustomer", "DimPaymentMethod")
-            return X.fact_invoices(*self.tables(*inputs))
+            return X.fact_invoices(*self.tables("clean_Invoice", "sale_keys", "DimPaymentMethod"))
+        if name == "sale_keys":
+            return X.sale_keys(*self.tables("clean_SalesHeader", "DimCustomer", "DimSeller"))
         if name == "rfm":
             return R.rfm_segments(R.rfm_base(self.table("FactSales"))).withColumn("Monetary", R.money("Monetary"))
         raise KeyError(name)
@@ -161,6 +160,3 @@ def open_fixture(spark: SparkSession, folder: str) -> Warehouse:
         store = TableStore(spark, f"{scratch_root(spark)}/warehouse-{digest}")
         _opened[where] = Warehouse(store, fixtures.raw_tables(spark, folder))
     return _opened[where]
-
-
-__all__ = ["MONEY", "STAR_TABLES", "Warehouse", "open_files", "open_fixture", "raw_from_files"]
