@@ -15,6 +15,12 @@ NULL_MARKERS = [
 # Payment codes and how reports name them.
 PAYMENT_LABELS = {"1": "001 - Cash", "102": "102 - Cheque", "205": "205 - Transfer"}
 
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 MONEY = "decimal(18,2)"
 
 
@@ -28,8 +34,8 @@ def unmark(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove white space of any kind at both ends (``trim`` only knows blanks)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Remove white space of any kind at both ends (a plain ``trim`` only knows blanks)."""
+    return F.trim(col(c), F.lit(WHITE_SPACE))
 
 
 def tidy_text(c: Column | str, longest: int | None = None) -> Column:

@@ -7,7 +7,7 @@ counters are an aggregate over them, so both come from the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -65,6 +65,26 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str = ORDINAL) -> Data
     return grouped.select(*[F.col(k) if k in keys else F.col(f"_first.{k}") for k in df.columns], COPIES)
 
 
+def keep_first_of_few(df: DataFrame, keys: Sequence[str], order: str = ORDINAL) -> DataFrame:
+    """As ``keep_first``, for large tables where most keys occur once.
+
+    Keys are counted first, which moves and hashes key columns only. The repeated keys are stored,
+    so their size is known when the rows are marked with them. Rows with a key of their own then
+    pass through where they are; only repeated ones are grouped. Rows with a null key are kept, one
+    by one."""
+    names = list(keys)
+    counted = df.select(*names).na.drop().groupBy(*names).agg(F.count("*").alias(COPIES))
+    repeated = materialise(counted.filter(F.col(COPIES) > 1), "repeated")
+    marked = df.join(repeated, names, "left")
+    own = marked.filter(F.col(COPIES).isNull()).withColumn(COPIES, F.lit(1).cast("long"))
+    rest = [c for c in df.columns if c not in names]
+    grouped = marked.filter(F.col(COPIES).isNotNull()).groupBy(*names).agg(
+        F.min_by(F.struct(*rest), order).alias("_first"), F.max(COPIES).alias(COPIES)
+    )
+    firsts = grouped.select(*[F.col(c) if c in names else F.col(f"_first.{c}") for c in df.columns], COPIES)
+    return own.select(*df.columns, COPIES).unionByName(firsts)
+
+
 def rule_holds(rule: Rule, columns: Sequence[str]) -> Column:
     """Predicate of a rule, never null. A rule on an absent column or with an unknown operator
     holds for all rows; a null passes ``!=`` and fails every comparison."""
@@ -181,7 +201,7 @@ def flag_entity(
     df: DataFrame, spec: EntitySpec, foreign_keys: Sequence[ForeignKey] = (), use_unknown: bool = True
 ) -> DataFrame:
     """Unique raw rows with their flags: ``_keyed``, ``_ruled`` and ``_orphan_{column}`` per key."""
-    rows = keep_first(df, spec.keys)
+    rows = keep_first_of_few(df, spec.keys) if foreign_keys else keep_first(df, spec.keys)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in spec.keys])
     rows = rows.withColumn(KEYED, keyed).withColumn(RULED, rules_hold(spec.rules, rows.columns))
     for fk in foreign_keys:
@@ -302,7 +322,7 @@ def clean_invoice(raw: DataFrame, header: DataFrame, use_unknown: bool = True) -
     return clean_fact(raw, INVOICE, invoice_keys(header), use_unknown)
 
 
-def clean_all(raw: dict[str, DataFrame], use_unknown: bool = True) -> dict[str, Cleaned]:
+def clean_all(raw: Mapping[str, DataFrame], use_unknown: bool = True) -> dict[str, Cleaned]:
     """All entities in dependency order. Rows and counts are lazy; only the orphan keys are computed."""
     done = {s.name: clean_dimension(raw[s.name], s) for s in (REGION, SECTOR, CUSTOMER, SELLER, PRODUCT)}
     header = clean_sales_header(raw["SalesHeader"], done["Customer"].rows, done["Seller"].rows, use_unknown)

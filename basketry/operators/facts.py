@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MONEY, date_key, strip
-from basketry.operators.cleaning import keep_first
+from basketry.operators.cleaning import keep_first_of_few
 from basketry.operators.dimensions import code_or_unknown
 
 MONTH = "order_month"
@@ -32,7 +32,7 @@ def sale_keys(header: DataFrame, dim_customer: DataFrame, dim_seller: DataFrame)
     Customers and sellers are looked up here, at header grain, where there are several times fewer
     rows than lines. Store the result before the facts are joined: their joins then have a plain
     shuffle on either side, which is what adaptive execution can split when one sale is hot."""
-    rows = keep_first(header, ["saleid"])
+    rows = keep_first_of_few(header, ["saleid"])
     rows = look_up(rows, strip("accountid"), dim_customer, "AccountID", "CustomerKey")
     rows = look_up(rows, strip("sellerid"), dim_seller, "SellerID", "SellerKey")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast(MONEY)

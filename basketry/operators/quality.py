@@ -170,9 +170,14 @@ class Relation:
 
     def orphans(self) -> DataFrame:
         """Distinct child keys without parent."""
-        child = self.child.select(strip(F.col(self.child_key).cast("string")).alias("key")).filter("key IS NOT NULL")
-        parent = self.parent.select(strip(F.col(self.parent_key).cast("string")).alias("key"))
-        return child.distinct().join(parent, "key", "left_anti")
+        child = self.child.select(_key(self.child, self.child_key)).filter("key IS NOT NULL")
+        return child.distinct().join(self.parent.select(_key(self.parent, self.parent_key)), "key", "left_anti")
+
+
+def _key(df: DataFrame, name: str) -> Column:
+    """Keys in text compare without outer white space, integer keys as they are."""
+    text = isinstance(df.schema[name].dataType, T.StringType)
+    return (strip(name) if text else F.col(name).cast("long")).alias("key")
 
 
 def fk_orphans(relations: Sequence[Relation], examples: int = 10) -> DataFrame:
@@ -181,7 +186,7 @@ def fk_orphans(relations: Sequence[Relation], examples: int = 10) -> DataFrame:
     for r in relations:
         orphans = r.orphans()
         few = orphans.orderBy("key").limit(examples)
-        shown = few.agg(F.array_join(F.array_sort(F.collect_list("key")), ",")).scalar()
+        shown = few.agg(F.array_join(F.array_sort(F.collect_list("key")).cast("array<string>"), ",")).scalar()
         parts.append(
             orphans.agg(F.count("*").alias("orphan_keys")).select(
                 F.lit(r.name).alias("relation"), "orphan_keys", shown.alias("examples")

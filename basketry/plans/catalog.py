@@ -274,7 +274,7 @@ def _(w):
 
 @query("dedup_keep_first")
 def _(w):
-    kept = C.keep_first(C.drop_null_keys(w.raw["SalesLine"], SALES_LINE.keys), SALES_LINE.keys)
+    kept = C.keep_first_of_few(C.drop_null_keys(w.raw["SalesLine"], SALES_LINE.keys), SALES_LINE.keys)
     return kept.select("saleid", "itemid", "qty", "httotalamount", F.col(C.COPIES).alias("copies"))
 
 

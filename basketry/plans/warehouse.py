@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import threading
 from collections import defaultdict
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +35,34 @@ KEYED = {
 PARTITIONED = {"FactSales": [X.MONTH], "FactInvoices": [X.MONTH]}
 
 
+class _Landed(Mapping):
+    """The raw entities of a warehouse, as stored text tables."""
+
+    def __init__(self, warehouse: Warehouse):
+        self._warehouse = warehouse
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        return self._warehouse.table(f"raw_{entity}")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._warehouse.sources)
+
+    def __len__(self) -> int:
+        return len(self._warehouse.sources)
+
+
 class Warehouse:
     """Stages of the load as stored tables, each built on first use from the ones before it.
 
+    Sources land as tables before they are cleaned: cleaning looks at key columns several times,
+    which is cheap in a columnar table and not in text, and the file order is fixed once.
     A stage that is complete is read; after a failure the job continues at the first missing
     table. ``reload`` writes new versions, and surrogate keys survive it through the key maps.
     """
 
     def __init__(self, store: TableStore, raw: dict[str, DataFrame]):
-        self.store, self.raw = store, raw
+        self.store, self.sources = store, raw
+        self.raw = _Landed(self)
         self.spark = store.spark
         self._open: dict[str, DataFrame] = {}
         self._reloading: set[str] = set()
@@ -75,12 +95,14 @@ class Warehouse:
 
     def reload(self, raw: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
         """Rebuild everything as new versions. Readers keep the old version until a table is whole."""
-        self.raw = raw or self.raw
+        self.sources = raw or self.sources
         self._open.clear()
-        self._reloading = {f"clean_{e}" for e in ENTITIES} | set(STAR_TABLES) | {"sale_keys", "rfm", *map(_map_name, KEYED)}
+        self._reloading = {f"{s}_{e}" for e in ENTITIES for s in ("raw", "clean")} | set(STAR_TABLES) | {"sale_keys", "rfm", *map(_map_name, KEYED)}
         return self.build_star()
 
     def _build(self, name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return self.sources[name.removeprefix("raw_")]
         if name.startswith("clean_"):
             return self._build_clean(name.removeprefix("clean_"))
         if name.startswith("keys_"):
@@ -101,14 +123,14 @@ class Warehouse:
         raise KeyError(name)
 
     def _build_clean(self, entity: str) -> DataFrame:
-        raw, spec = self.raw[entity], ENTITIES[entity]
+        raw = f"raw_{entity}"
         if entity == "SalesHeader":
-            return C.clean_sales_header(raw, *self.tables("clean_Customer", "clean_Seller")).rows
+            return C.clean_sales_header(*self.tables(raw, "clean_Customer", "clean_Seller")).rows
         if entity == "SalesLine":
-            return C.clean_sales_line(raw, *self.tables("clean_SalesHeader", "clean_Product")).rows
+            return C.clean_sales_line(*self.tables(raw, "clean_SalesHeader", "clean_Product")).rows
         if entity == "Invoice":
-            return C.clean_invoice(raw, self.clean("SalesHeader")).rows
-        return C.clean_dimension(raw, spec).rows
+            return C.clean_invoice(*self.tables(raw, "clean_SalesHeader")).rows
+        return C.clean_dimension(self.table(raw), ENTITIES[entity]).rows
 
     def _members(self, dim: str) -> DataFrame:
         if dim == "DimCustomer":

@@ -69,6 +69,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(file_system.exists(hadoop_path))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path``; a metadata call."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(file_system.getContentSummary(hadoop_path).getLength())
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``; empty when it does not exist."""
     if not path_exists(spark, path):
