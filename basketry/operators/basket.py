@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import rounded
 from basketry.operators.similarity import shared_pairs
+from basketry.session import materialise
 
 
 def basket_lines(sales: DataFrame, item: str = "ProductKey") -> DataFrame:
@@ -25,11 +26,12 @@ def pair_rules(sales: DataFrame, min_count: int = 2, limit: int = 200) -> DataFr
     """Two-item rules: support, confidence both ways and lift of every pair bought together in at
     least ``min_count`` orders. Items in fewer orders cannot be in such a pair and are left out
     before pairing."""
-    lines = basket_lines(sales)
+    lines = materialise(basket_lines(sales), "baskets")
     orders = lines.agg(F.count_distinct("SaleID")).scalar()
     counts = lines.groupBy("item").agg(F.count("*").alias("c")).filter(F.col("c") >= min_count)
     frequent = lines.join(counts.select("item"), "item", "left_semi")
-    triples = frequent.select(F.col("item").alias("entity"), F.col("SaleID").alias("feature"), F.lit(1).alias("weight"))
+    named = frequent.select(F.col("item").alias("entity"), F.col("SaleID").alias("feature"), F.lit(1).alias("weight"))
+    triples = materialise(named, "triples")
     pairs = shared_pairs(triples, min_count=min_count, limit=limit)
     a = counts.select(F.col("item").alias("a"), F.col("c").alias("ca"))
     b = counts.select(F.col("item").alias("b"), F.col("c").alias("cb"))
@@ -54,7 +56,7 @@ def bundle_candidates(rules: DataFrame, min_lift: float = 1.0, min_orders: int =
 
 def itemset_model(sales: DataFrame, min_count: int = 2, min_confidence: float = 0.1):
     """FP-Growth over the baskets. The threshold is a number of orders."""
-    baskets = basket_items(sales).select("items")
+    baskets = materialise(basket_items(sales).select("items"), "baskets")
     orders = baskets.count()
     support = max(min_count - 0.5, 0.5) / max(orders, 1)
     return FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)

@@ -24,7 +24,8 @@ def _triples(matrix: DataFrame, entity: str, feature: str) -> DataFrame:
 
 def item_cosine(matrix: DataFrame, min_cosine: float = 0.1, limit: int = 200) -> DataFrame:
     """Products bought by the same customers."""
-    pairs = shared_pairs(_triples(matrix, "ProductKey", "CustomerKey"), min_cosine=min_cosine, limit=limit)
+    triples = materialise(_triples(matrix, "ProductKey", "CustomerKey"), "triples")
+    pairs = shared_pairs(triples, min_cosine=min_cosine, limit=limit)
     return pairs.select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cosine")
 
 
@@ -35,7 +36,8 @@ def customer_cosine(matrix: DataFrame, min_cosine: float = 0.1, limit: int = 200
     number of members. A profile of several customers is also paired with itself, at 1."""
     triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
     members = materialise(profiles(triples), "profiles")
-    pairs = shared_pairs(profile_vectors(triples, members), min_cosine=min_cosine, limit=limit)
+    vectors = materialise(profile_vectors(triples, members), "triples")
+    pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
     sizes = members.filter("entity = profile").select("profile", "members")
     named = pairs.join(sizes.toDF("a", "members_a"), "a").join(sizes.toDF("b", "members_b"), "b")
     itself = sizes.filter("members > 1").select(
@@ -64,7 +66,7 @@ def recommend_top_n(
     have the same neighbours and get the same products, so the work is done per profile."""
     triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
     members = materialise(profiles(triples), "profiles")
-    vectors = profile_vectors(triples, members)
+    vectors = materialise(profile_vectors(triples, members), "triples")
     pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
     both_ways = pairs.select("a", "b", "cosine").unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine")
@@ -125,7 +127,8 @@ def content_similar(products: DataFrame, min_cosine: float = 0.8, limit: int = 2
     )
     triples = materialise(weighted, "triples")
     members = materialise(profiles(triples), "profiles")
-    pairs = shared_pairs(profile_vectors(triples, members), min_cosine=min_cosine, limit=limit)
+    vectors = materialise(profile_vectors(triples, members), "triples")
+    pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
     sizes = members.filter("entity = profile").select("profile", "members")
     named = pairs.join(sizes.toDF("a", "members_a"), "a").join(sizes.toDF("b", "members_b"), "b")
     return named.select(F.col("a").alias("profile_a"), F.col("b").alias("profile_b"), "members_a", "members_b", "cosine")

@@ -36,22 +36,17 @@ def shared_pairs(
 ) -> DataFrame:
     """Unordered pairs ``a < b`` with their dot product, at or above the threshold.
 
-    ``triples`` has the columns entity, feature, weight. With ``min_count`` the weights must be 1
+    ``triples`` has the columns entity, feature, weight and is read several times; hand in a stored
+    table where it is costly to compute. With ``min_count`` the weights must be 1
     and ``dot`` is the number of shared features; with ``min_cosine`` the result also has ``cosine``.
     """
     if (min_count is None) == (min_cosine is None):
         raise ValueError("give either min_count or min_cosine")
 
     sizes = triples.groupBy("feature").agg(F.count("*").alias("size"))
-    heavy_features = sizes.filter(F.col("size") > limit)
-    marked = triples.join(heavy_features, "feature", "left")
-    w2 = F.col("weight") * F.col("weight")
-    parts = marked.groupBy("entity").agg(
-        F.sum(w2).alias("n"), F.sum(F.when(F.col("size").isNotNull(), w2).otherwise(F.lit(0))).alias("h")
-    )
-    # Every branch below reads the marked vectors: written once, they are not computed per branch.
-    vectors = materialise(marked.join(parts, "entity"), "vectors")
-    any_heavy = not vectors.filter("size IS NOT NULL").isEmpty()
+    heavy_features = materialise(sizes.filter(F.col("size") > limit), "heavy")
+    any_heavy = not heavy_features.isEmpty()
+    vectors = _vectors(triples, heavy_features if any_heavy else None, with_norms=min_cosine is not None)
 
     def norm(x: str, y: str) -> Column:
         return F.sqrt(F.col(x).cast("double") * F.col(y).cast("double"))
@@ -79,6 +74,23 @@ def shared_pairs(
     return pairs.withColumn("cosine", cosine).filter(F.col("cosine") >= min_cosine).select("a", "b", "dot", "cosine")
 
 
+def _vectors(triples: DataFrame, heavy_features: DataFrame | None, with_norms: bool) -> DataFrame:
+    """The triples with the size of heavy features (null for light ones) and, per entity, the
+    squared norm ``n`` and its heavy part ``h``. Nothing is joined that is not needed."""
+    if heavy_features is None:
+        marked = triples.withColumn("size", F.lit(None).cast("long"))
+        if not with_norms:
+            return marked.withColumns({"n": F.lit(0), "h": F.lit(0)})
+    else:
+        marked = triples.join(heavy_features, "feature", "left")
+    square = F.col("weight") * F.col("weight")
+    parts = marked.groupBy("entity").agg(
+        F.sum(square).alias("n"), F.sum(F.when(F.col("size").isNotNull(), square).otherwise(F.lit(0))).alias("h")
+    )
+    # Several branches read the result: written once, it is not computed per branch.
+    return materialise(marked.join(parts, "entity"), "vectors")
+
+
 def _finish(found: DataFrame, vectors: DataFrame, reach: Column, need: Column) -> DataFrame:
     """Add the heavy part to the pairs that miss it and can still reach the threshold."""
     # Complete: no heavy part on one side, or both strong, so that the heavy join saw the pair.
