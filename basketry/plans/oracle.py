@@ -261,11 +261,24 @@ B["pairs"] = """SELECT a.item AS item_a, b.item AS item_b, count(*) AS c FROM ba
 B["triples"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, count(*) AS c FROM basket a
     JOIN basket b ON a.SaleID = b.SaleID AND a.item < b.item JOIN basket c ON b.SaleID = c.SaleID AND b.item < c.item
     GROUP BY ALL HAVING count(*) >= 2"""
+B["quads"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, count(*) AS c FROM basket a
+    JOIN basket b ON a.SaleID = b.SaleID AND a.item < b.item JOIN basket c ON b.SaleID = c.SaleID AND b.item < c.item
+    JOIN basket d ON c.SaleID = d.SaleID AND c.item < d.item GROUP BY ALL HAVING count(*) >= 2"""
 B["orders_n"] = "SELECT count(DISTINCT SaleID) AS n FROM basket"
 B["pair_rules"] = f"""SELECT item_a, item_b, p.c AS orders_both, {rnd('CAST(p.c AS DOUBLE) / CAST(n AS DOUBLE)', 8)} AS support,
     {rnd('CAST(p.c AS DOUBLE) / CAST(a.c AS DOUBLE)', 6)} AS confidence_ab, {rnd('CAST(p.c AS DOUBLE) / CAST(b.c AS DOUBLE)', 6)} AS confidence_ba,
     {rnd('CAST(p.c AS DOUBLE) * CAST(n AS DOUBLE) / (CAST(a.c AS DOUBLE) * CAST(b.c AS DOUBLE))', 6)} AS lift
     FROM pairs p JOIN item_counts a ON p.item_a = a.item JOIN item_counts b ON p.item_b = b.item, orders_n"""
+_QUAD_RULES = " UNION ALL ".join(
+    f"""SELECT q.{x} || ',' || q.{y} || ',' || q.{z}, CAST(q.{out} AS VARCHAR), q.c, t.c, i.c FROM quads q
+    JOIN triples t ON t.item_a = q.{x} AND t.item_b = q.{y} AND t.item_c = q.{z} JOIN item_counts i ON i.item = q.{out}"""
+    for out, (x, y, z) in {
+        "item_d": ("item_a", "item_b", "item_c"),
+        "item_c": ("item_a", "item_b", "item_d"),
+        "item_b": ("item_a", "item_c", "item_d"),
+        "item_a": ("item_b", "item_c", "item_d"),
+    }.items()
+)
 B["rules"] = f"""SELECT * FROM (SELECT ante AS antecedent, cons AS consequent, {rnd('CAST(c AS DOUBLE) / CAST(ca AS DOUBLE)', 6)} AS confidence,
     {rnd('(CAST(c AS DOUBLE) / CAST(ca AS DOUBLE)) / (CAST(cc AS DOUBLE) / CAST(n AS DOUBLE))', 6)} AS lift, {rnd('CAST(c AS DOUBLE) / CAST(n AS DOUBLE)', 8)} AS support,
     CAST(c AS DOUBLE) / CAST(ca AS DOUBLE) AS conf_exact, (CAST(c AS DOUBLE) / CAST(ca AS DOUBLE)) / (CAST(cc AS DOUBLE) / CAST(n AS DOUBLE)) AS lift_exact
@@ -273,7 +286,8 @@ B["rules"] = f"""SELECT * FROM (SELECT ante AS antecedent, cons AS consequent, {
       UNION ALL SELECT CAST(item_b AS VARCHAR), CAST(item_a AS VARCHAR), p.c, b.c, a.c FROM pairs p JOIN item_counts a ON a.item = item_a JOIN item_counts b ON b.item = item_b
       UNION ALL SELECT item_a || ',' || item_b, CAST(item_c AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p USING (item_a, item_b) JOIN item_counts i ON i.item = item_c
       UNION ALL SELECT t.item_a || ',' || t.item_c, CAST(t.item_b AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_a AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_b
-      UNION ALL SELECT t.item_b || ',' || t.item_c, CAST(t.item_a AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_b AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_a), orders_n)
+      UNION ALL SELECT t.item_b || ',' || t.item_c, CAST(t.item_a AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_b AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_a
+      UNION ALL {_QUAD_RULES}), orders_n)
     WHERE conf_exact >= 0.05 AND lift_exact > 1"""
 B["matrix"] = """SELECT CustomerKey, ProductKey, CAST(sum(Quantity) AS BIGINT) AS quantity, count(DISTINCT SaleID) AS orders FROM fact_sales GROUP BY ALL"""
 
@@ -718,9 +732,8 @@ S["clv_by_segment"] = "SELECT Segment, count(*) AS customers, " + ", ".join(
 ) + " FROM clv JOIN rfm USING (CustomerKey) GROUP BY 1"
 S["basket_items"] = "SELECT SaleID, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items, count(*) AS item_count FROM basket GROUP BY SaleID"
 S["frequent_itemsets"] = """SELECT CAST(item AS VARCHAR) AS items, 1 AS length, c AS orders FROM item_counts WHERE c >= 2 UNION ALL SELECT item_a || ',' || item_b, 2, c FROM pairs
-    UNION ALL SELECT item_a || ',' || item_b || ',' || item_c, 3, c FROM triples UNION ALL
-    SELECT a.item || ',' || b.item || ',' || c.item || ',' || d.item, 4, count(*) FROM basket a JOIN basket b ON a.SaleID = b.SaleID AND a.item < b.item JOIN basket c ON b.SaleID = c.SaleID AND b.item < c.item
-    JOIN basket d ON c.SaleID = d.SaleID AND c.item < d.item GROUP BY 1 HAVING count(*) >= 2"""
+    UNION ALL SELECT item_a || ',' || item_b || ',' || item_c, 3, c FROM triples
+    UNION ALL SELECT item_a || ',' || item_b || ',' || item_c || ',' || item_d, 4, c FROM quads"""
 _RULE = "antecedent, consequent, confidence, lift, support"
 S["association_rules"] = f"SELECT {_RULE} FROM rules"
 S["association_rules_top"] = f"SELECT {_RULE} FROM rules ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 10"
