@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,11 +56,14 @@ def bundle_candidates(rules: DataFrame, min_lift: float = 1.0, min_orders: int =
     return kept.select("item_a", "item_b", "orders_both", "support", "lift")
 
 
-def itemset_model(sales: DataFrame, min_count: int = 2, min_confidence: float = 0.1):
-    """FP-Growth over the baskets. The threshold is a number of orders."""
+def itemset_model(sales: DataFrame, min_support: float = 0.001, min_confidence: float = 0.1):
+    """FP-Growth over the baskets. The threshold is a share of the orders, so it keeps its meaning at any size;
+    every set that reaches it is found. A fixed number of orders would let a few equal large orders give all
+    subsets of theirs."""
     baskets = materialise(basket_items(sales).select("items"), "baskets")
     orders = baskets.count()
-    support = max(min_count - 0.5, 0.5) / max(orders, 1)
+    # Half an order below the least number that reaches the share, so that rounding does not lose a set.
+    support = max(math.ceil(min_support * orders) - 0.5, 0.5) / max(orders, 1)
     return FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import rounded, unmark
-from basketry.operators.similarity import profile_vectors, profiles, shared_pairs
+from basketry.operators.similarity import prefix_pairs, profile_vectors, profiles, shared_pairs
 from basketry.session import materialise
 
 
@@ -29,15 +29,15 @@ def item_cosine(matrix: DataFrame, min_cosine: float = 0.1, limit: int = 200) ->
     return pairs.select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cosine")
 
 
-def customer_cosine(matrix: DataFrame, min_cosine: float = 0.1, limit: int = 200) -> DataFrame:
+def customer_cosine(matrix: DataFrame, min_cosine: float = 0.5) -> DataFrame:
     """Customers who buy the same products, with equal customers shown once.
 
-    Both columns name profiles (the least customer of a group with equal purchases) with their
-    number of members. A profile of several customers is also paired with itself, at 1."""
+    The result grows with the number of like pairs, so the threshold is a high one; pairs below it are not
+    formed (``prefix_pairs``). Both columns name profiles (the least customer of a group with equal purchases)
+    with their number of members. A profile of several customers is also paired with itself, at 1."""
     triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
     members = materialise(profiles(triples), "profiles")
-    vectors = materialise(profile_vectors(triples, members), "triples")
-    pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
+    pairs = prefix_pairs(profile_vectors(triples, members), min_cosine)
     sizes = members.filter("entity = profile").select("profile", "members")
     named = pairs.join(sizes.toDF("a", "members_a"), "a").join(sizes.toDF("b", "members_b"), "b")
     itself = sizes.filter("members > 1").select(
@@ -57,29 +57,27 @@ def _top(df: DataFrame, within: str, order: list, n: int) -> DataFrame:
     return df.withColumn("rank", place).filter(F.col("rank") <= n)
 
 
-def recommend_top_n(
-    matrix: DataFrame, n: int = 5, neighbours: int = 10, min_cosine: float = 0.1, limit: int = 200
-) -> DataFrame:
-    """Products a customer has not bought, by the similarity of the nearest customers who did.
+def recommend_top_n(matrix: DataFrame, n: int = 5) -> DataFrame:
+    """Products a customer has not bought, by the similarity of all customers who did.
 
-    The score is the sum over the neighbours of cosine times orders. Customers with equal purchases
-    have the same neighbours and get the same products, so the work is done per profile."""
+    The score of a product is the sum over all customers of cosine times orders. Written with unit vectors it
+    is a product of the customer's own vector and a product-by-product matrix, summed over customers once: no
+    two customers are ever paired. Customers with equal purchases get the same products, so the work is done
+    per profile; a profile counts with its members. What the customer's own purchases add concerns only
+    products bought already."""
     triples = materialise(_triples(matrix, "CustomerKey", "ProductKey"), "triples")
     members = materialise(profiles(triples), "profiles")
     vectors = materialise(profile_vectors(triples, members), "triples")
-    pairs = shared_pairs(vectors, min_cosine=min_cosine, limit=limit)
-    both_ways = pairs.select("a", "b", "cosine").unionByName(
-        pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine")
-    )
-    nearest = _top(both_ways, "a", [F.desc("cosine"), "b"], neighbours).drop("rank")
-    bought = vectors.withColumnsRenamed({"entity": "b", "feature": "ProductKey"})
-    scored = (
-        nearest.join(bought, "b")
-        .groupBy("a", "ProductKey")
-        .agg(rounded(F.sum(F.col("cosine") * F.col("weight")), 4).alias("score"))
-    )
-    own = vectors.select(F.col("entity").alias("a"), F.col("feature").alias("ProductKey"))
-    best = _top(scored.join(own, ["a", "ProductKey"], "left_anti"), "a", [F.desc("score"), "ProductKey"], n)
+    norms = vectors.groupBy("entity").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")).cast("double")).alias("norm"))
+    sizes = members.filter("entity = profile").select("entity", "members")
+    units = vectors.join(norms, "entity").join(sizes, "entity")
+    units = materialise(units.select("entity", "feature", "weight", "members", (F.col("weight") / F.col("norm")).alias("unit")), "units")
+    other = units.select("entity", F.col("feature").alias("ProductKey"), (F.col("weight") * F.col("members")).alias("orders"))
+    middle = units.join(other, "entity").groupBy("feature", "ProductKey").agg(F.sum(F.col("unit") * F.col("orders")).alias("part"))
+    own = units.select(F.col("entity").alias("a"), "feature", "unit")
+    scored = own.join(middle, "feature").groupBy("a", "ProductKey").agg(rounded(F.sum(F.col("unit") * F.col("part")), 4).alias("score"))
+    bought = own.select("a", F.col("feature").alias("ProductKey"))
+    best = _top(scored.join(bought, ["a", "ProductKey"], "left_anti"), "a", [F.desc("score"), "ProductKey"], n)
     everyone = members.select(F.col("entity").alias("CustomerKey"), F.col("profile").alias("a"))
     return everyone.join(best, "a").select("CustomerKey", "ProductKey", "score", "rank")
 

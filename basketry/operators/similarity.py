@@ -18,7 +18,7 @@ No partner is dropped that could belong to the result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import rounded
@@ -45,8 +45,7 @@ def shared_pairs(
 
     sizes = triples.groupBy("feature").agg(F.count("*").alias("size"))
     heavy_features = materialise(sizes.filter(F.col("size") > limit), "heavy")
-    any_heavy = not heavy_features.isEmpty()
-    vectors = _vectors(triples, heavy_features if any_heavy else None, with_norms=min_cosine is not None)
+    vectors = _vectors(triples, heavy_features)
 
     def norm(x: str, y: str) -> Column:
         return F.sqrt(F.col(x).cast("double") * F.col(y).cast("double"))
@@ -60,29 +59,23 @@ def shared_pairs(
         reach = norm("ha", "hb")
         strong = F.col("h").cast("double") >= F.col("n").cast("double") * (float(min_cosine) ** 2) * _SLACK
 
-    shared = _expand(vectors.filter("size IS NULL"), ["feature"])
-    if any_heavy:
-        strong_heavy = vectors.filter(F.col("size").isNotNull() & strong)
-        shared = shared.unionByName(_expand_in_blocks(strong_heavy, limit))
+    strong_heavy = vectors.filter(F.col("size").isNotNull() & strong)
+    light = _expand(vectors.filter("size IS NULL"), ["feature"])
+    shared = light.unionByName(_expand_in_blocks(strong_heavy, limit))
     found = shared.groupBy("a", "b").agg(
         F.sum("dot").alias("dot"), *[F.max(c).alias(c) for c in ("na", "nb", "ha", "hb", "sa", "sb")]
     )
-    pairs = _finish(materialise(found, "pairs"), vectors, reach, need) if any_heavy else found
+    pairs = _finish(materialise(found, "pairs"), vectors, reach, need)
     if min_count is not None:
         return pairs.filter(F.col("dot") >= min_count).select("a", "b", "dot")
     cosine = rounded(F.col("dot").cast("double") / norm("na", "nb"), 6)
     return pairs.withColumn("cosine", cosine).filter(F.col("cosine") >= min_cosine).select("a", "b", "dot", "cosine")
 
 
-def _vectors(triples: DataFrame, heavy_features: DataFrame | None, with_norms: bool) -> DataFrame:
+def _vectors(triples: DataFrame, heavy_features: DataFrame) -> DataFrame:
     """The triples with the size of heavy features (null for light ones) and, per entity, the
     squared norm ``n`` and its heavy part ``h``. Nothing is joined that is not needed."""
-    if heavy_features is None:
-        marked = triples.withColumn("size", F.lit(None).cast("long"))
-        if not with_norms:
-            return marked.withColumns({"n": F.lit(0), "h": F.lit(0)})
-    else:
-        marked = triples.join(heavy_features, "feature", "left")
+    marked = triples.join(heavy_features, "feature", "left")
     square = F.col("weight") * F.col("weight")
     parts = marked.groupBy("entity").agg(
         F.sum(square).alias("n"), F.sum(F.when(F.col("size").isNotNull(), square).otherwise(F.lit(0))).alias("h")
@@ -144,6 +137,35 @@ def _expand_in_blocks(rows: DataFrame, limit: int) -> DataFrame:
     return _pairs(left, right, on)
 
 
+def prefix_pairs(triples: DataFrame, min_cosine: float) -> DataFrame:
+    """Unordered pairs ``a < b`` with their ``cosine`` at or above the threshold, by prefix filtering.
+
+    The features of an entity stand in one global order, rare ones first. Only those are joined from which on
+    the rest of the vector still has ``min_cosine`` of its length: two vectors that reach the threshold share
+    such a feature in both, namely the first they share. So features that most entities have are hardly ever
+    joined, and the pairs that are can reach the threshold. Weights must not be negative."""
+    sizes = triples.groupBy("feature").agg(F.count("*").alias("size"))
+    square = F.col("weight").cast("double") * F.col("weight").cast("double")
+    rare_first = Window.partitionBy("entity").orderBy("size", "feature")
+    ranked = triples.join(sizes, "feature").withColumns(
+        {
+            "n": F.sum(square).over(Window.partitionBy("entity")),
+            "rest": F.sum(square).over(rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+        }
+    )
+    vectors = materialise(ranked.select("entity", "feature", "weight", "n", "rest"), "prefixes")
+    prefix = vectors.filter(F.col("rest") >= F.col("n") * (min_cosine**2) * _SLACK)
+    left = prefix.select(F.col("entity").alias("a"), "feature")
+    right = prefix.select(F.col("entity").alias("b"), "feature")
+    candidates = left.join(right, "feature").filter("a < b").select("a", "b").distinct()
+    va = vectors.select(F.col("entity").alias("a"), "feature", F.col("weight").alias("wa"), F.col("n").alias("na"))
+    vb = vectors.select(F.col("entity").alias("b"), "feature", F.col("weight").alias("wb"), F.col("n").alias("nb"))
+    met = candidates.join(va, "a").join(vb, ["b", "feature"]).groupBy("a", "b")
+    dots = met.agg(F.sum(F.col("wa").cast("double") * F.col("wb").cast("double")).alias("dot"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    cosine = rounded(F.col("dot") / F.sqrt(F.col("na") * F.col("nb")), 6)
+    return dots.select("a", "b", cosine.alias("cosine")).filter(F.col("cosine") >= min_cosine)
+
+
 def profiles(triples: DataFrame) -> DataFrame:
     """``entity -> profile``: entities with the same features and weights share a profile, named
     after the least of them. Collapsing copies keeps a large group of equal customers from

@@ -127,7 +127,7 @@ def _(w):
 def _(w):
     path = scratch(w, "accented")
     accented = plain(w.raw["Customer"]).select(
-        "accountid", F.concat(F.col("sectorid"), F.lit(" – Hôtel à 3 €")).alias("label")
+        "accountid", F.concat(F.col("sectorid"), F.lit(' – "Hôtel"; à 3 € "\\')).alias("libellé")
     )
     L.write_delimited(accented, path, "cp1252")
     return L.scan_delimited(w.spark, path, ["utf-8", "cp1252"])
@@ -163,8 +163,8 @@ def _(w):
 
 @query("count_file_lines")
 def _(w):
-    folder = source_files(w, "Customer", "SalesHeader", "SalesLine", "Invoice")
-    names = ("Customer", "SalesHeader", "SalesLine", "Invoice")
+    names = list(ENTITIES)
+    folder = source_files(w, *names)
     counted = [
         L.count_lines(w.spark, L.source_path(folder, n)).select(F.lit(n).alias("table"), "lines") for n in names
     ]
@@ -173,7 +173,7 @@ def _(w):
 
 @query("file_overview")
 def _(w):
-    names = ["Customer", "SalesHeader", "SalesLine", "Invoice"]
+    names = list(ENTITIES)
     return L.files_overview(w.spark, source_files(w, *names), names)
 
 
@@ -181,7 +181,7 @@ def _(w):
 def _(w):
     """Declared and found columns with how many values each holds."""
     reports = []
-    for spec in (CUSTOMER, PRODUCT, SALES_HEADER, SALES_LINE):
+    for spec in ENTITIES.values():
         raw = w.raw[spec.name]
         L.check_columns(spec, raw.columns)
         filled = Q.per_column(raw, F.count, "filled").select("column", "filled")
@@ -326,7 +326,7 @@ def _(w):
 
 @query("null_counts")
 def _(w):
-    clean = {n: w.clean(n) for n in ("Customer", "Product", "SalesHeader", "Invoice")}
+    clean = {n: w.clean(n) for n in ENTITIES}
     return reduce(DataFrame.unionByName, [C.null_counts(df, ENTITIES[n]) for n, df in clean.items()])
 
 
@@ -534,8 +534,7 @@ def _(w):
 
 @query("profile_columns")
 def _(w):
-    tables = ["DimCustomer", "DimProduct", "DimDate", "FactSales", "FactInvoices"]
-    return Q.stack([Q.profile_columns(w.table(t), t) for t in tables])
+    return Q.stack([Q.profile_columns(w.table(t), t) for t in STAR_TABLES])
 
 
 @query("profile_sample")
@@ -545,7 +544,7 @@ def _(w):
 
 @query("describe_numeric")
 def _(w):
-    return Q.describe_numeric(sales(w), ["Quantity", "UnitPrice", "LineDiscountAmount", "LineTotalAmount", "HeaderTotalAmount"])
+    return Q.describe_numeric(sales(w), X.FACT_MEASURES)
 
 
 @query("distinct_key_counts")
@@ -563,13 +562,18 @@ def _(w):
 
 @query("unique_counts")
 def _(w):
-    return Q.stack([Q.unique_counts(w.raw[n], n) for n in ("Customer", "Product", "SalesHeader")])
+    return Q.stack([Q.unique_counts(w.raw[n], n) for n in ENTITIES])
 
 
 @query("duplicate_rows")
 def _(w):
-    """Equal rows of the lines, looked at without their place in the order."""
-    return Q.duplicate_rows(w.raw["SalesLine"].select("saleid", "itemid", "promotype"))
+    """Rows of each table that are equal in every column, and how many different ones they are."""
+
+    def of(name):
+        found = Q.duplicate_rows(plain(w.raw[name])).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"), F.count("*").alias("kinds"))
+        return found.select(F.lit(name).alias("table"), "rows", "kinds")
+
+    return Q.stack([of(n) for n in ENTITIES])
 
 
 @query("duplicate_keys")
@@ -579,7 +583,7 @@ def _(w):
 
 @query("whitespace_check")
 def _(w):
-    return Q.whitespace_check({n: w.raw[n] for n in ("Customer", "Seller", "Product", "SalesHeader")})
+    return Q.whitespace_check({n: w.raw[n] for n in ENTITIES})
 
 
 @query("negative_check")

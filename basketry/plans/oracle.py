@@ -264,6 +264,7 @@ B["triples"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, c
 B["quads"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, count(*) AS c FROM basket a
     JOIN basket b ON a.SaleID = b.SaleID AND a.item < b.item JOIN basket c ON b.SaleID = c.SaleID AND b.item < c.item
     JOIN basket d ON c.SaleID = d.SaleID AND c.item < d.item GROUP BY ALL HAVING count(*) >= 2"""
+B["support"] = "SELECT CAST(ceil(CAST(0.001 AS DOUBLE) * CAST(n AS DOUBLE)) AS BIGINT) AS least FROM orders_n"
 B["orders_n"] = "SELECT count(DISTINCT SaleID) AS n FROM basket"
 B["pair_rules"] = f"""SELECT item_a, item_b, p.c AS orders_both, {rnd('CAST(p.c AS DOUBLE) / CAST(n AS DOUBLE)', 8)} AS support,
     {rnd('CAST(p.c AS DOUBLE) / CAST(a.c AS DOUBLE)', 6)} AS confidence_ab, {rnd('CAST(p.c AS DOUBLE) / CAST(b.c AS DOUBLE)', 6)} AS confidence_ba,
@@ -287,7 +288,7 @@ B["rules"] = f"""SELECT * FROM (SELECT ante AS antecedent, cons AS consequent, {
       UNION ALL SELECT item_a || ',' || item_b, CAST(item_c AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p USING (item_a, item_b) JOIN item_counts i ON i.item = item_c
       UNION ALL SELECT t.item_a || ',' || t.item_c, CAST(t.item_b AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_a AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_b
       UNION ALL SELECT t.item_b || ',' || t.item_c, CAST(t.item_a AS VARCHAR), t.c, p.c, i.c FROM triples t JOIN pairs p ON p.item_a = t.item_b AND p.item_b = t.item_c JOIN item_counts i ON i.item = t.item_a
-      UNION ALL {_QUAD_RULES}), orders_n)
+      UNION ALL {_QUAD_RULES}), orders_n, support WHERE c >= least)
     WHERE conf_exact >= 0.05 AND lift_exact > 1"""
 B["matrix"] = """SELECT CustomerKey, ProductKey, CAST(sum(Quantity) AS BIGINT) AS quantity, count(DISTINCT SaleID) AS orders FROM fact_sales GROUP BY ALL"""
 
@@ -302,7 +303,7 @@ def _cosine(table: str, entity: str, feature: str, weight: str = "orders") -> st
 B["profile_of"] = """SELECT CustomerKey, min(CustomerKey) OVER (PARTITION BY v) AS profile, count(*) OVER (PARTITION BY v) AS members
     FROM (SELECT CustomerKey, string_agg(ProductKey || ':' || orders, ',' ORDER BY ProductKey) AS v FROM matrix GROUP BY CustomerKey)"""
 B["profile_matrix"] = "SELECT m.* FROM matrix m JOIN profile_of p USING (CustomerKey) WHERE p.profile = m.CustomerKey"
-B["profile_cosine"] = f"SELECT * FROM ({_cosine('profile_matrix', 'CustomerKey', 'ProductKey')}) WHERE cosine >= 0.1"
+B["profile_cosine"] = f"SELECT * FROM ({_cosine('profile_matrix', 'CustomerKey', 'ProductKey')}) WHERE cosine >= 0.5"
 B["tokens"] = """SELECT DISTINCT ProductKey, kind || ':' || word AS token FROM (
     SELECT ProductKey, 'Brand' AS kind, unnest(string_split(lower(coalesce(Brand, '')), ' ')) AS word FROM dim_product
     UNION ALL SELECT ProductKey, 'ProductName', unnest(string_split(lower(coalesce(ProductName, '')), ' ')) FROM dim_product
@@ -347,15 +348,15 @@ UNMARKED_INVOICE = "invoiceid, salesid, nullif(paymentamount, 'n/a') AS paymenta
 
 # scans, sources, sinks
 S["scan_csv"] = raw("Customer")
-S["scan_csv_encoding"] = "SELECT accountid, sectorid || ' – Hôtel à 3 €' AS label FROM raw_customer"
+S["scan_csv_encoding"] = """SELECT accountid, sectorid || ' – "Hôtel"; à 3 € "\\' AS "libellé" FROM raw_customer"""
 S["scan_skip_bad_lines"] = """SELECT accountid, sectorid, CASE WHEN CAST(accountid AS BIGINT) % 10 <> 7 THEN regionid END AS regionid
     FROM raw_customer WHERE accountid IS NOT NULL AND CAST(accountid AS BIGINT) % 10 NOT IN (3, 4)"""
 S["scan_projected_table"] = f"SELECT SaleID, CustomerKey, ProductKey, Quantity, {num('LineTotalAmount')} AS LineTotalAmount FROM fact_sales"
 S["scan_limit_sample"] = f"SELECT SaleID, ProductKey, Quantity, {num('UnitPrice')} AS UnitPrice FROM fact_sales ORDER BY SaleID, ProductKey LIMIT 1000"
 S["count_file_lines"] = " UNION ALL ".join(
-    f'SELECT \'{n}\' AS "table", count(*) AS lines FROM {RAW[n]}' for n in ("Customer", "SalesHeader", "SalesLine", "Invoice")
+    f'SELECT \'{n}\' AS "table", count(*) AS lines FROM {RAW[n]}' for n in RAW_COLUMNS
 )
-_REQUIRED = {"Customer": 1, "Product": 1, "SalesHeader": 4, "SalesLine": 3}
+_REQUIRED = {"Region": 1, "Sector": 1, "Customer": 1, "Seller": 1, "Product": 1, "SalesHeader": 4, "SalesLine": 3, "Invoice": 2}
 S["validate_columns"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS entity, '{c}' AS "column", '{'required' if i < k else 'optional'}' AS declared, 1 AS found, count({c}) AS filled FROM {RAW[n]}"""
     for n, k in _REQUIRED.items()
@@ -392,7 +393,7 @@ S["trim_truncate"] = f"SELECT accountid, {tidy('accountname', 12)} AS accountnam
 S["cast_entity"] = f"SELECT {HEADER_OUT} FROM typed_header"
 S["null_counts"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS entity, '{c}' AS "column", count(*) - count({c}) AS nulls FROM clean_{n.lower()}"""
-    for n in ("Customer", "Product", "SalesHeader", "Invoice")
+    for n in RAW_COLUMNS
     for c in RAW_COLUMNS[n]
 )
 
@@ -484,6 +485,9 @@ _D = "decimal(18,2)"
 COLUMN_TYPES = {
     "DimCustomer": [("CustomerKey", "int")] + [(c, "string") for c in ("AccountID", "AccountName", "RegionID", "RegionDescription", "SectorID", "SectorDescription")],
     "DimProduct": [("ProductKey", "int")] + [(c, "string") for c in ("ItemID", "ProductName", "NameAlias", "Brand")],
+    "DimSeller": [("SellerKey", "int"), ("SellerID", "string"), ("SellerName", "string")],
+    "DimPromotion": [("PromotionKey", "int"), ("PromoType", "string")],
+    "DimPaymentMethod": [("PaymentMethodKey", "int"), ("PaymentMethodCode", "string"), ("PaymentMethodDescription", "string")],
     "DimDate": [("DateKey", "int"), ("FullDate", "date")] + [(c, "int") for c in ("Year", "Quarter", "Month", "Day", "DayOfWeek")]
     + [("DayName", "string"), ("MonthName", "string"), ("IsWeekend", "int")],
     "FactSales": [("SalesKey", "bigint"), ("SaleID", "bigint")] + [(c, "int") for c in FACT.split(", ")[1:]] + [(c, _D) for c in FACT_AMOUNTS],
@@ -513,7 +517,7 @@ def _describe(table: str, c: str) -> str:
 
 
 S["describe_numeric"] = " UNION ALL ".join(
-    _describe("fact_sales", c) for c in ("Quantity", "UnitPrice", "LineDiscountAmount", "LineTotalAmount", "HeaderTotalAmount")
+    _describe("fact_sales", c) for c in ("Quantity", *FACT_AMOUNTS)
 )
 S["distinct_key_counts"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS "table", '{c}' AS "column", count(DISTINCT {c}) AS "distinct" FROM {STAR[t]}"""
@@ -527,15 +531,19 @@ S["missing_summary"] = "SELECT * FROM (" + " UNION ALL ".join(
 ) + ") WHERE missing > 0"
 S["unique_counts"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS "table", '{c}' AS "column", count(DISTINCT {c}) AS unique_values FROM {RAW[n]}"""
-    for n in ("Customer", "Product", "SalesHeader")
+    for n in RAW_COLUMNS
     for c in RAW_COLUMNS[n]
 )
-S["duplicate_rows"] = "SELECT saleid, itemid, promotype, count(*) AS copies FROM raw_salesline GROUP BY ALL HAVING count(*) > 1"
+S["duplicate_rows"] = " UNION ALL ".join(
+    f"""SELECT '{n}' AS "table", coalesce(sum(copies), 0) AS rows, count(*) AS kinds FROM
+    (SELECT count(*) AS copies FROM {RAW[n]} GROUP BY {', '.join(cs)} HAVING count(*) > 1)"""
+    for n, cs in RAW_COLUMNS.items()
+)
 S["duplicate_keys"] = f"""SELECT {', '.join(RAW_COLUMNS['SalesHeader'])}, copies FROM raw_salesheader JOIN (SELECT saleid, count(*) AS copies FROM raw_salesheader
     WHERE saleid IS NOT NULL GROUP BY saleid HAVING count(*) > 1) USING (saleid) ORDER BY saleid, _ord LIMIT 20"""
 S["whitespace_check"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS "table", '{c}' AS "column", count(*) FILTER ({c} <> {strip(c)}) AS padded FROM {RAW[n]}"""
-    for n in ("Customer", "Seller", "Product", "SalesHeader")
+    for n in RAW_COLUMNS
     for c in RAW_COLUMNS[n]
 )
 _AMOUNTS = {
@@ -731,9 +739,9 @@ S["clv_by_segment"] = "SELECT Segment, count(*) AS customers, " + ", ".join(
     f"{rnd(f'quantile_cont(clv_historical, {p})')} AS {n}" for n, p in {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}.items()
 ) + " FROM clv JOIN rfm USING (CustomerKey) GROUP BY 1"
 S["basket_items"] = "SELECT SaleID, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items, count(*) AS item_count FROM basket GROUP BY SaleID"
-S["frequent_itemsets"] = """SELECT CAST(item AS VARCHAR) AS items, 1 AS length, c AS orders FROM item_counts WHERE c >= 2 UNION ALL SELECT item_a || ',' || item_b, 2, c FROM pairs
+S["frequent_itemsets"] = """SELECT items, length, orders FROM (SELECT CAST(item AS VARCHAR) AS items, 1 AS length, c AS orders FROM item_counts UNION ALL SELECT item_a || ',' || item_b, 2, c FROM pairs
     UNION ALL SELECT item_a || ',' || item_b || ',' || item_c, 3, c FROM triples
-    UNION ALL SELECT item_a || ',' || item_b || ',' || item_c || ',' || item_d, 4, c FROM quads"""
+    UNION ALL SELECT item_a || ',' || item_b || ',' || item_c || ',' || item_d, 4, c FROM quads), support WHERE orders >= least"""
 _RULE = "antecedent, consequent, confidence, lift, support"
 S["association_rules"] = f"SELECT {_RULE} FROM rules"
 S["association_rules_top"] = f"SELECT {_RULE} FROM rules ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 10"
@@ -743,12 +751,12 @@ S["customer_product_matrix"] = "SELECT * FROM matrix"
 S["item_cosine"] = f"SELECT a AS item_a, b AS item_b, cosine FROM ({_cosine('matrix', 'ProductKey', 'CustomerKey')}) WHERE cosine >= 0.1"
 S["customer_cosine"] = """SELECT a AS profile_a, b AS profile_b, cosine, x.members AS members_a, y.members AS members_b FROM profile_cosine JOIN profile_of x ON x.CustomerKey = a JOIN profile_of y ON y.CustomerKey = b
     UNION ALL SELECT profile, profile, 1.0, members, members FROM profile_of WHERE profile = CustomerKey AND members > 1"""
-S["recommend_top_n"] = f"""WITH ways AS (SELECT a, b, cosine FROM profile_cosine UNION ALL SELECT b, a, cosine FROM profile_cosine),
-    near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS i FROM ways) WHERE i <= 10),
-    sc AS (SELECT a, ProductKey, {rnd('sum(cosine * orders)', 4)} AS score FROM near JOIN profile_matrix m ON m.CustomerKey = b GROUP BY 1, 2),
-    un AS (SELECT * FROM sc WHERE NOT EXISTS (SELECT 1 FROM profile_matrix o WHERE o.CustomerKey = sc.a AND o.ProductKey = sc.ProductKey)),
-    top AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, ProductKey) AS rank FROM un)
-    SELECT p.CustomerKey, ProductKey, score, rank FROM top JOIN profile_of p ON p.profile = a WHERE rank <= 5"""
+S["recommend_top_n"] = f"""WITH norms AS (SELECT CustomerKey, sqrt(CAST(sum(orders * orders) AS DOUBLE)) AS norm FROM matrix GROUP BY 1),
+    units AS (SELECT CustomerKey, ProductKey, orders, CAST(orders AS DOUBLE) / norm AS unit FROM matrix JOIN norms USING (CustomerKey)),
+    middle AS (SELECT x.ProductKey AS f, y.ProductKey AS p, sum(x.unit * y.orders) AS part FROM units x JOIN units y USING (CustomerKey) GROUP BY 1, 2),
+    sc AS (SELECT CustomerKey, p AS ProductKey, {rnd('sum(unit * part)', 4)} AS score FROM units JOIN middle ON f = ProductKey GROUP BY 1, 2),
+    un AS (SELECT * FROM sc WHERE NOT EXISTS (SELECT 1 FROM matrix o WHERE o.CustomerKey = sc.CustomerKey AND o.ProductKey = sc.ProductKey))
+    SELECT CustomerKey, ProductKey, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY CustomerKey ORDER BY score DESC, ProductKey) AS rank FROM un) WHERE rank <= 5"""
 S["content_similar"] = f"""SELECT a AS profile_a, b AS profile_b, x.members AS members_a, y.members AS members_b, cosine FROM ({_cosine('token_leaders', 'ProductKey', 'token', 'w')})
     JOIN token_profiles x ON x.ProductKey = a JOIN token_profiles y ON y.ProductKey = b WHERE cosine >= 0.8"""
 S["recommend_by_segment"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Segment ORDER BY customers DESC, quantity DESC, ProductKey) AS rank FROM

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +49,17 @@ def detect_encoding(spark: SparkSession, path: str, candidates: list[str]) -> st
     raise ValueError(f"{path} is valid under none of {candidates}")
 
 
-def header_names(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first line, without byte order mark and outer blanks."""
-    first = spark.read.text(path).first()
+def header_names(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
+    """Column names from the first line under the file's encoding, without byte order mark and outer blanks.
+    A quoted name may hold the separator and doubled quotes."""
+    value = F.col("value")
+    if encoding == "cp1252":
+        value = F.translate(F.decode(value.cast("binary"), "ISO-8859-1"), CP1252_BYTES, CP1252_CHARS)
+    first = spark.read.text(path).select(value.alias("value")).first()
     if first is None:
         raise ValueError(f"{path} is empty")
-    names = first.value.removeprefix("﻿").split(FIELD_SEPARATOR)
-    return normalise_names([n.strip('"') for n in names])
+    rows = csv.reader([first.value.removeprefix("\ufeff")], delimiter=FIELD_SEPARATOR)
+    return normalise_names(next(rows, [""]))
 
 
 def normalise_names(names: list[str]) -> list[str]:
@@ -83,25 +89,31 @@ def _too_long(names: list[str]) -> Column:
 
     The reader refuses queries that touch the raw line alone (a plain count), so the first column
     takes part: it is a part of the line, hence never longer."""
-    unquoted = F.regexp_replace(_RAW_LINE, '"[^"]*"', "")
+    unquoted = F.regexp_replace(_RAW_LINE, '"[^"]*"', "")  # doubled quotes are two quoted parts in a row
     first = F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
     longer = F.regexp_count(unquoted, F.lit(FIELD_SEPARATOR)) >= len(names)
     return F.coalesce(longer & (first <= F.length(_RAW_LINE)), F.lit(False))
 
 
 def scan_delimited(
-    spark: SparkSession, path: str, encodings: list[str] | None = None, with_ordinal: bool = False
+    spark: SparkSession,
+    path: str,
+    encodings: list[str] | None = None,
+    with_ordinal: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a ``;`` file with header, every column as text.
 
     Lines with too many fields are skipped and short ones padded with nulls; null markers become
     nulls. ``with_ordinal`` adds ``_ord``, the place in file order, for operators that keep the
     first row. Windows-1252 is read as Latin-1 and the few characters that differ are mapped.
+    Quotes inside quoted fields are doubled; a backslash is a character like any other. Files whose
+    quoted fields hold line breaks are declared with ``multi_line``; such a file is read by one task.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"data file not found: {path}")
     encoding = detect_encoding(spark, path, encodings or ["utf-8", "cp1252"])
-    names = header_names(spark, path)
+    names = header_names(spark, path, encoding)
     fields = ", ".join(f"`{n}` string" for n in [*names, _RAW_LINE])
     lines = (
         spark.read.option("sep", FIELD_SEPARATOR)
@@ -109,6 +121,8 @@ def scan_delimited(
         .option("encoding", "ISO-8859-1" if encoding == "cp1252" else "UTF-8")
         .option("columnNameOfCorruptRecord", _RAW_LINE)
         .option("columnPruning", "false")
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
         .schema(fields)
         .csv(path)
     )
@@ -171,6 +185,7 @@ def write_delimited(df: DataFrame, path: str, encoding: str = "utf-8") -> None:
         df.write.mode("overwrite")
         .option("sep", FIELD_SEPARATOR)
         .option("header", "true")
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .option("encoding", "ISO-8859-1" if encoding == "cp1252" else "UTF-8")

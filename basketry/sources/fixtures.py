@@ -9,22 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import path_bytes
 from basketry.sources.delimited import ORDINAL
 
-_WORTH_SPREADING, _FILE_SPLIT = 1 << 20, 128 << 20
 MONEY, RATE = "decimal(18,2)", "decimal(4,2)"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table. Files are read by row group, so an input that is worth splitting but too
-    small to give every core a file split is spread first; a large input is read as it lies."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if _WORTH_SPREADING < path_bytes(spark, path) < cores * _FILE_SPLIT:
-        return df.repartition(cores)
-    return df
+    """A driver table, read as its files lie."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _text(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.operators import basket as B
 from basketry.operators import clustering as CL
 from basketry.operators import recommend as RC
-from basketry.operators.similarity import shared_pairs
+from basketry.operators.similarity import prefix_pairs, shared_pairs
 
 
 def vectors(seed, entities=60, features=40, hot=3, weighted=True):
@@ -83,10 +83,46 @@ def test_equal_customers_are_shown_once(spark):
     matrix = spark.createDataFrame(rows, "CustomerKey int, ProductKey int, quantity long, orders long")
     found = {(r.profile_a, r.profile_b): (r.members_a, r.members_b, r.cosine) for r in RC.customer_cosine(matrix, 0.1).collect()}
     assert found == {(0, 0): (50, 50, 1.0), (0, 60): (50, 1, 0.707107)}
-    tips = RC.recommend_top_n(matrix, min_cosine=0.1).collect()
+    tips = RC.recommend_top_n(matrix).collect()
     assert {(r.CustomerKey, r.ProductKey) for r in tips} == {(c, 2) for c in range(50)}
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.7, 0.95])
+def test_prefix_pairs_are_all_pairs(spark, threshold):
+    rng = np.random.default_rng(9)
+    data = {e: {int(f): int(rng.integers(1, 5)) for f in rng.choice(12, rng.integers(1, 6), replace=False)} for e in range(60)}
+    data[90] = {f: 1 for f in range(12)}
+    rows = [(e, f, w) for e, v in data.items() for f, w in v.items()]
+    norm = {e: sum(w * w for w in v.values()) ** 0.5 for e, v in data.items()}
+    cosine = lambda a, b: sum(w * data[b].get(f, 0) for f, w in data[a].items()) / norm[a] / norm[b]
+    expected = {(a, b): cosine(a, b) for a, b in itertools.combinations(sorted(data), 2) if cosine(a, b) >= threshold}
+    found = {(r.a, r.b): r.cosine for r in prefix_pairs(spark.createDataFrame(rows, "entity int, feature int, weight long"), threshold).collect()}
+    assert set(found) == set(expected) and all(found[p] == pytest.approx(c, abs=1e-6) for p, c in expected.items())
+
+
+def test_scores_add_up_over_all_customers(spark):
+    rng = np.random.default_rng(2)
+    data = {c: {int(p): int(rng.integers(1, 4)) for p in rng.choice(15, 5, replace=False)} for c in range(40)}
+    data |= {100 + c: data[0] for c in range(5)}
+    rows = [(c, p, 1, n) for c, v in data.items() for p, n in v.items()]
+    matrix = spark.createDataFrame(rows, "CustomerKey int, ProductKey int, quantity long, orders long")
+    norm = {c: sum(n * n for n in v.values()) ** 0.5 for c, v in data.items()}
+    found = {(r.CustomerKey, r.ProductKey): r.score for r in RC.recommend_top_n(matrix, n=15).collect()}
+    expected = {}
+    for c, v in data.items():
+        for p in range(15):
+            score = sum(sum(n * data[o].get(f, 0) for f, n in v.items()) / norm[c] / norm[o] * data[o].get(p, 0) for o in data)
+            if p not in v and score > 0:
+                expected[c, p] = score
+    assert set(found) == set(expected) and all(found[k] == pytest.approx(s, abs=1e-4) for k, s in expected.items())
+
+
+def test_two_equal_large_orders_do_not_give_all_their_subsets(spark):
+    rows = [(s, i) for s in (1, 2) for i in range(40)] + [(10 + s, 100 + s % 7) for s in range(3000)]
+    found = B.frequent_itemsets(B.itemset_model(spark.createDataFrame(rows, "SaleID long, ProductKey long"))).collect()
+    assert {r["items"] for r in found} == {str(100 + i) for i in range(7)}
+
+
 def brute_density(points, steps, min_points):
     """Labels by definition: neighbours by distance, components by search."""
     near = {a: [b for b in points if sum((x - y) ** 2 for x, y in zip(points[a], points[b], strict=True)) <= steps**2] for a in points}

@@ -5,8 +5,9 @@ from comparison import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from basketry.plans import catalog, oracle
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.statements()
 WITHOUT_SQL = sorted(set(QUERIES) - set(SQL))
 
 
@@ -22,7 +23,8 @@ def test_entry(spark):
 
 
 def test_names_agree():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -42,6 +42,34 @@ def test_long_lines_are_skipped_and_short_ones_padded(spark, folder):
     assert df.count() == 4
 
 
+def test_quoted_fields(spark, folder):
+    text = 'id;"na""me; x"\n1;"He said ""hi"" ok"\n2;"semi ""x;y"" z"\n3;"C:\\dir\\"\n4;"a";"b"\n5;C:\\x\n'
+    df = L.scan_delimited(spark, write(folder / "q.csv", text, "utf-8"))
+    assert df.columns == ["id", 'na"me; x']
+    assert dict(tuple(r) for r in df.collect()) == {
+        "1": 'He said "hi" ok', "2": 'semi "x;y" z', "3": "C:\\dir\\", "5": "C:\\x",
+    }
+
+
+def test_line_breaks_in_quotes(spark, folder):
+    text = 'id;v\n1;"a\nb"\n2;"c ""d""\n;e"\n3;f;g\n4;h\n'
+    df = L.scan_delimited(spark, write(folder / "m.csv", text, "utf-8"), multi_line=True)
+    assert dict(tuple(r) for r in df.collect()) == {"1": "a\nb", "2": 'c "d"\n;e', "4": "h"}
+
+
+def test_header_under_the_encoding(spark, folder):
+    path = write(folder / "h.csv", "id;libellé €\n1;é\n", "cp1252")
+    assert L.scan_delimited(spark, path).columns == ["id", "libellé €"]
+
+
+def test_round_trip_of_awkward_fields(spark, folder):
+    rows = [("1", 'He said "hi"'), ("2", 'semi "x;y" z'), ("3", "C:\\dir\\"), ("4", '"'), ("5", "\\"), ("6", '\\";')]
+    df = spark.createDataFrame(rows, 'id string, `na"me` string')
+    L.write_delimited(df, str(folder / "awkward"))
+    back = L.scan_delimited(spark, str(folder / "awkward"))
+    assert back.columns == df.columns and sorted(tuple(r) for r in back.collect()) == rows
+
+
 def test_file_order(spark, folder):
     text = "id\n" + "\n".join(str(i) for i in range(500)) + "\n"
     df = L.scan_delimited(spark, write(folder / "f.csv", text, "utf-8"), with_ordinal=True)
