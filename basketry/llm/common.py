@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -87,6 +88,33 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class WordTable(dict):
+    """Numbers that describe each word of bytes, computed once per word a worker meets."""
+
+    def __init__(self, describe: Callable[[bytes], tuple[int, ...]], columns: int):
+        super().__init__()
+        self.describe, self.fresh = describe, []
+        self.table = np.zeros((1 << 14, columns), np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        self.fresh.append(self.describe(word))
+        at = len(self)
+        self[word] = at
+        return at
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """A row for each word."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.fresh:
+            while len(self.table) < len(self):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[len(self) - len(self.fresh) : len(self)] = self.fresh
+            self.fresh.clear()
+        return self.table[at]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose output bits all depend on all input bits."""
     x = x.astype(np.uint64, copy=True)

@@ -111,6 +111,8 @@ WORDS = (
 )
 MARKERS = r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--)"
 SPACE, STOP = r"[ \t\r\n\x0B\x0C]+", r"([.;:!?]) "
+#: A tag and its value are one sentence.
+TAG = r"(spdx-license-identifier:) "
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -131,6 +133,7 @@ def scan(docs: DataFrame) -> DataFrame:
     that no rule explains."""
     lowered = F.translate(F.coalesce("text", F.lit("")), ASCII_UPPER, ASCII_LOWER)
     spaced = F.regexp_replace(F.regexp_replace(lowered, MARKERS, " "), SPACE, " ")
+    spaced = F.regexp_replace(spaced, TAG, "$1")
     sentences = F.split(F.regexp_replace(spaced, STOP, "$1\n"), "\n")
     # Most texts hold no licence word: they stop at the first test.
     likely = F.when(lowered.rlike(WORDS.replace(" ", "[ \\t\\r\\n]+(?:[/*#;-]+[ \\t]*)?")), sentences)
@@ -162,10 +165,11 @@ def scan_sql(table: str = "documents") -> str:
     sequence = "array_to_string(ids, '')"
     for pattern, name in RULES:
         sequence = f"regexp_replace({sequence}, {q(pattern)}, {q(name.replace('$1', chr(92) + '1'))}, 'g')"
+    tagged = f"regexp_replace(t, {q(TAG)}, {q(chr(92) + '1')}, 'g')"
     return f"""
 WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}') AS t FROM {table}),
 spaced AS (SELECT doc_id, regexp_replace(regexp_replace(t, {q(MARKERS)}, ' ', 'g'), {q(SPACE)}, ' ', 'g') AS t FROM lowered),
-cut AS (SELECT doc_id, list_filter(string_split(regexp_replace(t, {q(STOP)}, E'\\\\1\\n', 'g'), E'\\n'),
+cut AS (SELECT doc_id, list_filter(string_split(regexp_replace({tagged}, {q(STOP)}, E'\\\\1\\n', 'g'), E'\\n'),
   lambda s: regexp_matches(s, {q(WORDS)})) AS sentences FROM spaced),
 found AS (SELECT doc_id, list_filter(list_transform(sentences, lambda s: CASE {' '.join(cases)} END), lambda x: x IS NOT NULL) AS ids FROM cut),
 ruled AS (SELECT doc_id, len(ids) AS n_sentences, {sequence} AS sequence FROM found)

@@ -267,8 +267,8 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 
 def kept_only(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without near-duplicates: of each component the rows of its least id, of repeated rows one.
-    Columns are kept."""
-    found = classes(docs, width, percent).filter("NOT kept").select("doc_id").distinct()
-    alone = docs.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
-    return alone.join(Cut(found, "dropped").df, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without near-duplicates: of each component the rows of its least id; rows that repeat an id and its
+    text stay once. Rows without id are dropped only as copies of each other. Columns are kept."""
+    found = Cut(classes(docs, width, percent).filter("NOT kept").select("doc_id").distinct(), "dropped").df
+    rest = docs.join(found, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text"))
+    return rest.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)

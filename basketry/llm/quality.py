@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import CACHE_WORDS, mix, ship
+from basketry.llm.common import WordTable, mix, ship
 
 BITS = 18
 MAX_ROWS = 12_000
@@ -37,31 +37,16 @@ _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), re.compile(r"[A-
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
-class _Words(dict):
-    """Word of bytes -> position in the arrays of word and shape hashes."""
+def _describe(raw: bytes) -> tuple[int, int]:
+    """Hashes of a word and of its shape."""
+    text = raw.decode("utf-8", "replace")
+    shape = _DIGIT.sub("9", _LOWER.sub("x", _UPPER.sub("X", text)))
+    word = _EDGES.sub("", text).lower() or text
+    return xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(shape, 1)
 
-    def __init__(self):
-        super().__init__()
-        self.pairs: list[tuple[int, int]] = []
-        self.table = np.zeros((0, 2), np.uint64)
 
-    def __missing__(self, raw: bytes) -> int:
-        text = raw.decode("utf-8", "replace")
-        shape = _DIGIT.sub("9", _LOWER.sub("x", _UPPER.sub("X", text)))
-        word = _EDGES.sub("", text).lower() or text
-        self.pairs.append((xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(shape, 1)))
-        at = self[raw] = len(self.pairs) - 1
-        return at
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.pairs, self.table = [], np.zeros((0, 2), np.uint64)
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if len(self.pairs) > len(self.table):
-            new = np.array(self.pairs[len(self.table) :], np.uint64)
-            self.table = np.concatenate([self.table, new])
-        return self.table[at]
+#: Kept by a worker process from task to task.
+_words = WordTable(_describe, 2)
 
 
 def _runs(codes: np.ndarray, longest: int) -> np.ndarray:
@@ -74,7 +59,7 @@ def _runs(codes: np.ndarray, longest: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def features(text: str | None, words: _Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str | None, words: WordTable, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets in ascending order and their values."""
     split = (text or "").encode().split()
     if not split:
@@ -139,11 +124,10 @@ def fit(
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                pairs = [features(t, words, bits) for t in part.column("text").to_pylist()]
+                pairs = [features(t, _words, bits) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("draw"),
@@ -188,11 +172,11 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     kept = docs.drop("score", "predicted")
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, w = _Words(), sent.value.astype(float)
+        w = sent.value.astype(float)
         for batch in batches:
             found = []
             for text in batch.column("text"):
-                at, values = features(text.as_py(), words, bits)
+                at, values = features(text.as_py(), _words, bits)
                 found.append(sigmoid(float(w[at] @ values) + w[-1]))
             scored = np.array(found, float)
             yield pa.RecordBatch.from_arrays(

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html, licenses, mixing, neardup, quality, tokens, vectors, warc
+import corpus_pipeline
+from basketry.llm import decontaminate, html, licenses, mixing, neardup, passages, quality, tokens, vectors, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -59,6 +60,14 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "copies")
 
 
+def op10_paragraph_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeats(table(spark, folder, "documents"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_frames": op2_token_frames,
@@ -69,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_benchmark_templates": op8_benchmark_templates,
     "op9_mixing": op9_mixing,
+    "op10_paragraph_bands": op10_paragraph_bands,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {"op1_license_scan": licenses.scan_sql(), "op7_warc": warc.read_sql()}
