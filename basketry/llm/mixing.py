@@ -92,12 +92,13 @@ def _greedy(rows: DataFrame, keys: list[str], item: str, order: Column, rest: st
 
     def step(state: Column, x: Column) -> Column:
         more = F.struct((state["left"] - x["words"]).alias("left"), F.array_append(state["taken"], x["item"]).alias("taken"))
-        return F.when(x["words"] <= state["left"], more).otherwise(state)
+        # Items without words change no total; they would only be taken once too often.
+        return F.when((x["words"] > 0) & (x["words"] <= state["left"]), more).otherwise(state)
 
     done = grouped.withColumn("done", F.aggregate("items", nothing, step)).withColumns(
         {"left": F.col("done.left"), "taken": F.col("done.taken")}
     )
-    others = F.filter("items", lambda x: ~F.array_contains(F.col("taken"), x["item"]))
+    others = F.filter("items", lambda x: (x["words"] > 0) & ~F.array_contains(F.col("taken"), x["item"]))
     smallest = F.array_min(F.transform(others, lambda x: F.struct(x["words"], x["item"])))["item"]
     state = (
         F.when(F.array_contains("taken", F.col("x.item")), F.lit(2))
