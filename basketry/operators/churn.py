@@ -9,10 +9,11 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import date_from_key, number, ratio, rounded
+from basketry.functions.ranking import number_rows
 from basketry.session import materialise
 from basketry.specs import UNKNOWN_TEXT
 
@@ -69,15 +70,19 @@ def churn_features(sales: DataFrame, customers: DataFrame, days: int = 90) -> Da
     )
 
 
-def in_train(key: str, train_pct: int = 80) -> Column:
-    """A stable hash bucket of the key. Buckets are independent of the label, so each label is
-    divided in the same proportion, and a customer keeps its side in every run."""
-    hashed = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
-    return hashed % 100 < train_pct
-
-
-def stratified_split(labelled: DataFrame, train_pct: int = 80) -> DataFrame:
-    return labelled.withColumn("is_train", in_train("CustomerKey", train_pct).cast("int"))
+def stratified_split(labelled: DataFrame, train_pct: int = 80, by: str | None = "label") -> DataFrame:
+    """Exactly ``train_pct`` percent of each label, rounded down, are for training: the first in the order of
+    a hash of the key. Ranks come from ``number_rows``, so no task holds a label; labels are few. Without
+    ``by`` all rows are one group."""
+    group = F.col(by) if by else F.lit(0)
+    hashed = F.conv(F.substring(F.md5(F.col("CustomerKey").cast("string")), 1, 8), 16, 10).cast("long")
+    named = labelled.withColumns({"_group": group, "_hash": hashed})
+    sizes = named.groupBy("_group").agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0)))
+    placed = number_rows(named, ["_group", "_hash", "CustomerKey"], "_place").join(sizes, "_group")
+    train = (F.col("_place") - F.col("_before")) * 100 <= F.col("_size") * train_pct
+    return placed.withColumn("is_train", train.cast("int")).drop("_group", "_hash", "_place", "_size", "_before")
 
 
 def split_sizes(labelled: DataFrame) -> DataFrame:
@@ -87,9 +92,10 @@ def split_sizes(labelled: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ChurnRun:
-    """Fitted models with the table they were fitted on."""
+    """Fitted models with the table they were fitted on, and the customers as they are at the end of the data."""
 
     table: DataFrame
+    current: DataFrame
     models: dict[str, PipelineModel]
 
     def scored(self, name: str, rows: DataFrame) -> DataFrame:
@@ -133,7 +139,8 @@ def fit_churn(sales: DataFrame, customers: DataFrame, names: list[str] | None =
     for name, estimator in wanted.items():
         models[name] = PipelineModel(stages=[*prepared.stages, estimator.fit(ready)])
     ready.unpersist()
-    return ChurnRun(table, models)
+    # Fitted on features at the cutoff, whose outcome is known; applied to those of the last day.
+    return ChurnRun(table, materialise(churn_features(sales, customers, 0), "current"), models)
 
 
 def confusion(run: ChurnRun) -> DataFrame:
@@ -184,9 +191,11 @@ def feature_importance(run: ChurnRun) -> DataFrame:
 
 
 def churn_risk(run: ChurnRun, model: str) -> DataFrame:
-    return run.scored(model, run.table).select("CustomerKey", F.col("churn_probability").alias("ChurnRisk"))
+    """Risk of every customer at the end of the data."""
+    return run.scored(model, run.current).select("CustomerKey", F.col("churn_probability").alias("ChurnRisk"))
 
 
 def at_risk_list(run: ChurnRun, model: str, n: int = 50) -> DataFrame:
-    ranked = run.scored(model, run.table).orderBy(F.desc("churn_probability"), "CustomerKey").limit(n)
+    """The ``n`` customers most likely to leave after the end of the data."""
+    ranked = run.scored(model, run.current).orderBy(F.desc("churn_probability"), "CustomerKey").limit(n)
     return ranked.select("CustomerKey", "recency", "frequency", "monetary", "churn_probability")

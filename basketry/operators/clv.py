@@ -76,7 +76,12 @@ def clv_table(sales: DataFrame, customers: DataFrame, days: int = 90) -> DataFra
         number(F.sum("LineTotalAmount")).alias("future_revenue")
     )
     rows = churn_features(sales, customers, days).join(after, "CustomerKey", "left")
-    return materialise(stratified_split(rows.na.fill(0.0, ["future_revenue"])), "clv")
+    return materialise(stratified_split(rows.na.fill(0.0, ["future_revenue"]), by=None), "clv")
+
+
+def current_customers(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every customer with the features of the last day, ready for a fitted model."""
+    return VectorAssembler(inputCols=NUMERIC, outputCol="features").transform(churn_features(sales, customers, 0))
 
 
 def _regressors(seed: int = 42) -> dict[str, object]:

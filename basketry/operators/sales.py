@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -456,8 +457,12 @@ def kpi_overview(sales: DataFrame) -> DataFrame:
 
 
 def _active_months(sales: DataFrame) -> DataFrame:
-    key = F.floor(F.col("OrderDateKey") / 100).cast("int")
-    return sales.select("CustomerKey", key.alias("year_month")).distinct()
+    return sales.select("CustomerKey", order_month(sales).alias("year_month")).distinct()
+
+
+def order_month(sales: DataFrame) -> Column:
+    """Year and month of an order as a number; the column the stored fact is partitioned by, if it is there."""
+    return F.col("order_month") if "order_month" in sales.columns else F.expr("cast(OrderDateKey div 100 as int)")
 
 
 def retention_new_returning(sales: DataFrame) -> DataFrame:
@@ -475,10 +480,13 @@ def retention_new_returning(sales: DataFrame) -> DataFrame:
 def loyal_customers(sales: DataFrame, months: int = 3) -> DataFrame:
     """Customers with an order in each of the last ``months`` whole months. The month the data end
     in counts only if they reach its last day."""
-    latest = date_from_key(sales.agg(F.max("OrderDateKey")).scalar())
-    whole = F.when(latest == F.last_day(latest), latest).otherwise(F.add_months(latest, -1))
-    last = F.year(whole) * 12 + F.month(whole)
-    index = F.floor(F.col("year_month") / 100) * 12 + F.col("year_month") % 100
-    recent = _active_months(sales).filter((index > last - months) & (index <= last))
+    latest = sales.agg(F.max("OrderDateKey")).first()[0]
+    if latest is None:
+        return sales.select("CustomerKey", F.lit(0).cast("long").alias("months_active")).limit(0)
+    year, month, day = latest // 10000, latest // 100 % 100, latest % 100
+    last = year * 12 + month - 1 - (day < calendar.monthrange(year, month)[1])
+    # Plain numbers, so that only the folders of these months are read.
+    wanted = [(last - i) // 12 * 100 + (last - i) % 12 + 1 for i in range(months)]
+    recent = _active_months(sales.filter(order_month(sales).isin(wanted)))
     counted = recent.groupBy("CustomerKey").agg(F.count("*").alias("months_active"))
     return counted.filter(F.col("months_active") == months)

@@ -526,7 +526,8 @@ def _(w):
     """The same columns from the fitted models."""
     run = CH.fit_churn(sales(w), named_dim(w), ["logistic_regression"])
     ready, models = V.fit_clv(V.clv_table(sales(w), named_dim(w)))
-    return _enriched(w, CH.churn_risk(run, "logistic_regression"), V.clv_predicted(ready, models["linear_regression"]))
+    predicted = V.clv_predicted(V.current_customers(sales(w), named_dim(w)), models["linear_regression"])
+    return _enriched(w, CH.churn_risk(run, "logistic_regression"), predicted)
 
 
 # ---- profiling and quality ------------------------------------------------------------------
@@ -761,7 +762,7 @@ def _clv(w):
 
 def _clv_predictions(w) -> DataFrame:
     ready, models = _clv(w)
-    return V.clv_predicted(ready, models["linear_regression"])
+    return V.clv_predicted(V.current_customers(sales(w), named_dim(w)), models["linear_regression"])
 
 
 def _baskets_as_text(w) -> DataFrame:

@@ -729,7 +729,8 @@ S["feature_scale"] = "SELECT CustomerKey, " + ", ".join(
 ) + " FROM rfm"
 S["churn_label"] = "SELECT CustomerKey, label FROM churn_label"
 S["churn_features"] = "SELECT * FROM churn_features"
-S["stratified_split"] = """SELECT label, CASE WHEN CAST('0x' || substr(md5(CAST(CustomerKey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 THEN 1 ELSE 0 END AS is_train, count(*) AS customers FROM churn_label GROUP BY 1, 2"""
+S["stratified_split"] = """SELECT label, CASE WHEN i * 100 <= n * 80 THEN 1 ELSE 0 END AS is_train, count(*) AS customers FROM (SELECT label, count(*) OVER (PARTITION BY label) AS n,
+    row_number() OVER (PARTITION BY label ORDER BY CAST('0x' || substr(md5(CAST(CustomerKey AS VARCHAR)), 1, 8) AS BIGINT), CustomerKey) AS i FROM churn_label) GROUP BY 1, 2"""
 S["clv_historical"] = "SELECT * FROM clv"
 S["clv_summary_table"] = f"""SELECT CustomerKey, count(DISTINCT OrderDateKey) - 1 AS repeat_frequency, {kdate('max(OrderDateKey)')} - {kdate('min(OrderDateKey)')} AS recency_age,
     (SELECT {kdate('max(OrderDateKey)')} FROM fact_sales) - {kdate('min(OrderDateKey)')} AS age, {ratio(_REV, 'count(DISTINCT SaleID)')} AS mean_order_value FROM fact_sales GROUP BY CustomerKey"""
