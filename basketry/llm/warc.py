@@ -125,10 +125,10 @@ def write_monolithic(pages: DataFrame, folder: str | None = None, min_bytes: int
     folder = folder or fresh_folder(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
 
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digested(batches: Iterator[pa.RecordBatch], kept: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests = [digest_of(h.as_py().encode()) for h in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "digest"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(digests, pa.string())], names=[*kept, "digest"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, stream, squeeze, count = None, None, zlib.compressobj(level, zlib.DEFLATED, 31), 0
@@ -146,9 +146,11 @@ def write_monolithic(pages: DataFrame, folder: str | None = None, min_bytes: int
             stream.close()
         yield from _one(path, count)
 
-    keyed = rows.mapInArrow(digested, "page_id long, url string, html string, digest string")
-    large = F.octet_length("html") >= min_bytes
-    latest = keyed.filter(large).groupBy("digest").agg(F.max("page_id").alias("response_id"))
+    # The first pass sends on digests only; the second carries the payloads to their files.
+    large = rows.filter(F.octet_length("html") >= min_bytes).select("page_id", "html")
+    digests = large.mapInArrow(lambda b: digested(b, ("page_id",)), "page_id long, digest string")
+    latest = digests.groupBy("digest").agg(F.max("page_id").alias("response_id"))
+    keyed = rows.mapInArrow(lambda b: digested(b, ("page_id", "url", "html")), "page_id long, url string, html string, digest string")
     joined = keyed.join(latest, "digest", "left")
     return materialise(joined.mapInArrow(write, "path string, records long"), "warc-manifest")
 
