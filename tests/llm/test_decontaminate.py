@@ -1,6 +1,7 @@
 import pytest
 
 from basketry.llm import decontaminate
+from edge_rows import edge, nothing  # noqa: F401
 
 ITEM = "A train leaves the old station in Marburg at 9 and travels 120 km to reach Kassel; how many hours does the train need if it runs at 60 km per hour?"
 OTHER = "A train leaves the old station in Lisbon at 7 and travels 300 km to reach Porto; how many hours does the train need if it runs at 50 km per hour?"

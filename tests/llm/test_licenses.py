@@ -5,6 +5,7 @@ import pytest
 from comparison import difference
 
 from basketry.llm import licenses
+from edge_rows import edge, nothing  # noqa: F401
 
 MIT = """// Permission is hereby granted, free of charge, to any
 // person obtaining a copy of this software. The above copyright notice and this

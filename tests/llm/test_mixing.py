@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import mixing
+from edge_rows import edge, nothing  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -5,6 +5,7 @@ import pytest
 
 from basketry.llm import neardup
 from basketry.llm.common import components
+from edge_rows import edge, nothing  # noqa: F401
 
 
 def runs(text, width):

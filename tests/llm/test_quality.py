@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from basketry.llm import quality
+from edge_rows import edge, nothing  # noqa: F401
 
 MEDIUM = "/root/testdata/sf0.01"
 

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from basketry.llm import tokens
+from edge_rows import edge, nothing  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 WHOLE = Tokenizer.from_file(PATH)
