@@ -62,6 +62,8 @@ AROUND = frozenset(
     "related-articles recommended recommendations advert advertisement ads ad widget".split()
 )
 HEADERS = frozenset(("header", "masthead"))
+#: Beginnings of names written in one word, such as cookiebar or commentlist.
+_BEGINS = re.compile(r"(?:cookie|advert|sidebar|comment|newsletter|navbar|navmenu|footer|breadcrumb|popup|sponsor|promo|disqus|gdpr)[a-z0-9]*$")
 _CLOSES_P = BLOCK - frozenset(("html", "body", "li", "dd", "dt", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"))
 _SIBLINGS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -246,8 +248,9 @@ class Page:
         if tag in ("html", "body", "main", "article"):
             return False
         for token in self._tokens(i):
-            pieces = {token, *re.split(r"[-_:]+", token)} & WORDS
-            if pieces - HEADERS or pieces and not within:
+            pieces = {token, *re.split(r"[-_:]+", token)}
+            named = pieces & WORDS
+            if named - HEADERS or named and not within or any(map(_BEGINS.match, pieces)):
                 return True
         return False
 

@@ -11,7 +11,7 @@ def test_article_and_what_surrounds_it():
     page = """<html><head><title>T</title><style>p{}</style><script>var a="</p><article>x";</script></head><body class="has-sidebar">
     <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">We use cookies</div>
     <div class="page has-sidebar"><article><header><h2>The&nbsp;title &amp; more</h2></header><p>One  <b>two<br>three</b>
-    <p>Four<aside>side</aside><form><input> send</form><div class="ad">Buy</div><table><tr><td>a</td><td>b</td></tr></table>
+    <p>Four<aside>side</aside><form><input> send</form><div class="ad">Buy</div><div id="commentlist2">Hm</div><div class="commons"><table><tr><td>a</td><td>b</td></tr></table></div>
     <footer>tags</footer><section class="comments"><article class="comment"><p>I disagree</p></article></section></article></div>
     <div id="comments"><article><p>Me too</p></article></div><div role="dialog">Subscribe</div><footer>(c)</footer></body></html>"""
     assert text(page) == "The title & more\nOne two three\nFour\na b"
