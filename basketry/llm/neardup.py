@@ -7,14 +7,15 @@
 3. Forest: each of ``TREES`` trees reads the signature in an order of its own. All (tree, ordered signature)
    rows are sorted once by range partitions, so that texts with a long common prefix are neighbours, wherever
    they come from. A region is a run of rows with a common prefix; it starts at depth ``BASE``. A region of at
-   most ``REGION`` texts gives its pairs. A larger one is cut at the next depth, region by region, and
-   neighbours in sorted order are paired as well, so a dense region gives pairs in proportion to its rows.
+   most ``REGION`` texts gives its pairs. In a larger one the depth adapts: each text is paired with the two
+   behind it in sorted order, with which it has the longest prefixes in common (``DEPTH`` values are sorted
+   by), so a dense region gives pairs in proportion to its rows.
 4. Pairs whose signatures differ too much are dropped (``SLACK`` standard deviations below the threshold). Each
    text's most similar partner is confirmed first, on full sets: shared runs against all runs, in whole numbers.
    Of the other pairs only those between different components so far are confirmed.
-5. What dense regions left out: in every region that was cut or touches the edge of a partition, texts outside
-   the region's largest component are compared with all texts of other components of that region. So leaving
-   out pairs in step 3 loses no link between different components.
+5. What dense regions left out: in every region that is larger or touches the edge of a partition, texts outside
+   the region's largest component are compared with all texts of other components of that region, signatures
+   first, then full sets, inside the join. So leaving out pairs in step 3 loses no link between components.
 6. Components of the confirmed links, by stars (``common.components``).
 
 A pair of similarity s shares a region of one tree with probability s**BASE, of some tree 1-(1-s**BASE)**TREES:
@@ -35,17 +36,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Cut, WordHashes, components, minima, mix, shingles, ship
+from basketry.llm.common import Cut, WordHashes, bitmap, components, in_bitmap, joined_labels, merged, minima, mix, shingles, ship
 
 TREES, BASE, DEPTH, REGION = 16, 4, 8, 24
-SIGNATURE = TREES * BASE
-SLACK = 3.8
+SIGNATURE = 2 * TREES * BASE
+SLACK = 3.5
+BITMAP_BITS = 24
 
 _PREFIX = 1 + 4 * BASE
-_ORDER = np.array([[(BASE * t + j) % SIGNATURE for j in range(DEPTH)] for t in range(TREES)])
+_ORDER = np.array([[(BASE * t + j) % (TREES * BASE) for j in range(DEPTH)] for t in range(TREES)])
 _SKETCH = "doc_id long, n_shingles long, print1 long, print2 long, signature array<int>"
 
 
+#: Kept by a worker process from task to task.
+_words = WordHashes()
+
+
 def members(text: str | None, width: int, words: WordHashes) -> np.ndarray:
     """The distinct runs of a text as sorted hashes."""
     return np.unique(shingles(words.of((text or "").encode().lower().split()), width))
@@ -53,11 +59,10 @@ def members(text: str | None, width: int, words: WordHashes) -> np.ndarray:
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             sizes, prints, signatures = [], [], []
             for text in batch.column("text"):
-                runs = members(text.as_py(), width, words)
+                runs = members(text.as_py(), width, _words)
                 sizes.append(len(runs))
                 with np.errstate(over="ignore"):
                     both = mix(runs + np.uint64(1)).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(runs ^ np.uint64(0x5BF03635)))
@@ -97,46 +102,34 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_binary(keys.reshape(n * TREES, -1)), pa.array(ids)], names=["key", "id"])
 
 
-def region_pairs(keys: list[bytes], ids: list[int], prefix: int, step: int, limit: int) -> Iterator[tuple[int, int]]:
-    """Pairs of a region whose keys (sorted) share ``prefix`` bytes."""
-    open_ = [(0, len(ids), prefix)]
-    while open_:
-        low, high, depth = open_.pop()
-        if high - low <= limit:
-            for i in range(low, high):
-                for j in range(i + 1, high):
-                    yield ids[i], ids[j]
-            continue
-        for i in range(low + 1, high):
-            yield ids[i - 1], ids[i]
-        if depth < len(keys[low]):
-            start = low
-            for i in range(low + 1, high + 1):
-                if i == high or keys[i][: depth + step] != keys[start][: depth + step]:
-                    if i - start > 2:
-                        open_.append((start, i, depth + step))
-                    start = i
-
-
-def neighbours(sorted_rows: DataFrame, prefix: int, step: int, limit: int) -> DataFrame:
+def region_pairs(ids: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Pairs of a region: all of a small one; of a larger one each row with the two behind it, with which it
+    has the longest prefixes in common."""
+    reach = len(ids) if len(ids) <= limit else 3
+    for i in range(len(ids)):
+        for j in range(i + 1, min(i + reach, len(ids))):
+            yield ids[i], ids[j]
+
+
+def neighbours(sorted_rows: DataFrame, prefix: int, limit: int) -> DataFrame:
     """Candidate pairs of rows sorted by ``key`` within range partitions: ``kind`` 0 with ids ``a, b``;
     ``kind`` 1 says that id ``a`` is in region ``b`` which gave not all its pairs."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[bytes] = []
+        last = b""
         ids: list[int] = []
         out: tuple[list, list, list] = ([], [], [])
         first = True
 
         def settle(edge: bool) -> None:
             if len(ids) > 1:
-                for a, b in region_pairs(keys, ids, prefix, step, limit):
+                for a, b in region_pairs(ids, limit):
                     if a != b:
                         out[0].append(0)
                         out[1].append(min(a, b))
                         out[2].append(max(a, b))
             if edge or len(ids) > limit:
-                region = np.uint64(xxhash.xxh64_intdigest(keys[0][:prefix])).astype(np.int64)
+                region = np.uint64(xxhash.xxh64_intdigest(last)).astype(np.int64)
                 out[0].extend([1] * len(ids))
                 out[1].extend(ids)
                 out[2].extend([int(region)] * len(ids))
@@ -151,12 +144,11 @@ def neighbours(sorted_rows: DataFrame, prefix: int, step: int, limit: int) -> Da
 
         for batch in batches:
             for key, i in zip(batch.column("key").to_pylist(), batch.column("id").to_pylist(), strict=True):
-                if keys and keys[-1][:prefix] != key[:prefix]:
+                if ids and last != key[:prefix]:
                     settle(first)
                     first = False
-                    keys.clear()
                     ids.clear()
-                keys.append(key)
+                last = key[:prefix]
                 ids.append(i)
             if len(out[0]) >= 50_000:
                 yield batch_of()
@@ -172,52 +164,47 @@ def _agreeing(left: str, right: str) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold on full sets. Only texts that occur in a pair are cut again."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
+def _sets(docs: DataFrame, needed: DataFrame, width: int) -> DataFrame:
+    """``id, runs``: the full sets of the texts whose ids are ``needed``. A bitmap of these ids keeps the other
+    texts out before anything is shuffled; a join on the ids follows."""
+    known = Cut(needed.distinct(), "needed").df
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(known.select(F.xxhash64("id").alias("h")), BITMAP_BITS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                runs = [members(t.as_py(), width, words).tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(runs, pa.binary())], names=["id", "runs"])
+            wanted = np.flatnonzero(in_bitmap(sent.value, batch.column("h").to_numpy()))
+            for at in range(0, len(wanted), 512):
+                part = batch.take(pa.array(wanted[at : at + 512]))
+                runs = [members(t.as_py(), width, _words).view(np.int64) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(runs, pa.list_(pa.int64()))], names=["id", "runs"])
 
-    sets = Cut(texts.mapInArrow(cut, "id long, runs binary").dropDuplicates(["id", "runs"]), "sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id IS NOT NULL")
+    found = rows.withColumn("h", F.xxhash64("id")).mapInArrow(cut, "id long, runs array<long>")
+    return Cut(found.join(known, "id", "left_semi").dropDuplicates(["id", "runs"]), "sets").df
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(p) + len(q) - shared) and shared > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.df.select(F.col("id").alias("a"), F.col("runs").alias("x"))
-    right = sets.df.select(F.col("id").alias("b"), F.col("runs").alias("y"))
-    found = Cut(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
-    sets.drop()
-    return found.df
-
-
-def _with_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components so far."""
-    la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    named = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return named.filter(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-
-
-def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links between representatives (``id, signature``), enough to give their components."""
+
+def _reaches(x: str, y: str, percent: int) -> Column:
+    """Whether two full sets reach the threshold, in whole numbers."""
+    shared = F.size(F.array_intersect(x, y))
+    return (shared > 0) & (100 * shared >= percent * (F.size(x) + F.size(y) - shared))
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that reach the threshold on full sets. Only texts that occur in a pair are cut again."""
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), width)
+    left = sets.select(F.col("id").alias("a"), F.col("runs").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("runs").alias("y"))
+    met = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return Cut(met.filter(_reaches("x", "y", percent)).select("a", "b"), "links").df
+
+
+def linked(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """``node, label``: components of the representatives (``id, signature``) that are linked with others."""
     s = percent / 100.0
     least = int(np.floor(SIGNATURE * (s - SLACK * np.sqrt(s * (1 - s) / SIGNATURE))))
     rows = reps.mapInArrow(_trees, "key binary, id long")
     order = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    found = Cut(neighbours(order, _PREFIX, 4, REGION).distinct(), "forest")
+    found = Cut(neighbours(order, _PREFIX, REGION).distinct(), "forest")
     sa = reps.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
     sb = reps.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
     likely = found.df.filter("kind = 0").select("a", "b").join(sa, "a").join(sb, "b").withColumn("alike", _agreeing("sa", "sb"))
@@ -225,29 +212,31 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
     best = pairs.df.groupBy("b").agg(F.max(F.struct("alike", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
     first = Cut(best, "best")
     confirmed = _confirm(first.df, docs, width, percent)
-    labels = Cut(components(confirmed), "labels")
-    rest = _with_labels(pairs.df.join(first.df, ["a", "b"], "left_anti"), labels.df).select("a", "b")
-    confirmed = Cut(confirmed.unionByName(_confirm(Cut(rest, "rest").df, docs, width, percent)), "links").df
-    labels.drop()
+    labels = Cut(components(confirmed), "labels").df
+    rest = joined_labels(labels, pairs.df.join(first.df, ["a", "b"], "left_anti")).select("a", "b")
+    rest = Cut(rest, "rest").df
+    if not rest.isEmpty():
+        labels = merged(labels, _confirm(rest, docs, width, percent))
 
     # Dense regions: rows outside the largest component of their region against the others of it.
-    labels = Cut(components(confirmed), "labels")
     dense = found.df.filter("kind = 1").select(F.col("b").alias("region"), F.col("a").alias("id")).distinct()
-    named = dense.join(labels.df.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = dense.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = Cut(named, "dense")
     sizes = named.df.groupBy("region", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("region").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("kinds"))
     largest = largest.filter("kinds > 1").select("region", F.col("m.label").alias("main"))
-    open_ = named.df.join(largest, "region").join(reps.select("id", "signature"), "id")
-    open_ = Cut(open_, "open")
-    if not open_.df.isEmpty():
-        fringe = open_.df.filter("label <> main").select("region", F.col("id").alias("p"), F.col("label").alias("lp"), F.col("signature").alias("sp"))
-        others = open_.df.select("region", F.col("id").alias("q"), F.col("label").alias("lq"), F.col("signature").alias("sq"))
-        met = fringe.join(others, (fringe.region == others.region) & (F.col("lp") != F.col("lq")) & (_agreeing("sp", "sq") >= least))
-        more = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-        more = Cut(more.join(pairs.df.select("a", "b"), ["a", "b"], "left_anti"), "more")
-        confirmed = confirmed.unionByName(_confirm(more.df, docs, width, percent))
-    return confirmed
+    open_ = Cut(named.df.join(largest, "region"), "open").df
+    if open_.isEmpty():
+        return labels
+    # Decided in the join itself, so that only links come out of it.
+    sets = _sets(docs, open_.select("id"), width)
+    rows = Cut(open_.join(reps.select("id", "signature"), "id").join(sets, "id"), "open").df
+    fringe = rows.filter("label <> main").select("region", F.col("id").alias("p"), F.col("label").alias("lp"), F.col("signature").alias("sp"), F.col("runs").alias("x"))
+    others = rows.select("region", F.col("id").alias("q"), F.col("label").alias("lq"), F.col("signature").alias("sq"), F.col("runs").alias("y"))
+    like = (F.col("lp") != F.col("lq")) & (_agreeing("sp", "sq") >= least) & _reaches("x", "y", percent)
+    met = fringe.join(others, (fringe.region == others.region) & like)
+    more = Cut(met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "more").df
+    return labels if more.isEmpty() else merged(labels, more)
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -258,7 +247,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     sets = sketches.filter("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
     reps = Cut(sets, "reps").df
     usable = reps.filter("id IS NOT NULL").select("id", "signature")
-    labels = components(links(docs, usable, width, percent))
+    labels = linked(docs, usable, width, percent)
     named = reps.select(*prints, "id").join(labels, F.col("id") == F.col("node"), "left")
     named = named.select(*prints, F.coalesce("label", "id").alias("component_id"))
     joined = sketches.select("doc_id", *prints).join(named, prints, "left")

@@ -228,26 +228,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """As many of the links as connect what they connect."""
-    up: dict[int, int] = {}
-
-    def root(i: int) -> int:
-        while up.setdefault(i, i) != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    left, right = [], []
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = root(i), root(j)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-            left.append(i)
-            right.append(j)
-    return left, right
-
-
 def usable(embeddings: DataFrame) -> DataFrame:
     """``vec_id, label, size, vector`` of the vectors that count, in double precision."""
     vector = F.col("embedding").cast("array<double>")
