@@ -129,10 +129,11 @@ def neighbours(sorted_rows: DataFrame, prefix: int, limit: int) -> DataFrame:
                         out[1].append(min(a, b))
                         out[2].append(max(a, b))
             if edge or len(ids) > limit:
-                region = np.uint64(xxhash.xxh64_intdigest(last)).astype(np.int64)
+                # A prefix of eight bytes is its own name.
+                region = int.from_bytes(last, signed=True) if len(last) == 8 else int(np.uint64(xxhash.xxh64_intdigest(last)).astype(np.int64))
                 out[0].extend([1] * len(ids))
                 out[1].extend(ids)
-                out[2].extend([int(region)] * len(ids))
+                out[2].extend([region] * len(ids))
 
         def batch_of() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays(
