@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import CACHE_WORDS, mix, ship
+from basketry.llm.common import WordTable, bitmap, in_bitmap, mix, ship
 from basketry.session import materialise
 
 WIDTH, LITERAL, SHARE = 5, 3, 0.8
@@ -52,60 +52,50 @@ UNITS = frozenset(
 )
 
 _SLOT_CODE = {kind: xxhash.xxh64_intdigest(f"slot {kind}") for kind in ("number", "unit", "name")}
-_GLUED = re.compile(rb"(?<=[0-9])(?=[A-Za-z%\xc2\xe2])")
+_GLUED = re.compile(rb"[0-9][A-Za-z%\xc2\xe2]")
+_GLUE = re.compile(rb"(?<=[0-9])(?=[A-Za-z%\xc2\xe2])")
 _NUMBER = re.compile(r"[-+]?[0-9][0-9.,:/]*")
 _EDGES = re.compile(r"^[^\w%$€£°]+|[^\w%$€£°]+$")
 _CAPITAL, _ENDS, _SLOT, _SKIP = 1, 2, 4, 8
 
 
-class _Words(dict):
-    """Word of bytes -> position in the table of (value hash, code, flags)."""
-
-    def __init__(self):
-        super().__init__()
-        self._reset()
-
-    def _reset(self) -> None:
-        self.clear()
-        self.rows: list[tuple[int, int, int]] = []
-        self.table = np.zeros((0, 3), np.uint64)
-
-    def __missing__(self, raw: bytes) -> int:
-        text = raw.decode("utf-8", "replace")
-        bare = _EDGES.sub("", text)
-        value = bare.lower()
-        flags = _ENDS if text.rstrip("\"')]»”’").endswith((".", "!", "?", ":")) else 0
-        code = xxhash.xxh64_intdigest(value)
-        kind = None
-        if not value:
-            flags |= _SKIP
-        elif _NUMBER.fullmatch(value) or value in NUMBER_WORDS:
-            kind = "number"
-        elif value in UNITS:
-            kind = "unit"
-        elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
-            flags |= _CAPITAL
-        self.rows.append((code, _SLOT_CODE[kind] if kind else code, flags | (_SLOT if kind else 0)))
-        at = self[raw] = len(self.rows) - 1
-        return at
-
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Values, codes and whether each is a slot, of the words of a text."""
-        raw = (text or "").encode()
-        words = _GLUED.sub(b" ", raw).split()
-        if len(self) > CACHE_WORDS:
-            self._reset()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if len(self.rows) > len(self.table):
-            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table) :], np.uint64)])
-        found = self.table[at]
-        flags = found[:, 2].astype(np.uint8)
-        fresh = np.concatenate([[True], (flags[:-1] & _ENDS) > 0]) if len(words) else np.zeros(0, bool)
-        name = ((flags & _CAPITAL) > 0) & ~fresh
-        codes = np.where(name, np.uint64(_SLOT_CODE["name"]), found[:, 1])
-        slots = name | ((flags & _SLOT) > 0)
-        keep = (flags & _SKIP) == 0
-        return found[keep, 0], codes[keep], slots[keep]
+def _describe(raw: bytes) -> tuple[int, int, int]:
+    """Hash of the value, code (the value's or its slot's) and flags of a word."""
+    text = raw.decode("utf-8", "replace")
+    bare = _EDGES.sub("", text)
+    value = bare.lower()
+    flags = _ENDS if text.rstrip("\"')]»”’").endswith((".", "!", "?", ":")) else 0
+    code = xxhash.xxh64_intdigest(value)
+    kind = None
+    if not value:
+        flags |= _SKIP
+    elif _NUMBER.fullmatch(value) or value in NUMBER_WORDS:
+        kind = "number"
+    elif value in UNITS:
+        kind = "unit"
+    elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+        flags |= _CAPITAL
+    return code, _SLOT_CODE[kind] if kind else code, flags | (_SLOT if kind else 0)
+
+
+#: Kept by a worker process from task to task.
+_words = WordTable(_describe, 3)
+
+
+def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, codes and whether each is a slot, of the words of a text."""
+    raw = (text or "").encode()
+    if _GLUED.search(raw):
+        raw = _GLUE.sub(b" ", raw)
+    words = raw.split()
+    found = _words.of(words)
+    flags = found[:, 2].astype(np.uint8)
+    fresh = np.concatenate([[True], (flags[:-1] & _ENDS) > 0]) if len(words) else np.zeros(0, bool)
+    name = ((flags & _CAPITAL) > 0) & ~fresh
+    codes = np.where(name, np.uint64(_SLOT_CODE["name"]), found[:, 1])
+    slots = name | ((flags & _SLOT) > 0)
+    keep = (flags & _SKIP) == 0
+    return found[keep, 0], codes[keep], slots[keep]
 
 
 def windows(values: np.ndarray, codes: np.ndarray, slots: np.ndarray, width: int, literal: bool) -> np.ndarray:
@@ -118,11 +108,16 @@ def windows(values: np.ndarray, codes: np.ndarray, slots: np.ndarray, width: int
     else:
         held = np.concatenate([[0], np.cumsum(~slots)])
         use = held[width:] - held[:count] < min(LITERAL, width)
-    template, exact = np.full(count, width, np.uint64), np.full(count, width + 100, np.uint64)
+    template = _joined(codes, width, count, width)
+    return np.where(use, _joined(values, width, count, width + 100), template) if use.any() else template
+
+
+def _joined(codes: np.ndarray, width: int, count: int, seed: int) -> np.ndarray:
+    total = np.full(count, seed, np.uint64)
     for i in range(width):
-        template = mix(template + codes[i : i + count])
-        exact = mix(exact + values[i : i + count])
-    return np.where(use, exact, template)
+        total = (total ^ codes[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+    return mix(total)
 
 
 def _pieces(found: np.ndarray, values: np.ndarray, slots: np.ndarray, width: int, keep: np.ndarray) -> Iterator[tuple]:
@@ -148,11 +143,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     ship(benchmark.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values, codes, slots = words.of(text)
+                values, codes, slots = canonical(text)
                 width = min(WIDTH, len(values))
                 if width:
                     found = windows(values, codes, slots, width, width < WIDTH)
@@ -164,33 +158,22 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return materialise(items.mapInArrow(cut, f"item_id long, n_windows int, {_WINDOW}"), "item-windows")
 
 
-def _bitmap(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bitmap over the top bits of the hashes, at most 2**(BITMAP_BITS - 6) rows, and the widths (at most WIDTH)."""
-    slot = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITMAP_BITS}) & 63 as int))")
-    rows = items.groupBy(F.shiftright(slot, 6).alias("place")).agg(F.bit_or(bit).alias("bits")).collect()
-    bits = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for r in rows:
-        bits[r.place] = r.bits
-    return bits.view(np.uint64), sorted(r.width for r in items.select("width").distinct().collect())
-
-
 def text_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Windows of the texts that pass the bitmap of the items' windows."""
-    bits, widths = _bitmap(items)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(items.select("hash"), BITMAP_BITS))
+    # At most WIDTH different widths.
+    widths = sorted(r.width for r in items.select("width").distinct().collect())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bitmap = _Words(), sent.value
+        known = sent.value
         for batch in batches:
             rows = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                values, codes, slots = words.of(text)
+                values, codes, slots = canonical(text)
                 for width in widths:
                     found = windows(values, codes, slots, width, width < WIDTH)
-                    slot = found >> np.uint64(64 - BITMAP_BITS)
-                    hit = (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                    rows += [(doc, key, h, width, at, held) for h, at, held in _pieces(found, values, slots, width, hit > 0)]
+                    hit = in_bitmap(known, found)
+                    rows += [(doc, key, h, width, at, held) for h, at, held in _pieces(found, values, slots, width, hit)]
                 if len(rows) >= 20_000:
                     yield _batch(rows, [pa.int64(), pa.int64()], ["doc_id", "text_key"])
                     rows = []
