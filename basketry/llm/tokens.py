@@ -24,6 +24,8 @@ manifest. Columns other than the two named ones are ignored.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -37,11 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import CACHE_WORDS, file_at, fresh_folder
+from basketry.llm.common import file_at, fresh_folder, ship
 from basketry.session import materialise
 
 SKIPPABLE, SEEK_TABLE, SEEKABLE_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 256 << 10
+#: Runs of characters whose ids a worker keeps, and characters it encodes at once.
+KEPT_RUNS, AT_ONCE = 700_000, 4 << 20
 
 MANIFEST = "shard int, path string, documents long, tokens long, frames int"
 ENCODED = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -51,55 +55,102 @@ class ChunkEncoder:
     """Token ids of whole texts, encoding each distinct run of non-white ASCII characters once.
 
     The tokenizer drops white space before it merges and neither its normaliser nor its pre-tokeniser
-    looks across it, so the ids of a text are those of its runs in order (tested against the library on
-    whole texts). The library encodes every run; what is kept is bounded by ``CACHE_WORDS``."""
+    looks across it; it lowers case; and it never merges a letter with the signs that follow it. So the ids
+    of a text are those of its runs in order, lower-cased, and those of a word with signs are the word's and
+    the signs'. Texts that may hold a special token's name keep their case. Every word is encoded by the
+    library; tests compare with it on whole texts. The first ``KEPT_RUNS`` runs are kept, others are encoded
+    again when they come again."""
 
     def __init__(self, tokenizer_path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if not new:
-            return
-        if len(known) > CACHE_WORDS:
-            self._forget()
-            known = self.known
-            new = list(dict.fromkeys(chunks))
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+    def _append(self, runs: list[bytes], lengths: np.ndarray, flat: np.ndarray) -> None:
+        n = len(self.first) - 1
+        self.known.update(zip(runs, range(n, n + len(runs)), strict=True))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, flat])
 
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs at these places and how many each has."""
+        starts, lengths = self.first[at], self.first[at + 1] - self.first[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(starts - ends + lengths, lengths) + np.arange(total)], lengths
+
+    def _learn(self, runs: list[bytes]) -> list[bytes]:
+        known = self.known
+        new = [r for r in dict.fromkeys(runs) if r not in known]
+        cut = [_word_and_signs(r) for r in new]
+        whole = [r for r, m in zip(new, cut, strict=True) if m is None]
+        pairs = [(r, *m) for r, m in zip(new, cut, strict=True) if m is not None]
+        encode = [p for p in dict.fromkeys([*whole, *(x for p in pairs for x in p[1:])]) if p not in known]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in encode], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._append(encode, lengths, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())))
+        if pairs:
+            ids, lengths = self._gather(np.array([known[x] for p in pairs for x in p[1:]], np.int64))
+            self._append([p[0] for p in pairs], lengths[0::2] + lengths[1::2], ids)
+        return [*encode, *(p[0] for p in pairs)]
+
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode().split() for t in texts]
-        chunks = [c for s in split for c in s]
-        self._learn(chunks)
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        starts, lengths = self.first[at], self.first[at + 1] - self.first[at]
+        split = []
+        for text in texts:
+            raw = text.encode()
+            split.append((raw if b"<|" in raw else raw.lower()).split())
+        runs = [r for s in split for r in s]
+        kept = len(self.known), self.first, self.flat
+        added = self._learn(runs)
+        ids, lengths = self._gather(np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs)))
+        if kept[0] >= KEPT_RUNS:
+            for r in added:
+                del self.known[r]
+            self.first, self.flat = kept[1:]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])]
         cuts = ends[np.cumsum([len(s) for s in split], dtype=np.int64)] if split else []
         return np.split(ids, cuts[:-1]) if split else []
 
 
+#: Signs that never begin a contraction or a special token.
+_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)").fullmatch
+
+
+def _word_and_signs(run: bytes) -> tuple[bytes, bytes] | None:
+    """Letters and the signs that follow them, if a run is nothing else."""
+    m = _WORD_AND_SIGNS(run.decode())
+    return (m[1].encode(), m[2].encode()) if m and m[1].isalpha() else None
+
+
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def encoder_of(tokenizer_path: str) -> ChunkEncoder:
+    """The encoder of this worker process, kept from task to task."""
+    if tokenizer_path not in _encoders:
+        _encoders[tokenizer_path] = ChunkEncoder(tokenizer_path)
+    return _encoders[tokenizer_path]
+
+
+def parts_of(texts: list[str]) -> Iterator[slice]:
+    """Consecutive texts of about ``AT_ONCE`` characters, one text at least."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= AT_ONCE or i - start >= 1000:
+            yield slice(start, i + 1)
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 class ShardWriter:
     """Writes frames to an open stream as documents come."""
 
@@ -202,22 +253,23 @@ def write_shards(
     docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = 1, frame_bytes: int = FRAME_BYTES
 ) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write the shards; returns the stored manifest."""
+    ship(docs.sparkSession)
     folder = folder or fresh_folder(docs.sparkSession, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, stream, path = ChunkEncoder(tokenizer_path), None, None, ""
+        encoder, writer, stream, path = encoder_of(tokenizer_path), None, None, ""
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for part in parts_of(texts):
                 if writer is None:
                     path = f"{folder}/shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
                     files, inner = file_at(path)
                     files.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                     stream = files.open_output_stream(inner, compression=None)
                     writer = ShardWriter(stream, frame_bytes)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode_all(part.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(ids_of[part], encoder.encode_all(texts[part]), strict=True):
                     writer.add(doc_id, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
@@ -235,6 +287,7 @@ def write_shards(
 def read_shards(manifest: DataFrame) -> DataFrame:
     """One row per document of the shards: its id, the number of tokens before it in all shards, its
     number of tokens and the crc32 of them. One task per shard; it holds one frame at a time."""
+    ship(manifest.sparkSession)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
     count = max(1, manifest.count())
