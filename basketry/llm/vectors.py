@@ -5,12 +5,13 @@
 2. A group is dealt by hash over shards of about ``shard_rows`` vectors. Each shard builds a graph: a vector is
    on layer l with probability ``m**-l``, keeps at most ``m`` neighbours (twice that on layer 0), chosen so that
    none is nearer to a kept one than to the vector, and is found from the top layer down with a beam.
-3. Audit: ``AUDIT`` members of the shard are compared with all of it; the beam of the shard is doubled until at
-   least ``RECALL`` of their nearest linked neighbours (as many as half a beam holds at first) come back. The
-   graph, its beam and the recall measured are stored.
-4. Every representative queries every shard of its group, in blocks of ``block_rows``. What comes back is
-   verified: cosine in double precision of the stored numbers, at least ``threshold``. A block sends on only as
-   many links as connect what it found; the components of all are united by stars.
+3. Audit: ``AUDIT`` members of the shard that have links are compared with all of it; the beam of the shard is
+   doubled until at least ``RECALL`` of their links, without themselves, come back. The graph, its beam and the
+   recall measured are stored.
+4. Every representative queries every shard of its group, in blocks of ``block_rows``. If all that a beam holds is
+   linked there may be more, and the query is compared with the whole shard. What comes back is verified: cosine
+   in double precision of the stored numbers, at least ``threshold``. A block sends on only as many links as
+   connect what it found; the components of all are united by stars.
 5. Links live inside components only, so the links of a vector are counted there, in blocks, exactly: each pair
    of blocks of a component is a task of its own. Copies count with their weight.
 
@@ -188,20 +189,46 @@ class Graph:
         return self.search(queries, start, beam, 0)
 
     def audit(self, threshold: float, sample: int = AUDIT, wanted: float = RECALL, seed: int = 5) -> tuple[int, float]:
-        """The beam that finds ``wanted`` of the nearest linked neighbours of a sample, and the recall."""
+        """The beam that finds ``wanted`` of the linked neighbours of ``sample`` members that have any, and the recall."""
         n = len(self.x)
-        picked = np.random.default_rng(seed).choice(n, min(sample, n), replace=False)
-        exact = self.x[picked] @ self.x.T
-        most = max(2, self.beam // 2)
-        true = [set(o[: min(most, int((e[o] >= threshold).sum()))].tolist()) for e, o in zip(exact, np.argsort(-exact, axis=1), strict=True)]
-        beam = self.beam
-        while True:
-            found, _ = self.query(self.x[picked], min(beam, n))
-            hits = sum(len(t & set(f.tolist())) for t, f in zip(true, found, strict=True))
-            recall = hits / max(1, sum(map(len, true)))
-            if recall >= wanted or beam >= n:
-                return min(beam, n), recall
+        order = np.random.default_rng(seed).permutation(n)
+        picked, true = [], []
+        for at in range(0, n, 256):
+            near = self.x[order[at : at + 256]] @ self.x.T >= threshold
+            near[np.arange(len(near)), order[at : at + 256]] = False
+            for i in np.flatnonzero(near.any(axis=1)).tolist():
+                picked.append(order[at + i])
+                true.append(np.flatnonzero(near[i]))
+            if len(picked) >= sample:
+                break
+        picked, true = picked[:sample], true[:sample]
+        beam, links = self.beam, sum(map(len, true))
+        while links:
+            found, near = self.query(self.x[picked], min(beam, n))
+            # Who fills the beam with links is compared with all of the shard.
+            full = near[:, -1] >= threshold
+            hits = sum(len(t) if f else len(np.intersect1d(t, o)) for t, f, o in zip(true, full, found, strict=True))
+            if hits >= wanted * links or beam >= n:
+                return min(beam, n), hits / links
             beam *= 2
+        return min(beam, n), 1.0
+
+    def linked(self, queries: np.ndarray, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Members of cosine ``least`` or more and their cosines, for each query. A query whose beam holds nothing
+        else may have more: it is compared with every member."""
+        found, near = self.query(queries, beam)
+        good = (found >= 0) & (near >= least)
+        full = good[:, -1]
+        for at in range(0, len(queries), 256):
+            more = np.flatnonzero(full[at : at + 256]) + at
+            every = iter(queries[more] @ self.x.T)
+            for i in range(at, min(at + 256, len(queries))):
+                if full[i]:
+                    row = next(every)
+                    members = np.flatnonzero(row >= least)
+                    yield members, row[members]
+                else:
+                    yield found[i][good[i]], near[i][good[i]]
 
     def pack(self) -> bytes:
         out = io.BytesIO()
@@ -264,14 +291,31 @@ def _query(graphs: DataFrame, queries: DataFrame, threshold: float) -> DataFrame
         row = left.iloc[0]
         graph, ids = Graph.unpack(row["graph"]), np.frombuffer(row["ids"], np.int64)
         own, unit = right["id"].to_numpy(np.int64), _unit(_matrix(right["vector"]))
-        found, near = graph.query(unit.astype(np.float32), int(row["beam"]))
-        q, k = np.nonzero((found >= 0) & (near >= threshold - 1e-5))
-        other = found[q, k]
-        # float32 finds; the stored vectors decide below.
-        keep = own[q] != ids[other]
-        q, other, near_ = q[keep], other[keep], near[q, k][keep]
-        order = np.argsort(-near_, kind="stable")
-        return pd.DataFrame({"a": own[q[order]], "b": ids[other[order]]})
+        # float32 finds; the stored vectors decide below. Beyond the slack of float32 a link is sure.
+        slack = 1e-5 + 1.2e-7 * unit.shape[1]
+        a, b, unsure = [], [], []
+        label = np.arange(len(ids))
+        for id_, (members, near) in zip(own, graph.linked(unit.astype(np.float32), int(row["beam"]), threshold - slack), strict=True):
+            sure = near >= threshold + slack
+            if not sure.all():
+                unsure += [(id_, m) for m in members[~sure] if ids[m] != id_]
+                members = members[sure]
+            if not len(members):
+                continue
+            labels = label[members]
+            if (labels == labels[0]).all():
+                first = members[:2] if ids[members[0]] == id_ else members[:1]
+            else:
+                # One link for each of the parts that this vector joins.
+                kinds, at = np.unique(labels, return_index=True)
+                first = np.append(members[at], members[:1])
+                label[np.isin(label, kinds)] = kinds[0]
+            first = first[ids[first] != id_]
+            a += [id_] * len(first)
+            b += ids[first].tolist()
+        a += [id_ for id_, _ in unsure]
+        b += [ids[m] for _, m in unsure]
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     on = [*_GROUP, "shard", "block"]
     return graphs.groupBy(*on).cogroup(queries.groupBy(*on)).applyInPandas(ask, "a long, b long")

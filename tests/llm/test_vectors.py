@@ -57,6 +57,21 @@ def test_the_graph_finds_what_brute_force_finds():
     assert np.array_equal(again.query(x[:50].astype(np.float32), 64)[0], found[:50])
 
 
+@pytest.mark.parametrize("shard_rows", [20_000, 200])
+def test_links_beyond_a_full_beam(spark, shard_rows):
+    """Two dense groups, linked with each other, each of whose members has more nearer ones in its own group."""
+    rng, rows = np.random.default_rng(4), []
+    for side in (-1, 1):
+        for _ in range(300):
+            v = rng.normal(size=64) * 0.004
+            v[:2] += (1.0, side * 0.086)
+            rows.append((len(rows), [float(x) for x in v.astype(np.float32)], 0))
+    want = by_hand(rows)
+    assert {c for _, c in want.values()} == {0} and min(n for n, _ in want.values()) > 300
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.classes(df, shard_rows=shard_rows).collect()} == want
+
+
 def test_edges(spark):
     rows = [
         (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [2.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1),
