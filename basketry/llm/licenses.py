@@ -2,8 +2,9 @@
 
 1. A text is normalised: ASCII upper case lowered, comment markers at line starts dropped, white space
    made one space; then cut into sentences after ``. ; : ! ?`` and a space.
-2. A sentence that holds one of the licence words is mapped to an identifier by the first known
-   sentence it contains. A known sentence may carry a version, kept in the identifier.
+2. A sentence that holds one of the licence words is mapped to the identifiers of all known sentences it contains,
+   by their place in it; where two overlap the first of the list counts. A known sentence may carry a version,
+   kept in the identifier. An SPDX expression gives an identifier for each of its licences.
 3. The identifiers of a document in order form a sequence such as ``<mit-grant><mit-notice><as-is>``.
    Ordered rules replace the sub-sequences they know by a licence, ``[MIT]``, longer rules first; each
    sees what the ones before it left. What no rule explains stays visible as unmatched.
@@ -104,6 +105,19 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"<public-domain>", "[Public-Domain]"),
 )
 
+#: Names alone, after all known sentences; ``scan_sql`` does not know them.
+NAMES: tuple[tuple[str, str], ...] = (
+    ("mit-name", r"\bmit licen[sc]e\b"),
+    ("bsd-name", r"\bbsd licen[sc]e\b"),
+    ("isc-name", r"\bisc licen[sc]e\b"),
+    ("apache-name", r"\bapache licen[sc]e\b"),
+)
+NAME_RULES = ((r"<apache-name>(?:<apache-use>)?(?:<apache-copy>)?(?:<apache-basis>)?(?:<apache-limits>)?", "[Apache]"),)
+#: An operator of an SPDX expression, with what stands before it, as written; ``\\G`` carries on where the last one ended.
+OPERATOR = r"((?i:spdx-license-identifier:)[ \t]*|\G(?!\A))([(]*[A-Za-z0-9.+:-]+[)]*)[ \t]+(OR|AND|WITH)[ \t]+(?=[(]*[A-Za-z0-9])"
+#: Characters for private use: the bounds of an identifier in a sentence, and a licence that follows in an expression.
+OPEN, CLOSE, NEXT = "\ue000", "\ue001", "\ue002"
+
 #: A sentence without any of these words holds no known sentence (tested).
 WORDS = (
     r"licen[sc]e|permission|redistribution|endorse|advertising materials|as is|in no event|any later version|"
@@ -116,13 +130,24 @@ TAG = r"(spdx-license-identifier:) "
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _identifier(sentence: Column) -> Column:
-    found = F.lit(None).cast("string")
-    for name, pattern in reversed(SENTENCES):
+def _identifiers(sentence: Column) -> Column:
+    """The identifiers of a sentence in order."""
+    first = SENTENCES[0][1]
+    # The mark before a licence keeps it from being read as a name below.
+    marked = F.regexp_replace(sentence, first.replace(": ?", ": ?[(]*"), f"{OPEN}spdx:_$1{CLOSE}")
+    marked = F.regexp_replace(marked, f"[)]*{NEXT}[(]*([a-z0-9.+-]+)", f"{OPEN}spdx:_$1{CLOSE}")
+    for k, (_, pattern) in enumerate((*SENTENCES[1:], *NAMES)):
         versioned = "(" in pattern.replace("(?:", "")
-        token = F.concat(F.lit(f"<{name}:"), F.regexp_extract(sentence, pattern, 1), F.lit(">")) if versioned else F.lit(f"<{name}>")
-        found = F.when(sentence.rlike(pattern), token).otherwise(found)
-    return found
+        marked = F.regexp_replace(marked, pattern, f"{OPEN}{k}_:$1{CLOSE}" if versioned else f"{OPEN}{k}_{CLOSE}")
+    found = F.regexp_extract_all(marked, F.lit(f"{OPEN}([^{CLOSE}]*){CLOSE}"), F.lit(1))
+    names = F.array(*[F.lit(name) for name, _ in (*SENTENCES[1:], *NAMES)])
+
+    def named(token: Column) -> Column:
+        number = F.get(names, F.regexp_extract(token, "^([0-9]+)_", 1).cast("int"))
+        known = F.concat(F.lit("<"), number, F.regexp_replace(token, "^[0-9]+_", ""), F.lit(">"))
+        return F.when(token.startswith("spdx:_"), F.concat(F.lit("<spdx:"), F.substring(token, 7, 1 << 30), F.lit(">"))).otherwise(known)
+
+    return F.transform(found, named)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -131,7 +156,11 @@ def scan(docs: DataFrame) -> DataFrame:
     ``sequence`` is what the rules made of the identifiers, ``licenses`` the distinct licences in code
     point order joined by a comma, ``n_sentences`` the licence sentences found and ``n_unmatched`` those
     that no rule explains."""
-    lowered = F.translate(F.coalesce("text", F.lit("")), ASCII_UPPER, ASCII_LOWER)
+    written = F.translate(F.coalesce("text", F.lit("")), OPEN + CLOSE + NEXT, "   ")
+    tagged = F.regexp_replace(written, OPERATOR, f"$1$2{NEXT}$3{NEXT}")
+    tagged = F.regexp_replace(F.regexp_replace(tagged, f"{NEXT}WITH{NEXT}", "-with-"), f"{NEXT}(?:OR|AND){NEXT}", NEXT)
+    written = F.when(written.rlike("(?i)spdx-license-identifier:"), tagged).otherwise(written)
+    lowered = F.translate(written, ASCII_UPPER, ASCII_LOWER)
     spaced = F.regexp_replace(F.regexp_replace(lowered, MARKERS, " "), SPACE, " ")
     spaced = F.regexp_replace(spaced, TAG, "$1")
     sentences = F.split(F.regexp_replace(spaced, STOP, "$1\n"), "\n")
@@ -139,9 +168,9 @@ def scan(docs: DataFrame) -> DataFrame:
     likely = F.when(lowered.rlike(WORDS.replace(" ", "[ \\t\\r\\n]+(?:[/*#;-]+[ \\t]*)?")), sentences)
     speaking = F.filter(likely, lambda s: s.rlike(WORDS))
     # Kept as a column of its own so that the fold over the rules does not repeat it.
-    rows = docs.select(F.col("doc_id"), F.coalesce(F.filter(F.transform(speaking, _identifier), lambda t: t.isNotNull()), F.array()).alias("ids"))
+    rows = docs.select(F.col("doc_id"), F.coalesce(F.flatten(F.transform(speaking, _identifiers)), F.array()).alias("ids"))
     sequence = F.array_join("ids", "")
-    for pattern, name in RULES:
+    for pattern, name in (*RULES, *NAME_RULES):
         sequence = F.regexp_replace(sequence, pattern, name)
     ruled = rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), sequence.alias("sequence"))
     named = F.array_sort(F.array_distinct(F.regexp_extract_all("sequence", F.lit(r"\[([^\]]+)\]"), F.lit(1))))
@@ -155,7 +184,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def scan_sql(table: str = "documents") -> str:
-    """The same in DuckDB SQL, from the same patterns."""
+    """The same in DuckDB SQL, from the same patterns, for texts whose sentences hold one known sentence each and whose
+    SPDX tags name one licence; it gives the first of several, and knows no ``NAMES``."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     cases = []
     for name, pattern in SENTENCES:

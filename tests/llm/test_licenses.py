@@ -38,6 +38,20 @@ def test_rules(spark):
     assert found[0].sequence == "[MIT]" and found[0].n_sentences == 4
 
 
+def test_several_licences_in_a_sentence(spark):
+    found = scan(
+        spark, "Dual licensed under the MIT License or the Apache License, Version 2.0", "SPDX-License-Identifier: MIT OR GPL-2.0-only",
+        "# SPDX-License-Identifier: (CC0-1.0 OR MIT) AND GPL-2.0-only WITH Classpath-exception-2.0\nAND so on", "MIT License\n\nCopyright (c) A",
+        "GNU General Public License version 2, or any later version, or the BSD license", "SPDX-License-Identifier: MIT and this OR that",
+        "Released under the MIT License, all rights reserved",
+    )
+    assert [found[i].licenses for i in range(7)] == [
+        "Apache-2.0,MIT", "SPDX:gpl-2.0-only,SPDX:mit", "SPDX:cc0-1.0,SPDX:gpl-2.0-only-with-classpath-exception-2.0,SPDX:mit", "MIT",
+        "BSD,GPL-2-or-later", "SPDX:mit", "MIT",
+    ]
+    assert found[0].sequence == "[MIT][Apache-2.0]" and [found[i].n_unmatched for i in range(7)] == [0, 0, 0, 0, 0, 0, 1]
+
+
 def test_the_word_test_lets_every_known_sentence_through():
     for name, pattern in licenses.SENTENCES:
         example = pattern.replace("[sc]", "s").replace("[ -]", " ").replace(r"\b", "").replace("(?:under|is) ", "under ")
