@@ -3,7 +3,8 @@
 * Canonical form: words are runs of non-white ASCII characters, without the signs around them, lower-
   cased; a word of signs only counts for nothing. Numbers (digits or number words) become the placeholder
   of numbers, measures the one of units, capitalised words inside a sentence the one of names. The value
-  of a slot is the word it replaced.
+  of a slot is the word it replaced. A capitalised word that begins a sentence may be a name or not: windows that
+  hold it are made both ways, in texts and items.
 * Template windows: every run of ``WIDTH`` words of an item, and of a text. A window with fewer than
   ``LITERAL`` words left keeps all its values, so that runs of numbers do not match each other. Items of
   fewer words are one window of their own length, kept literal.
@@ -11,9 +12,10 @@
   of items) goes to the tasks; windows of texts that pass it are joined with the items' windows on the
   hash. The bitmap only saves work: what passes by chance finds no partner.
 * Slots: windows of one text and item that lie on one diagonal (same distance of positions) must map the
-  item's values to the text's one to one. Windows on diagonals that do not are not counted.
-* A text is contaminated by an item when the windows counted are at least ``share`` of the item's distinct
-  window positions.
+  item's values to the text's one to one. Windows on diagonals that do not are not counted; if only words that
+  begin sentences break it, the windows that take these for names are not.
+* A text is contaminated by an item when at least ``share`` of the item's words lie in windows counted, or are
+  the same literal words less than ``WIDTH`` words from one on its diagonal: a changed word costs itself only.
 
 Null ids are kept; rows with the same id and text are one; null or empty texts and items match nothing;
 an empty table gives an empty result. Columns other than those named are ignored. Every text is read whole.
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import WordTable, bitmap, in_bitmap, mix, ship
@@ -84,6 +86,11 @@ _words = WordTable(_describe, 3)
 
 def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values, codes and whether each is a slot, of the words of a text."""
+    return described(text)[:3]
+
+
+def described(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and whether each is a literal word that may be a name, since it begins a sentence."""
     raw = (text or "").encode()
     if _GLUED.search(raw):
         raw = _GLUE.sub(b" ", raw)
@@ -95,7 +102,7 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.where(name, np.uint64(_SLOT_CODE["name"]), found[:, 1])
     slots = name | ((flags & _SLOT) > 0)
     keep = (flags & _SKIP) == 0
-    return found[keep, 0], codes[keep], slots[keep]
+    return found[keep, 0], codes[keep], slots[keep], ((flags & _CAPITAL) > 0)[keep] & ~slots[keep]
 
 
 def windows(values: np.ndarray, codes: np.ndarray, slots: np.ndarray, width: int, literal: bool) -> np.ndarray:
@@ -120,25 +127,64 @@ def _joined(codes: np.ndarray, width: int, count: int, seed: int) -> np.ndarray:
     return mix(total)
 
 
-def _pieces(found: np.ndarray, values: np.ndarray, slots: np.ndarray, width: int, keep: np.ndarray) -> Iterator[tuple]:
-    for at in np.flatnonzero(keep).tolist():
-        inside = slots[at : at + width]
-        yield int(found[at].astype(np.int64)), at, values[at : at + width][inside].astype(np.int64).tolist()
-
-
-_WINDOW = "hash long, width int, at int, slots array<long>"
-_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+def name_windows(codes: np.ndarray, slots: np.ndarray, maybe: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Starts, hashes and slots of the windows that take some words that begin sentences for names."""
+    if len(codes) < width or not maybe.any():
+        return
+    held = np.concatenate([[0], np.cumsum(maybe)])
+    held = held[width:] - held[: len(held) - width]
+    starts = np.flatnonzero(held)
+    places = starts[:, None] + np.arange(width)
+    codes, slots, maybe, held = codes[places], slots[places], maybe[places], held[starts]
+    rank = np.where(maybe, np.cumsum(maybe, axis=1) - 1, 63)
+    for subset in range(1, 1 << int(held.max(initial=0))):
+        taken = (subset >> rank) & 1 > 0
+        inside = slots | taken
+        use = (held >= subset.bit_length()) & ((~inside).sum(axis=1) >= min(LITERAL, width))
+        if use.any():
+            named = np.where(taken[use], np.uint64(_SLOT_CODE["name"]), codes[use])
+            total = np.full(len(named), width, np.uint64)
+            for i in range(width):
+                total = (total ^ named[:, i]) * np.uint64(0x9E3779B97F4A7C15)
+                total ^= total >> np.uint64(29)
+            yield starts[use], mix(total), inside[use]
+
+
+def _pieces(text: str | None, width: int | None, known: np.ndarray | None = None) -> Iterator[tuple]:
+    """Windows of a text, of those ``known`` may hold: number of windows, hash, width, start, values of slots, codes of
+    the literal words around it (0 for others) and whether it takes the beginning of a sentence for a name."""
+    values, codes, slots, maybe = described(text)
+    width = width or min(WIDTH, len(values))
+    if not width or len(values) < width:
+        return
+    found = windows(values, codes, slots, width, width < WIDTH)
+    every = np.arange(len(found))
+    kinds = [(every, found, None, False)]
+    if width == WIDTH:
+        kinds += [(*kind, True) for kind in name_windows(codes, slots, maybe, width)]
+    signed = values.view(np.int64)
+    literal = np.pad(np.where(slots, np.uint64(0), codes).view(np.int64), WIDTH - 1)
+    for starts, hashes, inside, loose in kinds:
+        for i in (range(len(hashes)) if known is None else np.flatnonzero(in_bitmap(known, hashes)).tolist()):
+            at = int(starts[i])
+            held = inside[i] if loose else slots[at : at + width]
+            around = np.concatenate([literal[at : at + WIDTH - 1], literal[at + WIDTH - 1 + width : at + 2 * WIDTH - 2 + width]])
+            yield len(found), int(hashes[i].astype(np.int64)), width, at, signed[at : at + width][held].tolist(), around.tolist(), loose
+
+
+_WINDOW = "hash long, width int, at int, slots array<long>, around array<long>, loose boolean"
+_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.bool_()]
 
 
 def _batch(rows: list[tuple], keys: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * (len(keys) + 4)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * (len(keys) + len(_TYPES))
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, [*keys, *_TYPES], strict=True)], names=[*names, "hash", "width", "at", "slots"]
+        [pa.array(c, t) for c, t in zip(columns, [*keys, *_TYPES], strict=True)], names=[*names, "hash", "width", "at", "slots", "around", "loose"]
     )
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, hash, width, at, slots, n_windows`` of every item."""
+    """``item_id, n_windows`` and the windows of every item."""
 
     ship(benchmark.sparkSession)
 
@@ -146,12 +192,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values, codes, slots = canonical(text)
-                width = min(WIDTH, len(values))
-                if width:
-                    found = windows(values, codes, slots, width, width < WIDTH)
-                    for h, at, held in _pieces(found, values, slots, width, np.ones(len(found), bool)):
-                        rows.append((item, len(found), h, width, at, held))
+                rows += [(item, *piece) for piece in _pieces(text, None)]
             yield _batch(rows, [pa.int64(), pa.int32()], ["item_id", "n_windows"])
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -169,11 +210,8 @@ def text_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                values, codes, slots = canonical(text)
                 for width in widths:
-                    found = windows(values, codes, slots, width, width < WIDTH)
-                    hit = in_bitmap(known, found)
-                    rows += [(doc, key, h, width, at, held) for h, at, held in _pieces(found, values, slots, width, hit)]
+                    rows += [(doc, key, *piece[1:]) for piece in _pieces(text, width, known)]
                 if len(rows) >= 20_000:
                     yield _batch(rows, [pa.int64(), pa.int64()], ["doc_id", "text_key"])
                     rows = []
@@ -190,6 +228,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     left, right = text_windows(docs, items).alias("d"), items.alias("i")
     met = left.join(right, (F.col("d.hash") == F.col("i.hash")) & (F.col("d.width") == F.col("i.width")))
     pair = ["doc_id", "text_key", "item_id"]
+    # Positions of the item beside the window where both have the same literal word.
+    place = lambda k: F.col("i.at") + F.when(k < WIDTH - 1, k - (WIDTH - 1)).otherwise(k - (WIDTH - 1) + F.col("i.width"))
+    alike = F.zip_with("i.around", "d.around", lambda x, y: (x == y) & (x != 0))
+    beside = F.filter(F.transform(alike, lambda same, k: F.when(same, place(k))), lambda p: p.isNotNull())
     met = met.select(
         "d.doc_id",
         "d.text_key",
@@ -198,25 +240,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         F.col("i.at").alias("at"),
         (F.col("d.at") - F.col("i.at")).alias("diagonal"),
         F.arrays_zip(F.col("i.slots").alias("theirs"), F.col("d.slots").alias("ours")).alias("slots"),
+        (F.col("i.n_windows") + F.col("i.width") - 1).alias("n_words"),
+        F.concat(F.sequence(F.col("i.at"), F.col("i.at") + F.col("i.width") - 1), beside).alias("words"),
+        (F.col("d.loose") | F.col("i.loose")).alias("loose"),
     )
     # Positions and slot pairs of one diagonal are bounded by the item's length.
-    slots = F.array_distinct(F.flatten(F.collect_set("slots")))
+    def gathered(name: str) -> list[Column]:
+        firm = F.when(~F.col("loose"), F.col(name))
+        return [F.array_distinct(F.flatten(F.collect_set(c))).alias(to) for c, to in ((F.col(name), name), (firm, f"firm_{name}"))]
+
+    places = [F.collect_set("at").alias("places"), F.collect_set(F.when(~F.col("loose"), F.col("at"))).alias("firm_places")]
     lines = met.groupBy(*pair, "diagonal").agg(
-        F.max("n_windows").alias("n_windows"), F.collect_set("at").alias("places"), slots.alias("slots")
+        F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"), *places, *gathered("slots"), *gathered("words")
     )
-    theirs, ours = F.array_distinct("slots.theirs"), F.array_distinct("slots.ours")
-    consistent = (F.size("slots") == F.size(theirs)) & (F.size("slots") == F.size(ours))
+
+    def consistent(name: str) -> Column:
+        theirs, ours = F.array_distinct(f"{name}.theirs"), F.array_distinct(f"{name}.ours")
+        return (F.size(name) == F.size(theirs)) & (F.size(name) == F.size(ours))
+
     same = F.forall("slots", lambda s: s["theirs"] == s["ours"])
+    every = consistent("slots")
     found = (
-        lines.filter(consistent)
-        .withColumn("same", same)
+        lines.filter(every | consistent("firm_slots"))
+        .select(*pair, "n_windows", "n_words", same.alias("same"), *[F.when(every, F.col(c)).otherwise(F.col(f"firm_{c}")).alias(c) for c in ("places", "words")])
         .groupBy(*pair)
         .agg(
             F.max("n_windows").alias("n_windows"),
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("matched"),
             F.bool_and("same").alias("exact"),
+            (F.size(F.array_distinct(F.flatten(F.collect_set("words")))) / F.max("n_words")).alias("coverage"),
         )
-        .withColumn("coverage", F.col("matched") / F.col("n_windows"))
     )
     return found.filter(F.col("coverage") >= share).select(*pair, "n_windows", "matched", "coverage", "exact")
 

@@ -30,6 +30,16 @@ def test_copies_and_questions_with_other_values(spark, benchmark):
     assert got[0, 7].exact and got[0, 7].coverage == 1.0 and not got[2, 7].exact
 
 
+def test_names_that_begin_sentences_and_one_changed_word(spark):
+    long = "Anna bought a crate of ripe apples on the market this morning. Boris then sold half of them to three friends from school."
+    short = "Which of these old rivers flows through the largest number of states on its way"
+    items = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    other = long.replace("Anna", "Clara").replace("Boris", "David")
+    got = found(spark, items, NOISE + other, NOISE + long, *[short.replace(w, "xyz") for w in ("these", "rivers", "flows", "largest")], short[: len(short) // 2])
+    assert set(got) == {(0, 1), (1, 1), *((i, 2) for i in range(2, 6))}
+    assert not got[0, 1].exact and got[0, 1].coverage == 1.0 and got[1, 1].exact
+
+
 def plain_windows(text):
     values, codes, slots = decontaminate.canonical(text)
     return list(zip(values.tolist(), codes.tolist(), slots.tolist(), strict=True))
