@@ -68,6 +68,17 @@ class Cut:
         delete(self.spark, self.path)
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that ``df`` does not have, so that none of its own is lost or meant twice."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        names.append(stem)
+    return names
+
+
 def file_at(path: str):
     """File system and path of a URI or absolute path, for use inside tasks. Only shared folders are
     handed in."""

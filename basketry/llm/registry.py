@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketry.llm import decontaminate, html, licenses, mixing, neardup, passages, quality, tokens, vectors, warc
+from basketry.llm import alignment, decontaminate, html, licenses, lines, mixing, neardup, passages, quality, tokens
+from basketry.llm import vectors, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +65,19 @@ def op10_paragraph_bands(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeats(table(spark, folder, "documents"))
 
 
+def op11_line_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(table(spark, folder, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.report(table(spark, folder, "documents"), *paths)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.report(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -79,7 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_templates": op8_benchmark_templates,
     "op9_mixing": op9_mixing,
     "op10_paragraph_bands": op10_paragraph_bands,
+    "op11_line_bitmaps": op11_line_bitmaps,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_license_scan": licenses.scan_sql(), "op7_warc": warc.read_sql()}
+SQL: dict[str, str] = {"op1_license_scan": licenses.scan_sql(), "op7_warc": warc.read_sql(), "op11_line_bitmaps": lines.report_sql()}

@@ -139,12 +139,12 @@ def encoder_of(tokenizer_path: str) -> ChunkEncoder:
     return _encoders[tokenizer_path]
 
 
-def parts_of(texts: list[str]) -> Iterator[slice]:
-    """Consecutive texts of about ``AT_ONCE`` characters, one text at least."""
+def parts_of(texts: list[str], characters: int = AT_ONCE) -> Iterator[slice]:
+    """Consecutive texts of about so many ``characters``, one text at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text)
-        if held >= AT_ONCE or i - start >= 1000:
+        if held >= characters or i - start >= 1000:
             yield slice(start, i + 1)
             start, held = i + 1, 0
     if start < len(texts):
