@@ -60,7 +60,7 @@ class Warehouse:
     table. ``reload`` writes new versions, and surrogate keys survive it through the key maps.
     """
 
-    def __init__(self, store: TableStore, raw: dict[str, DataFrame]):
+    def __init__(self, store: TableStore, raw: Mapping[str, DataFrame]):
         self.store, self.sources = store, raw
         self.raw = _Landed(self)
         self.spark = store.spark
@@ -93,7 +93,7 @@ class Warehouse:
         """The whole star schema in load order."""
         return dict(zip(STAR_TABLES, self.tables(*STAR_TABLES), strict=True))
 
-    def reload(self, raw: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    def reload(self, raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
         """Rebuild everything as new versions. Readers keep the old version until a table is whole."""
         self.sources = raw or self.sources
         self._open.clear()
@@ -157,9 +157,26 @@ def _map_name(dim: str) -> str:
     return f"keys_{dim}"
 
 
-def raw_from_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+class _Files(Mapping):
+    """The eight entities from delimited files, each read when it is asked for: a load that resumes does not
+    read what has landed."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        return stage(self.spark, self.folder, entity)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
+
+
+def raw_from_files(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """The eight entities from delimited files."""
-    return {name: stage(spark, folder, name) for name in ENTITIES}
+    return _Files(spark, folder)
 
 
 def open_files(spark: SparkSession, folder: str, target: str) -> Warehouse:

@@ -6,19 +6,19 @@ import csv
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.functions.columns import unmark
-from basketry.session import path_exists
+from basketry.session import materialise, path_exists
+from basketry.sources.records import records, store_records, validity
 from basketry.specs import ENTITIES, FIELD_SEPARATOR, SOURCE_FILES, EntitySpec
 
 # The Windows-1252 characters that differ from Latin-1, by byte from 0x80 up.
 # A gap in the sequence is a byte that Windows-1252 leaves undefined.
 CP1252_BYTES = "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
 CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-CP1252_UNDEFINED = "[\x81\x8d\x8f\x90\x9d]"
 
 ORDINAL = "_ord"
-_RAW_LINE = "_raw_line"
 
 
 class MissingColumns(ValueError):
@@ -30,36 +30,55 @@ def source_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{file_name}"
 
 
-def detect_encoding(spark: SparkSession, path: str, candidates: list[str]) -> str:
-    """First candidate under which every byte of the file is valid.
+def file_encodings(checked: DataFrame, candidates: list[str]) -> DataFrame:
+    """``file, encoding``: the first candidate under which every byte of the file is valid, null if none is.
 
-    One distributed pass computes the evidence for all candidates; a wrong encoding does not
-    fail in the reader, it silently yields replacement characters.
-    """
+    ``checked`` has for each record its file and whether it is valid under each encoding. A wrong encoding does not
+    fail in a reader, it silently yields replacement characters."""
+    valid = {"utf-8": "utf8", "cp1252": "cp1252"}
+    found = checked.groupBy("file").agg(*[F.coalesce(F.bool_and(c), F.lit(True)).alias(c) for c in valid.values()])
+    choice = F.coalesce(*[F.when(F.col(valid[n]), F.lit(n)) for n in candidates if n in valid], F.lit(None).cast("string"))
+    return found.select("file", choice.alias("encoding"))
+
+
+def encodings_at(spark: SparkSession, path: str, candidates: list[str]) -> DataFrame:
+    """``file, encoding`` of the files at ``path``, from one pass over their lines."""
     lines = spark.read.text(path)
-    bytes_as_text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    found = lines.agg(
-        F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True)).alias("utf8"),
-        F.coalesce(F.bool_and(~bytes_as_text.rlike(CP1252_UNDEFINED)), F.lit(True)).alias("cp1252"),
-    ).first()
-    valid = {"utf-8": found.utf8, "cp1252": found.cp1252}
-    for name in candidates:
-        if valid.get(name):
-            return name
-    raise ValueError(f"{path} is valid under none of {candidates}")
-
-
-def header_names(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
-    """Column names from the first line under the file's encoding, without byte order mark and outer blanks.
-    A quoted name may hold the separator and doubled quotes."""
-    value = F.col("value")
-    if encoding == "cp1252":
-        value = F.translate(F.decode(value.cast("binary"), "ISO-8859-1"), CP1252_BYTES, CP1252_CHARS)
-    first = spark.read.text(path).select(value.alias("value")).first()
-    if first is None:
+    flags = [e.alias(n) for n, e in validity(F.col("value").cast("binary")).items()]
+    return file_encodings(lines.select(F.col("_metadata.file_path").alias("file"), *flags), candidates)
+
+
+def detect_encoding(spark: SparkSession, path: str, candidates: list[str]) -> str:
+    """The encoding of the files at ``path``, which all have the same one."""
+    return _one_encoding(encodings_at(spark, path, candidates), path, candidates)
+
+
+def _one_encoding(encodings: DataFrame, path: str, candidates: list[str]) -> str:
+    found = [r.encoding for r in encodings.select("encoding").distinct().collect()]
+    if None in found:
+        raise ValueError(f"a file at {path} is valid under none of {candidates}")
+    if len(found) > 1:
+        raise ValueError(f"the files at {path} have several encodings: {sorted(found)}")
+    return found[0] if found else candidates[0]
+
+
+def _decoded(raw: Column, encoding: Column) -> Column:
+    """Text of bytes under the encoding that was found. Windows-1252 is read as Latin-1 and the few characters that
+    differ are mapped."""
+    latin = F.translate(F.decode(raw, "ISO-8859-1"), CP1252_BYTES, CP1252_CHARS)
+    return F.when(encoding == "cp1252", latin).otherwise(raw.cast("string"))
+
+
+def _header(rows: DataFrame, path: str) -> list[str]:
+    """Column names from the first record of each file, which must be the same in all. Without byte order mark and
+    outer blanks; a quoted name may hold the separator and doubled quotes. At most two rows reach the driver."""
+    firsts = rows.filter("_first").select(F.ltrim("text", F.lit("\ufeff")).alias("text")).distinct().limit(2).collect()
+    if not firsts:
         raise ValueError(f"{path} is empty")
-    rows = csv.reader([first.value.removeprefix("\ufeff")], delimiter=FIELD_SEPARATOR)
-    return normalise_names(next(rows, [""]))
+    headers = [normalise_names(next(csv.reader([r.text], delimiter=FIELD_SEPARATOR), [""])) for r in firsts]
+    if headers[0] != headers[-1]:
+        raise ValueError(f"the files at {path} have different columns: {headers}")
+    return headers[0]
 
 
 def normalise_names(names: list[str]) -> list[str]:
@@ -84,15 +103,10 @@ def column_report(spec: EntitySpec, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "entity string, column string, declared string, found int")
 
 
-def _too_long(names: list[str]) -> Column:
-    """A raw line with more fields than the header. Only lines of the wrong width are looked at.
-
-    The reader refuses queries that touch the raw line alone (a plain count), so the first column
-    takes part: it is a part of the line, hence never longer."""
-    unquoted = F.regexp_replace(_RAW_LINE, '"[^"]*"', "")  # doubled quotes are two quoted parts in a row
-    first = F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
-    longer = F.regexp_count(unquoted, F.lit(FIELD_SEPARATOR)) >= len(names)
-    return F.coalesce(longer & (first <= F.length(_RAW_LINE)), F.lit(False))
+def _too_long(record: Column, columns: int) -> Column:
+    """A record with more fields than the header. Whole quoted fields do not count."""
+    unquoted = F.regexp_replace(record, f'(^|{FIELD_SEPARATOR})"[^"]*+(?:""[^"]*+)*+"', "$1")
+    return F.regexp_count(unquoted, F.lit(FIELD_SEPARATOR)) >= columns
 
 
 def scan_delimited(
@@ -100,47 +114,41 @@ def scan_delimited(
     path: str,
     encodings: list[str] | None = None,
     with_ordinal: bool = False,
-    multi_line: bool = False,
 ) -> DataFrame:
-    """Read a ``;`` file with header, every column as text.
-
-    Lines with too many fields are skipped and short ones padded with nulls; null markers become
-    nulls. ``with_ordinal`` adds ``_ord``, the place in file order, for operators that keep the
-    first row. Windows-1252 is read as Latin-1 and the few characters that differ are mapped.
-    Quotes inside quoted fields are doubled; a backslash is a character like any other. Files whose
-    quoted fields hold line breaks are declared with ``multi_line``; such a file is read by one task.
+    """Read the ``;`` files with header at ``path``, every column as text.
+
+    The bytes are read once: ``store_records`` cuts them into records, whatever line breaks quoted fields hold, and
+    stores these with the evidence on their encodings; the encoding is then chosen for each file. Records with too
+    many fields are skipped and short ones padded with nulls; null markers become nulls; blank lines are no records.
+    ``with_ordinal`` adds ``_ord``, the place in file order, for operators that keep the first row. Quotes inside
+    quoted fields are doubled; a backslash is a character like any other. The first record of each file is its
+    header, the same in all files.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"data file not found: {path}")
-    encoding = detect_encoding(spark, path, encodings or ["utf-8", "cp1252"])
-    names = header_names(spark, path, encoding)
-    fields = ", ".join(f"`{n}` string" for n in [*names, _RAW_LINE])
-    lines = (
-        spark.read.option("sep", FIELD_SEPARATOR)
-        .option("header", "true")
-        .option("encoding", "ISO-8859-1" if encoding == "cp1252" else "UTF-8")
-        .option("columnNameOfCorruptRecord", _RAW_LINE)
-        .option("columnPruning", "false")
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-        .schema(fields)
-        .csv(path)
-    )
-    place = F.struct(
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id().alias("line"),
+    candidates = encodings or ["utf-8", "cp1252"]
+    stored = store_records(spark, path)
+    by_file = materialise(file_encodings(stored.filter(F.col("raw").isNotNull()), candidates), "encodings")
+    found = [r.encoding for r in by_file.select("encoding").distinct().collect()]
+    if None in found:
+        raise ValueError(f"a file at {path} is valid under none of {candidates}")
+    rows = records(stored)
+    if len(found) > 1:
+        rows = rows.join(by_file, "file")
+    else:
+        rows = rows.withColumn("encoding", F.lit(found[0] if found else candidates[0]))
+    rows = rows.select(
+        "file", "block", "place", _decoded(F.col("raw"), F.col("encoding")).alias("text"), ((F.col("block") == 0) & (F.col("place") == 0)).alias("_first")
     )
-    if with_ordinal:
-        lines = lines.withColumn(ORDINAL, place)
-    kept = lines.filter(F.col(_RAW_LINE).isNull() | ~_too_long(names))
-
-    def text(name: str) -> Column:
-        c = F.col(f"`{name}`")
-        return F.translate(c, CP1252_BYTES, CP1252_CHARS) if encoding == "cp1252" else c
-
-    tail = [ORDINAL] if with_ordinal else []
-    return kept.select(*[unmark(text(n)).alias(n) for n in names], *tail)
+    names = _header(rows, path)
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    # The parser gives up on a record whose fields it cannot count only with a column for it in the schema.
+    options = {"sep": FIELD_SEPARATOR, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    body = rows.filter(~F.col("_first") & (F.trim("text") != "") & ~_too_long(F.col("text"), len(names)))
+    parsed = body.withColumn("fields", F.from_csv("text", fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options))
+    place = F.struct(F.col("file").alias("file_path"), F.col("block").alias("file_block_start"), F.col("place").alias("line"))
+    tail = [place.alias(ORDINAL)] if with_ordinal else []
+    return parsed.select(*[unmark(F.col(f"fields.c{i}")).alias(n) for i, n in enumerate(names)], *tail)
 
 
 def stage(spark: SparkSession, folder: str, table: str) -> DataFrame:
