@@ -40,7 +40,7 @@ from basketry.llm.common import Cut, ship
 from basketry.llm.tokens import parts_of
 
 #: Pieces a worker keeps; it starts anew beyond them. Pieces encoded at once. Characters of texts taken at once.
-KEPT_PIECES, AT_ONCE, CHARACTERS = 200_000, 16_384, 1 << 20
+KEPT_PIECES, AT_ONCE, CHARACTERS = 500_000, 16_384, 1 << 20
 #: Pairs held in arrays. Pairs a task sums before it sends them.
 HELD, SUMMED = 1 << 18, 1 << 20
 
@@ -102,7 +102,7 @@ class Aligner:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[bytes] = []
-        self.numbers = np.zeros((1 << 12, 5), np.int64)
+        self.numbers = np.zeros((1 << 12, 5), np.int32)
         self.codes = np.zeros(1 << 14, np.int64)
         self.first = np.zeros((1 << 12) + 1, np.int64)
 
@@ -168,7 +168,7 @@ class Aligner:
         if not all(np.array_equal(e, lengths) for e in ends) or not self._same("".join(new), *whole):
             good = [self._same(p, a, b) for p, a, b in zip(new, of_a, of_b, strict=True)]
         here = [k for k, g in enumerate(good) if g]
-        numbers, ends, codes, texts = np.zeros((len(new), 5), np.int64), np.zeros(len(new), np.int64), np.zeros(0, np.int64), [b""] * len(new)
+        numbers, ends, codes, texts = np.zeros((len(new), 5), np.int32), np.zeros(len(new), np.int64), np.zeros(0, np.int64), [b""] * len(new)
         if here:
             n_groups, found, codes, stops = self._align_all([of_a[k] for k in here], [of_b[k] for k in here])
             tokens = np.array([(len(of_a[k]), len(of_b[k])) for k in here])
