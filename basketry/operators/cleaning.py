@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import plain_code, strip, tidy_text, to_day, to_money, to_whole
@@ -34,6 +34,8 @@ from basketry.specs import (
 )
 
 COPIES, KEYED, RULED = "_copies", "_keyed", "_ruled"
+#: Hash of the keys as they came, by which a row is the same in every load.
+ROW = "_row"
 
 
 @dataclass(frozen=True)
@@ -197,6 +199,11 @@ def with_unknown_member(df: DataFrame, key: str) -> DataFrame:
 # ---- entities -------------------------------------------------------------------------------
 
 
+def row_hash(*keys: str) -> Column:
+    """64-bit hash of the keys as text. Whether two rows share one is checked where it becomes a key."""
+    return F.xxhash64(*[F.col(k).cast("string") for k in keys])
+
+
 def flag_entity(
     df: DataFrame, spec: EntitySpec, foreign_keys: Sequence[ForeignKey] = (), use_unknown: bool = True
 ) -> DataFrame:
@@ -204,6 +211,8 @@ def flag_entity(
     rows = keep_first_of_few(df, spec.keys) if foreign_keys else keep_first(df, spec.keys)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in spec.keys])
     rows = rows.withColumn(KEYED, keyed).withColumn(RULED, rules_hold(spec.rules, rows.columns))
+    if foreign_keys:
+        rows = rows.withColumn(ROW, row_hash(*spec.keys))
     for fk in foreign_keys:
         rows = flag_orphans(rows, fk, f"_orphan_{fk.column}", keys_from=df)
         if use_unknown and fk.orphan == "map":
@@ -222,13 +231,11 @@ def clean_flagged(
     kept = flagged.filter(F.col(KEYED) & F.col(RULED))
     for fk in _dropping(foreign_keys, use_unknown):
         kept = kept.filter(~F.col(f"_orphan_{fk.column}"))
-    return cast_entity(kept, spec).select(*[c for c in spec.columns if c in flagged.columns], ORDINAL)
+    return cast_entity(kept, spec).select(*[c for c in spec.columns if c in flagged.columns], ORDINAL, *[c for c in [ROW] if c in flagged.columns])
 
 
-def quality_counts(
-    flagged: DataFrame, spec: EntitySpec, foreign_keys: Sequence[ForeignKey] = (), use_unknown: bool = True
-) -> DataFrame:
-    """The counters of one cleaning run, one row: rows after each stage and rows lost or mapped."""
+def quality_aggregates(spec: EntitySpec, foreign_keys: Sequence[ForeignKey] = (), use_unknown: bool = True) -> list[Column]:
+    """The counters of one cleaning run over its flagged rows: rows after each stage and rows lost or mapped."""
     dropping = _dropping(foreign_keys, use_unknown)
     ok = F.col(KEYED)
     ruled = ok & F.col(RULED)
@@ -249,7 +256,7 @@ def quality_counts(
     moved = reduce(lambda a, b: a + b, mapped, zero)
     # Where a key drops its orphans by contract, mapped ones are no violations.
     violations = lost if any(fk.orphan == "drop" for fk in foreign_keys) else lost + moved
-    return flagged.agg(
+    return [
         total(COPIES).alias("raw_row_count"),
         total(F.when(~ok, F.col(COPIES))).alias("null_key_dropped"),
         total(F.when(ok, F.col(COPIES))).alias("after_null_drop"),
@@ -261,7 +268,14 @@ def quality_counts(
         moved.alias("ri_mapped_to_unknown"),
         count(seen).alias("after_ri_filter"),
         count(seen).alias("final_row_count"),
-    ).select(F.lit(spec.name).alias("entity"), "*")
+    ]
+
+
+def quality_counts(
+    flagged: DataFrame, spec: EntitySpec, foreign_keys: Sequence[ForeignKey] = (), use_unknown: bool = True
+) -> DataFrame:
+    """The counters as one row."""
+    return flagged.agg(*quality_aggregates(spec, foreign_keys, use_unknown)).select(F.lit(spec.name).alias("entity"), "*")
 
 
 def null_counts(df: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -274,28 +288,40 @@ def null_counts(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cleaned:
-    """A cleaned entity: the rows and, from the same plan, the counters."""
+    """A cleaned entity over its flagged rows: the rows that stay, and the counters of the run."""
+
+    flagged: DataFrame
+    spec: EntitySpec
+    foreign_keys: Sequence[ForeignKey] = ()
+    use_unknown: bool = True
+    unknown_member: bool = False
+
+    def _rows(self, flagged: DataFrame) -> DataFrame:
+        rows = clean_flagged(flagged, self.spec, self.foreign_keys, self.use_unknown)
+        return with_unknown_member(rows, self.spec.keys[0]) if self.unknown_member else rows
 
-    rows: DataFrame
-    counts: DataFrame
+    @property
+    def rows(self) -> DataFrame:
+        return self._rows(self.flagged)
+
+    @property
+    def counts(self) -> DataFrame:
+        return quality_counts(self.flagged, self.spec, self.foreign_keys, self.use_unknown)
+
+    def observed(self, seen: Observation) -> DataFrame:
+        """The rows; once they are written, ``seen`` holds the counters, from the same pass. Write them without a
+        shuffle in between: then every task counts once, also when executors are lost."""
+        return self._rows(self.flagged.observe(seen, *quality_aggregates(self.spec, self.foreign_keys, self.use_unknown)))
 
 
 def clean_dimension(raw: DataFrame, spec: EntitySpec, add_unknown: bool = True) -> Cleaned:
-    flagged = flag_entity(raw, spec)
-    rows = clean_flagged(flagged, spec)
-    if add_unknown:
-        rows = with_unknown_member(rows, spec.keys[0])
-    return Cleaned(rows, quality_counts(flagged, spec))
+    return Cleaned(flag_entity(raw, spec), spec, unknown_member=add_unknown)
 
 
 def clean_fact(
     raw: DataFrame, spec: EntitySpec, foreign_keys: Sequence[ForeignKey], use_unknown: bool = True
 ) -> Cleaned:
-    flagged = flag_entity(raw, spec, foreign_keys, use_unknown)
-    return Cleaned(
-        clean_flagged(flagged, spec, foreign_keys, use_unknown),
-        quality_counts(flagged, spec, foreign_keys, use_unknown),
-    )
+    return Cleaned(flag_entity(raw, spec, foreign_keys, use_unknown), spec, foreign_keys, use_unknown)
 
 
 def header_keys(customer: DataFrame, seller: DataFrame) -> list[ForeignKey]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,16 +68,22 @@ def extend_keys(
 
     A key once given never changes, so facts loaded earlier stay valid over any reload.
     """
+    return stored.select(natural, key).unionByName(new_keys(stored, members, natural, key, order))
+
+
+def new_keys(
+    stored: DataFrame, members: DataFrame, natural: str, key: str, order: Sequence[Column | str]
+) -> DataFrame:
+    """Keys after the highest of the stored map for members it does not know."""
     fresh = members.join(stored.select(natural), natural, "left_anti")
     top = F.coalesce(stored.agg(F.max(key)).scalar(), F.lit(0))
     numbered = assign_keys(fresh, natural, key, order)
-    shifted = numbered.select(natural, (F.col(key) + top).cast("int").alias(key))
-    return stored.select(natural, key).unionByName(shifted)
+    return numbered.select(natural, (F.col(key) + top).cast("int").alias(key))
 
 
 def keyed(members: DataFrame, keys: DataFrame, natural: str, key: str) -> DataFrame:
     joined = members.join(keys, natural)
-    return joined.select(key, *[c for c in members.columns if c != ORDINAL])
+    return joined.select(key, *[c for c in members.columns if not c.startswith("_")])
 
 
 # ---- members --------------------------------------------------------------------------------
@@ -123,6 +131,28 @@ def inferred_customers(raw_header: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+LATE = "_late"
+
+
+def with_late(members: DataFrame, raw: DataFrame, column: str, natural: str) -> DataFrame:
+    """Members and, marked as late, one for each key of ``raw`` that has none yet: what is known of it is its key
+    and, for a customer, a stand-in name. Its real row replaces it under the same surrogate key when it comes."""
+    if natural == "AccountID":
+        missing = inferred_customers(raw.select(F.col(column).alias("accountid")), members)
+    else:
+        keys = raw.select(strip(column).alias(natural)).filter(F.col(natural).isNotNull()).distinct()
+        missing = keys.join(members.select(natural), natural, "left_anti")
+    every = members.withColumn(LATE, F.lit(False)).unionByName(missing.withColumn(LATE, F.lit(True)), allowMissingColumns=True)
+    return every.filter(F.col(natural) != "")
+
+
+def is_stand_in(dim: DataFrame, natural: str, key: str) -> Column:
+    """A member of which nothing but its key is known."""
+    rest = [c for c in dim.columns if c not in (natural, key)]
+    nothing = [F.col(c).isNull() if c != "AccountName" else F.col(c) == F.concat(F.lit("CLIENT_"), F.col(natural)) for c in rest]
+    return reduce(and_, nothing)
+
+
 def seller_members(seller: DataFrame) -> DataFrame:
     return _unique(seller, "sellerid").select(
         F.col("sellerid").alias("SellerID"), F.col("sellername").alias("SellerName"), ORDINAL
@@ -203,6 +233,40 @@ def merge_versions(stored: DataFrame, incoming: DataFrame, natural: str, day: Co
     return closed.select(kept.columns).unionByName(kept).unionByName(opened)
 
 
+def version_key(natural: str) -> Column:
+    """A key of a member's version that every load gives alike."""
+    return F.xxhash64(F.col(natural), F.col(VALID_FROM))
+
+
+def valid_versions(rows: DataFrame, column: str, day: Column, versions: DataFrame, natural: str, key: str) -> DataFrame:
+    """``rows`` with ``key``: the version of the member ``column`` that is valid on ``day``; null when there is none.
+
+    ``versions`` has ``natural``, ``key`` and the days of validity, the last one excluded. Versions are laid out over
+    the months they are valid in, as far as ``rows`` have any, and joined on member and month: a member with a
+    version a day then meets a month of them at most, and a member that a third of the rows point at is spread over
+    months. At most one version is valid on a day, so no row comes twice."""
+    month = F.trunc(day, "MM")
+    span = rows.agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
+    last = F.coalesce(F.date_sub(VALID_TO, 1), F.lit("9999-12-31").cast("date"))
+    bounded = (
+        versions.filter(F.coalesce(F.col(VALID_TO) > F.col(VALID_FROM), F.lit(True)))
+        .select(
+            F.col(natural).alias("_member"),
+            F.col(key),
+            F.col(VALID_FROM).alias("_from"),
+            F.col(VALID_TO).alias("_to"),
+            F.greatest(F.trunc(VALID_FROM, "MM"), span.select("lo").scalar()).alias("_first"),
+            F.least(F.trunc(last, "MM"), span.select("hi").scalar()).alias("_last"),
+        )
+        .filter("_first <= _last")
+    )
+    monthly = bounded.select("*", F.explode(F.sequence("_first", "_last", F.expr("interval 1 month"))).alias("_month"))
+    marked = rows.withColumns({"_day": day.cast("date"), "_of": month})
+    holds = (F.col(column) == F.col("_member")) & (F.col("_of") == F.col("_month"))
+    valid = (F.col("_day") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("_day") < F.col("_to")))
+    return marked.join(monthly, holds & valid, "left").select(*rows.columns, key)
+
+
 def enrich_customers(
     dim_customer: DataFrame, rfm: DataFrame, risk: DataFrame, value: DataFrame
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from basketry.operators import quality as Q
 from basketry.operators import recommend as RC
 from basketry.operators import rfm as R
 from basketry.operators import sales as SL
-from basketry.plans.warehouse import STAR_TABLES, Warehouse, open_fixture
+from basketry.plans.warehouse import KEYED, STAR_TABLES, Warehouse, open_fixture
 from basketry.session import materialise
 from basketry.sources import delimited as L
 from basketry.sources.delimited import ORDINAL
@@ -214,19 +214,65 @@ def _(w):
     return L.scan_delimited(w.spark, path).select("CustomerKey", "Recency", "Frequency", "Monetary", "RFM_score", "Segment")
 
 
+def _in_two_batches(w: Warehouse, table: str, late, partition_by=()) -> DataFrame:
+    """A stored table without its late rows, then a batch of them, then the same batch again."""
+    store = spare_store(w, "sinks")
+    rows = w.table(table)
+    store.write(table, rows.filter(~late), partition_by)
+    base = store.publish([table])
+    batch = f"late-{table}-{base.number}"
+    for _ in range(2):
+        now = store.snapshot()
+        if batch not in now.batches:
+            store.publish([], {table: store.append(table, rows.filter(late), batch, now, partition_by)}, batch, now)
+    return store.snapshot().read(table)
+
+
 @query("sink_dim_append")
 def _(w):
-    stored = spare_store(w, "sinks").write("DimProduct", w.table("DimProduct"))
-    return plain(stored)
+    return plain(_in_two_batches(w, "DimProduct", F.col("ProductKey") % 3 == 1))
 
 
 @query("sink_fact_append")
 def _(w):
-    stored = spare_store(w, "sinks").write("FactSales", sales(w), [X.MONTH])
+    stored = _in_two_batches(w, "FactSales", F.col("SaleID") % 5 == 2, [X.MONTH])
     totals = stored.groupBy(X.MONTH).agg(F.count("*").alias("rows"), F.sum("LineTotalAmount").alias("amount"))
     return readable(totals)
 
 
+_later_loads: dict[str, Warehouse] = {}
+
+
+def later_load(w: Warehouse) -> Warehouse:
+    """A warehouse that makes members of unknown keys, and gets some sales in a later batch and then again."""
+    if w.store.root not in _later_loads:
+        columns = {"SalesHeader": "saleid", "SalesLine": "saleid", "Invoice": "salesid"}
+        late = {e: F.coalesce(F.col(c).try_cast("long") % 10 == 3, F.lit(False)) for e, c in columns.items()}
+        raw = {e: w.raw[e].filter(~late[e]) if e in late else w.raw[e] for e in ENTITIES}
+        loaded = Warehouse(spare_store(w, "later"), raw, late_members=True)
+        for batch in ("later", "the same again"):
+            loaded.append({e: w.raw[e].filter(late[e]) for e in late}, batch)
+        _later_loads[w.store.root] = loaded
+    return _later_loads[w.store.root]
+
+
+@query("batch_load")
+def _(w):
+    """Facts by month after two batches: as many as one load gives."""
+    facts = later_load(w).table("FactSales")
+    return readable(facts.groupBy(X.MONTH).agg(F.count("*").alias("rows"), F.sum("LineTotalAmount").alias("amount")))
+
+
+@query("late_members")
+def _(w):
+    """Members that the sales made, with what they bought."""
+    star = later_load(w)
+    known = star.clean("Customer").select(F.col("accountid").alias("AccountID"))
+    late = star.table("DimCustomer").join(known, "AccountID", "left_anti")
+    bought = star.table("FactSales").groupBy("CustomerKey").agg(F.count("*").alias("lines"), F.sum("LineTotalAmount").alias("amount"))
+    return readable(late.join(bought, "CustomerKey").select("AccountID", "AccountName", "RegionDescription", "lines", "amount"))
+
+
 @query("truncate_reload")
 def _(w):
     """Two loads of one table: the reader sees the second as a whole, and no row twice."""
@@ -332,14 +378,8 @@ def _(w):
 
 @query("dq_metrics")
 def _(w):
-    """Counters of all eight cleaning runs, one row per entity."""
-    counts = [C.clean_dimension(w.raw[n], ENTITIES[n]).counts for n in ("Region", "Sector", "Customer", "Seller", "Product")]
-    counts += [
-        C.clean_sales_header(w.raw["SalesHeader"], w.clean("Customer"), w.clean("Seller")).counts,
-        C.clean_sales_line(w.raw["SalesLine"], w.clean("SalesHeader"), w.clean("Product")).counts,
-        C.clean_invoice(w.raw["Invoice"], w.clean("SalesHeader")).counts,
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Counters of all eight cleaning runs, one row per entity, as they were observed while the load wrote."""
+    return w.quality_counters()
 
 
 @query("ri_map_unknown")
@@ -504,6 +544,25 @@ def _(w):
     return readable(D.merge_versions(stored, second, "AccountID", F.lit("2024-06-01")))
 
 
+@query("scd2_as_of")
+def _(w):
+    """Sale lines by the version of their customer, seller and product that is valid on the order date, after some
+    members changed between two loads."""
+    parts = []
+    for dim, label in (("DimCustomer", "RegionID"), ("DimSeller", "SellerName"), ("DimProduct", "Brand")):
+        natural, key = KEYED[dim]
+        first = w.table(dim).select(natural, key, label)
+        second = first.withColumn(label, F.when(F.col(key) % 7 == 0, F.lit("moved")).otherwise(F.col(label)))
+        history = D.merge_versions(D.open_versions(first, F.lit("0001-01-01")), second, natural, F.lit("1995-06-17"))
+        versions = materialise(history.withColumn("VersionKey", D.version_key(natural)), "history")
+        lines = sales(w).select(key, "OrderDateKey", "LineTotalAmount")
+        found = D.valid_versions(lines, key, K.date_from_key("OrderDateKey"), versions.select(key, "VersionKey", D.VALID_FROM, D.VALID_TO), key, "VersionKey")
+        totals = found.groupBy("VersionKey").agg(F.count("*").alias("lines"), F.sum("LineTotalAmount").alias("amount"))
+        named = totals.join(versions.select("VersionKey", F.col(label).alias("label"), D.VALID_FROM), "VersionKey", "left")
+        parts.append(named.groupBy("label", D.VALID_FROM).agg(F.sum("lines").alias("lines"), F.sum("amount").alias("amount")).select(F.lit(dim).alias("dim"), "*"))
+    return readable(reduce(DataFrame.unionByName, parts))
+
+
 def _enriched(w, risk: DataFrame, predicted: DataFrame) -> DataFrame:
     value = V.clv_historical(sales(w)).join(predicted, "CustomerKey", "left")
     value = value.withColumnsRenamed({"clv_historical": "CLV_Historical", "clv_predicted": "CLV_Predicted"})

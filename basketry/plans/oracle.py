@@ -369,6 +369,10 @@ S["sink_rfm_csv"] = """SELECT CAST(CustomerKey AS VARCHAR) AS CustomerKey, CAST(
     CAST(CAST(Monetary AS DECIMAL(18,2)) AS VARCHAR) AS Monetary, RFM_score, Segment FROM rfm"""
 S["sink_dim_append"] = "SELECT * FROM dim_product"
 S["sink_fact_append"] = f"SELECT OrderDateKey // 100 AS order_month, count(*) AS rows, {num('sum(LineTotalAmount)')} AS amount FROM fact_sales GROUP BY 1"
+S["batch_load"] = S["sink_fact_append"]
+S["late_members"] = f"""SELECT h.accountid AS AccountID, 'CLIENT_' || h.accountid AS AccountName, CAST(NULL AS VARCHAR) AS RegionDescription, count(*) AS lines,
+    {num('sum(f.LineTotalAmount)')} AS amount FROM fact_sales f JOIN ({first_rows('raw_salesheader', ['saleid'])}) h ON f.SaleID = TRY_CAST(h.saleid AS BIGINT)
+    WHERE h.accountid NOT IN (SELECT accountid FROM clean_customer) GROUP BY h.accountid"""
 S["truncate_reload"] = "SELECT * FROM dim_customer"
 S["resume_fact_invoices"] = f"SELECT InvoiceID, SaleID, PaymentDateKey, CustomerKey, PaymentMethodKey, {num('PaymentAmount')} AS PaymentAmount FROM fact_invoices"
 S["read_clean_or_rebuild"] = f"SELECT {INVOICE_OUT} FROM clean_invoice"
@@ -475,6 +479,16 @@ S["scd2_merge"] = """WITH m AS (SELECT AccountID, AccountName, RegionID, coalesc
           FROM f LEFT JOIN s USING (AccountID))
     SELECT AccountID, AccountName, RegionID, '2024-01-01' AS ValidFrom, CASE WHEN changed THEN '2024-06-01' END AS ValidTo, CASE WHEN changed THEN 0 ELSE 1 END AS IsCurrent FROM j
     UNION ALL SELECT AccountID, AccountName, RegionID, '2024-06-01', NULL, 1 FROM s WHERE AccountID NOT IN (SELECT AccountID FROM f) OR AccountID IN (SELECT AccountID FROM j WHERE changed)"""
+S["scd2_as_of"] = " UNION ALL ".join(
+    f"""SELECT '{dim}' AS dim, CASE WHEN moved THEN 'moved' ELSE label END AS label, CASE WHEN moved THEN '1995-06-17' ELSE '0001-01-01' END AS ValidFrom,
+    count(*) AS lines, {num('sum(LineTotalAmount)')} AS amount FROM (SELECT d.{label} AS label, f.LineTotalAmount, d.{key} % 7 = 0 AND f.OrderDateKey >= 19950617 AS moved
+    FROM fact_sales f JOIN {table} d ON f.{key} = d.{key}) GROUP BY ALL"""
+    for dim, table, key, label in (
+        ("DimCustomer", "dim_customer", "CustomerKey", "RegionID"),
+        ("DimSeller", "dim_seller", "SellerKey", "SellerName"),
+        ("DimProduct", "dim_product", "ProductKey", "Brand"),
+    )
+)
 S["dim_customer_enrich"] = f"""SELECT d.*, r.Segment, r.Recency AS RFM_Recency, r.Frequency AS RFM_Frequency, {num('r.Monetary')} AS RFM_Monetary, {num('l.label')} AS ChurnRisk,
     v.clv_historical AS CLV_Historical, n.after AS CLV_Predicted FROM dim_customer d LEFT JOIN rfm r USING (CustomerKey)
     LEFT JOIN churn_label l USING (CustomerKey) LEFT JOIN clv v USING (CustomerKey) LEFT JOIN (SELECT CustomerKey, {num('sum(LineTotalAmount)')} AS after

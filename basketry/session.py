@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -55,14 +56,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship(spark: SparkSession) -> None:
     """Hand this package to the Python workers of the session, once. Spark's file server sends the archive
     to every executor, so they need neither the driver's folder nor its path settings."""
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
+    with _shipping:
+        if spark.sparkContext.applicationId not in _shipped:
+            _send(spark)
+            _shipped.add(spark.sparkContext.applicationId)
+
+
+def _send(spark: SparkSession) -> None:
     package = os.path.dirname(os.path.abspath(__file__))
     held = io.BytesIO()
     with zipfile.ZipFile(held, "w") as archive:
@@ -75,7 +81,6 @@ def ship(spark: SparkSession) -> None:
     with open(path, "wb") as out:
         out.write(held.getvalue())
     spark.sparkContext.addPyFile(path)
-    _shipped.add(application)
 
 
 def materialise(df: DataFrame, label: str = "cut") -> DataFrame:

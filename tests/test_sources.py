@@ -1,6 +1,7 @@
 import csv
 import io
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketry.sources import delimited as L
 from basketry.sources import records as R
-from basketry.sources.tables import TableStore
+from basketry.sources.tables import StalePublish, TableStore, create_once, read_text
 from basketry.specs import CUSTOMER
 
 
@@ -252,3 +253,68 @@ def test_line_breaks_in_quotes_through_a_stage(spark, folder):
     write(folder / "Customer.csv", text, "utf-8")
     found = L.stage(spark, str(folder), "Customer").orderBy(L.ORDINAL).drop(L.ORDINAL).collect()
     assert [tuple(r) for r in found] == [("1", 'Ann\nand "Bob"', "7"), ("2", "a;\nb", None), ("3", "Carl", "8")]
+
+
+# ---- publishing and batches -------------------------------------------------------------------
+
+
+def test_readers_see_all_tables_of_one_publish(spark, folder):
+    store = TableStore(spark, str(folder / "star"))
+    assert store.snapshot().tables == {}
+    store.write("Dim", spark.range(3))
+    store.write("Fact", spark.range(30))
+    store.publish(["Dim", "Fact"])
+    reader = store.snapshot()
+    store.write("Dim", spark.range(4))
+    assert store.snapshot().read("Dim").count() == 3  # a reload is under way
+    store.write("Fact", spark.range(40))
+    store.publish(["Dim", "Fact"])
+    assert (reader.read("Dim").count(), reader.read("Fact").count()) == (3, 30)
+    assert [store.snapshot().read(t).count() for t in ("Dim", "Fact")] == [4, 40]
+    assert store.publish(["Dim", "Fact"]).number == 2  # nothing new
+    store.write("Fact", spark.range(50))
+    store.publish(["Fact"])
+    assert store.retain(1) == ["Dim/v000001", "Fact/v000001", "Fact/v000002"]
+    assert store.snapshot().read("Fact").count() == 50 and store.snapshot().number == 3
+
+
+def test_one_of_two_writers_publishes(spark, folder):
+    store = TableStore(spark, str(folder / "race"))
+    store.write("t", spark.range(1))
+    base = store.publish(["t"])
+    store.write("t", spark.range(2))
+    store.publish(["t"], base=base)
+    store.write("t", spark.range(3))
+    with pytest.raises(StalePublish):
+        store.publish(["t"], base=base)
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: create_once(spark, str(folder / "x" / "one"), str(i)), range(8)))
+    assert sum(won) == 1 and read_text(spark, str(folder / "x" / "one")) == str(won.index(True))
+    with ThreadPoolExecutor(6) as pool:
+        sizes = [r.count() for r in pool.map(lambda i: store.write("many", spark.range(i + 1)), range(6))]
+    assert sorted(sizes) == [1, 2, 3, 4, 5, 6] and len(store.versions("many")) == 6
+
+
+def test_batches_are_added_once_and_touch_no_other_files(spark, folder):
+    store = TableStore(spark, str(folder / "batches"))
+    rows = spark.range(12).select("id", (F.col("id") % 3 + 202401).cast("int").alias("m"))
+    store.write("t", rows.filter("id < 6"), ["m"])
+    base = store.publish(["t"])
+    files = lambda: {p: p.stat().st_mtime_ns for p in (folder / "batches" / "t").rglob("*.parquet")}
+    before = files()
+    added = store.append("t", rows.filter("id >= 6 and m = 202402"), "two", base, ["m"])
+    store.append("t", rows.filter("id >= 6 and m = 202402"), "two", base, ["m"])  # a first attempt that was lost
+    assert store.read("t").count() == 6
+    store.publish([], {"t": added}, "two", base)
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2, 3, 4, 5, 7, 10]
+    assert store.snapshot().batches == ("two",)
+    assert before.items() <= files().items()
+    third = store.append("t", rows.filter("id = 6"), "three", store.snapshot(), ["m"])
+    store.publish([], {"t": third}, "three")
+    assert store.read("t").count() == 9 and store.read("t").columns == ["id", "m"]
+    assert store.append("t", rows.filter("id < 0"), "none", store.snapshot(), ["m"]) is None
+    plan = store.read("t").filter("m = 202403")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(m") == 2
+    store.write("t", store.read("t"), ["m"])
+    assert store.read("t").count() == 9  # a new version holds what its batches held
+    assert store.publish(["t"]).tables["t"] == ("v000002", ())

@@ -158,3 +158,129 @@ def test_missing_promotion_keeps_its_lines(spark):
 def test_raw_columns_follow_the_contracts(spark, small):
     for name, df in fixtures.raw_tables(spark, small).items():
         assert plain(df).columns == ENTITIES[name].columns
+
+
+# ---- batches, late members, history -----------------------------------------------------------
+
+
+def split_raw(raw, condition):
+    """The sales side of the raw tables where ``condition`` on the sale's number holds, and nothing else."""
+    columns = {"SalesHeader": "saleid", "SalesLine": "saleid", "Invoice": "salesid"}
+    return {e: raw[e].filter(condition(F.col(c).try_cast("long"))) for e, c in columns.items()}
+
+
+def facts_of(w):
+    """Facts by what they say, not by how their members are numbered."""
+    sales = w.table("FactSales").join(w.table("DimCustomer").select("CustomerKey", "AccountID"), "CustomerKey")
+    sales = sales.join(w.table("DimProduct").select("ProductKey", "ItemID"), "ProductKey")
+    sales = sales.join(w.table("DimPromotion").select("PromotionKey", "PromoType"), "PromotionKey")
+    bills = w.table("FactInvoices").join(w.table("DimPaymentMethod").select("PaymentMethodKey", "PaymentMethodCode"), "PaymentMethodKey")
+    return (
+        as_set(sales.select("SalesKey", "SaleID", "AccountID", "ItemID", "PromoType", "OrderDateKey", *X.FACT_MEASURES)),
+        as_set(bills.select("InvoiceKey", "InvoiceID", "SaleID", "PaymentDateKey", "PaymentMethodCode", "PaymentAmount")),
+    )
+
+
+def test_batches_give_what_one_load_gives(spark, small, warehouse, tmp_path):
+    raw = fixtures.raw_tables(spark, small)
+    late = lambda n: F.coalesce(n % 4 == 1, F.lit(False))
+    w = Warehouse(TableStore(spark, str(tmp_path / "batches")), {**raw, **split_raw(raw, lambda n: ~late(n))})
+    base = w.publish()
+    reader = base.read("FactSales")
+    before, months = reader.count(), {r[0] for r in reader.select(X.MONTH).distinct().collect()}
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "batches" / "FactSales").rglob("*.parquet")}
+    kept = files()
+    second = split_raw(raw, late)
+    done = w.append(second, "second")
+    assert kept.items() <= files().items()
+    assert reader.count() == before < done.read("FactSales").count()
+    assert facts_of(w) == facts_of(warehouse)
+    assert months and as_set(w.table("DimDate")) == as_set(warehouse.table("DimDate"))
+    assert as_set(w.table("DimCustomer")) == as_set(warehouse.table("DimCustomer"))
+    assert w.append(second, "second").number == done.number
+    again = w.append(second, "sent again")
+    assert again.tables["FactSales"] == done.tables["FactSales"]
+    assert facts_of(w) == facts_of(warehouse)
+
+
+def test_reload_gives_equal_fact_keys(spark, small, warehouse, tmp_path):
+    w = Warehouse(TableStore(spark, str(tmp_path / "again")), fixtures.raw_tables(spark, small))
+    keys = lambda t, k, *n: {(r[0], *r[1:]) for r in t.select(k, *n).collect()}
+    for table, key, natural in (("FactSales", "SalesKey", ["SaleID", "ProductKey", "LineTotalAmount"]), ("FactInvoices", "InvoiceKey", ["InvoiceID"])):
+        assert keys(w.table(table), key, *natural) == keys(warehouse.table(table), key, *natural)
+
+
+def test_a_shared_hash_gives_two_keys(spark):
+    rows = spark.createDataFrame([("1", "a", 5), ("1", "b", 5), ("2", "a", 6)], "saleid string, itemid string, _row long")
+    found = {(r.saleid, r.itemid): r.SalesKey for r in X.with_row_keys(rows, ["saleid", "itemid"], "SalesKey").collect()}
+    assert found["1", "a"] == 5 and found["2", "a"] == 6 and len(set(found.values())) == 3
+
+
+def test_late_members_keep_their_key(spark, small, tmp_path):
+    raw = fixtures.raw_tables(spark, small)
+    number = F.col("accountid").cast("long")
+    missing = F.coalesce(number % 4 == 0, F.lit(False))
+    first = {**raw, "Customer": raw["Customer"].filter(~missing)}
+    w = Warehouse(TableStore(spark, str(tmp_path / "late")), first, late_members=True)
+    w.publish()
+    customers = {r.AccountID: r for r in w.table("DimCustomer").collect()}
+    sales = w.table("FactSales").join(w.table("DimCustomer").select("CustomerKey", "AccountID"), "CustomerKey").cache()
+    accounts = {r[0] for r in raw["SalesHeader"].select("accountid").distinct().collect()}
+    assert accounts - {None} <= set(customers)
+    late = {a for a in accounts if a and int(a) > 0 and int(a) % 4 == 0}
+    assert late and all(customers[a].AccountName == f"CLIENT_{a}" and customers[a].RegionID is None for a in late)
+    assert sales.filter(F.col("AccountID").cast("long") % 4 == 0).count() > 100
+    unknown = sales.filter(F.col("AccountID") == UNKNOWN_KEY).count()
+    assert unknown == 0
+    before = as_set(w.table("FactSales"))
+    w.append({"Customer": raw["Customer"].filter(missing)}, "their real rows")
+    after = {r.AccountID: r for r in w.table("DimCustomer").collect()}
+    assert {a: r.CustomerKey for a, r in customers.items()}.items() <= {a: r.CustomerKey for a, r in after.items()}.items()
+    assert all(after[a].RegionID is not None for a in late if int(a) % 997)
+    assert as_set(w.table("FactSales")) == before
+    assert len({r.CustomerKey for r in after.values()}) == len(after)
+
+
+def test_counters_are_observed_by_the_load(spark, warehouse):
+    """The same numbers as counting the flagged rows, without a second cleaning in the plan."""
+    observed = {r.entity: r.asDict() for r in warehouse.quality_counters().collect()}
+    assert set(observed) == set(ENTITIES)
+    for entity in ENTITIES:
+        assert warehouse._cleaned(entity).counts.first().asDict() == observed[entity], entity
+    plan = warehouse.quality_counters()._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("FileScan") == len(ENTITIES)
+
+
+def test_facts_point_at_the_version_of_their_day(spark):
+    versions = spark.createDataFrame(
+        [(1, "0001-01-01", "2024-03-10", 10), (1, "2024-03-10", "2024-03-11", 11), (1, "2024-03-11", None, 12), (2, "2024-02-01", "2024-02-01", 20), (2, "2024-02-01", None, 21)],
+        "k int, f string, t string, v int",
+    ).selectExpr("k", "to_date(f) as ValidFrom", "to_date(t) as ValidTo", "v")
+    facts = spark.createDataFrame(
+        [(1, "2023-12-31", 10), (1, "2024-03-09", 10), (1, "2024-03-10", 11), (1, "2024-03-11", 12), (1, "2031-01-01", 12), (2, "2024-01-31", None), (2, "2024-02-01", 21), (3, "2024-02-01", None), (1, None, None)],
+        "k int, d string, want int",
+    )
+    found = D.valid_versions(facts, "k", F.to_date("d"), versions, "k", "v").collect()
+    assert len(found) == 9 and all(r.v == r.want for r in found)
+
+
+def test_history_is_stored_and_facts_point_at_it(spark, small, tmp_path):
+    raw = fixtures.raw_tables(spark, small)
+    w = Warehouse(TableStore(spark, str(tmp_path / "history")), raw)
+    w.load_history("2024-01-01")
+    moved = F.when(F.col("accountid").cast("long") % 7 == 0, F.lit("1")).otherwise(F.col("regionid"))
+    w.reload({**raw, "Customer": raw["Customer"].withColumn("regionid", moved)})
+    day = w.table("FactSales").selectExpr("percentile_approx(OrderDateKey, 0.5)").first()[0]
+    text = f"{day // 10000}-{day // 100 % 100:02d}-{day % 100:02d}"
+    w.load_history(text)
+    history = w.store.read("HistCustomer")
+    changed = history.filter("IsCurrent = 0")
+    assert changed.count() > 5 and history.filter("IsCurrent = 1").count() == w.table("DimCustomer").count()
+    pointed = w.store.read("FactSalesVersions").join(w.table("FactSales"), "SalesKey")
+    assert pointed.count() == w.table("FactSales").count()
+    assert pointed.filter("CustomerVersion is null or SellerVersion is null or ProductVersion is null").isEmpty()
+    joined = pointed.join(history.drop("CustomerKey"), pointed.CustomerVersion == history.VersionKey)
+    on = F.to_date(F.col("OrderDateKey").cast("string"), "yyyyMMdd")
+    assert joined.count() == pointed.count()
+    assert joined.filter((on < F.col("ValidFrom")) | (on >= F.coalesce("ValidTo", F.lit("9999-01-01").cast("date")))).isEmpty()
+    assert joined.filter("IsCurrent = 0").count() > 0
