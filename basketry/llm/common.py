@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,36 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import scratch_root
+from basketry.session import scratch_root, ship  # noqa: F401  ship is for the operators
 
 #: Words a worker keeps; what it meets beyond them is described each time.
 CACHE_WORDS = 600_000
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers of the session, once. Spark's file server sends the archive
-    to every executor, so they need neither the driver's folder nor its path settings."""
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    held = io.BytesIO()
-    with zipfile.ZipFile(held, "w") as archive:
-        for folder, _, names in sorted(os.walk(package)):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
-    path = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry_workers.zip")
-    with open(path, "wb") as out:
-        out.write(held.getvalue())
-    spark.sparkContext.addPyFile(path)
-    _shipped.add(application)
-
-
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared scratch folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
