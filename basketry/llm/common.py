@@ -14,7 +14,18 @@ from pyspark.sql import functions as F
 from basketry.session import scratch_root, ship  # noqa: F401  ship is for the operators
 
 #: Words a worker keeps; what it meets beyond them is described each time.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
+
+_kept: dict[str, object] = {}
+
+
+def kept(kind: str, make: Callable[[], object]):
+    """What a worker process keeps from task to task for one kind of work. It keeps one kind: when another stage
+    begins, what the last one kept is given back."""
+    if kind not in _kept:
+        _kept.clear()
+        _kept[kind] = make()
+    return _kept[kind]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import WordTable, bitmap, in_bitmap, mix, ship
+from basketry.llm.common import WordTable, bitmap, in_bitmap, kept, mix, ship
 from basketry.session import materialise
 
 WIDTH, LITERAL, SHARE = 5, 3, 0.8
@@ -81,7 +81,9 @@ def _describe(raw: bytes) -> tuple[int, int, int]:
 
 
 #: Kept by a worker process from task to task.
-_words = WordTable(_describe, 3)
+def _words() -> WordTable:
+    return kept("templates", lambda: WordTable(_describe, 3))
+
 
 
 def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,7 +97,7 @@ def described(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     if _GLUED.search(raw):
         raw = _GLUE.sub(b" ", raw)
     words = raw.split()
-    found = _words.of(words)
+    found = _words().of(words)
     flags = found[:, 2].astype(np.uint8)
     fresh = np.concatenate([[True], (flags[:-1] & _ENDS) > 0]) if len(words) else np.zeros(0, bool)
     name = ((flags & _CAPITAL) > 0) & ~fresh

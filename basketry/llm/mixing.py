@@ -16,9 +16,10 @@
   multivariate hypergeometric law, exactly and without replacement. The tree ranks units, of which there
   are at most ``most * BLOCKS`` per source whatever the number of documents.
 
-Hashes depend on seed, id and text, so reruns agree. Rows repeated in full fall into the same part and
-are taken in any order, which is no difference. Null ids and sources are kept; an empty table gives an
-empty result; only doc_id, text and source are read by ``plan``, all columns are kept by ``mixed``.
+Hashes depend on seed, id and text, so reruns agree. Rows with equal id, source and text fall into the same
+part; as many of them are taken as come nearest to the target, whichever these are. Null ids and sources are
+kept; an empty table gives an empty result; only doc_id, text and source are read by ``plan``, all columns but
+``mix_pass`` and ``mix_shard`` are kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.ranking import number_rows
+from basketry.llm.common import unused
 from basketry.session import materialise
 
 BLOCKS, FINE = 64, 1024
@@ -46,6 +49,7 @@ def sized(docs: DataFrame, seed: int) -> DataFrame:
         "source",
         F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
         draw.alias("draw"),
+        F.monotonically_increasing_id().alias("row"),
     ).withColumns(
         {
             "block": F.pmod("draw", F.lit(BLOCKS)).cast("int"),
@@ -150,9 +154,19 @@ def plan(
         _greedy(inner, ["source", "block"], "fine", _hash(F.lit(seed + 2), *_TRIPLE), "left").filter("state > 0"), "fine"
     )
     last = rows.alias("l").join(fine.filter("state = 1").alias("r"), same(*_TRIPLE)).select("l.*", "r.left")
-    so_far = Window.partitionBy(*_TRIPLE).orderBy("size", "draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("size").over(so_far) - F.col("size")
-    nearest = last.filter("size > 0").withColumn("open", F.col("left") - before).filter("size <= 2 * open").select("source", "block", "draw").distinct()
+    # Equal rows come as one with their number. Of the rows of a part, in the order of size and draw, those are
+    # taken that end nearer to the target than they begin: for n equal rows that is a number from 0 to n.
+    equal = last.filter("size > 0").groupBy(*_TRIPLE, "draw").agg(F.max("size").alias("size"), F.count("*").alias("n"), F.max("left").alias("left"))
+    so_far = Window.partitionBy(*_TRIPLE).orderBy("size", "draw").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("size") * F.col("n")).over(so_far), F.lit(0))
+    fitting = F.floor((F.col("left") - before) / F.col("size") + 0.5)
+    nearest = equal.withColumn("fit", F.least("n", F.greatest(F.lit(0), fitting))).filter("fit > 0")
+    nearest = materialise(nearest.select("source", "block", "draw", "n", "fit"), "nearest")
+    # Where only some of the equal rows fit, rows are numbered; at most one draw of a source is such.
+    some = rows.alias("l").join(nearest.filter("fit < n").alias("r"), same("source", "block", "draw")).select("l.draw", "l.row", "r.fit")
+    numbered = materialise(number_rows(some, ["draw", "row"], "number"), "numbered")
+    firsts = numbered.groupBy("draw").agg(F.min("number").alias("first"))
+    not_taken = numbered.join(firsts, "draw").filter("number - first >= fit").select("row", F.lit(True).alias("not_taken"))
 
     # Units and the splitting tree.
     final = F.col("passes") + 1
@@ -189,8 +203,9 @@ def plan(
         open_.alias("l")
         .join(nearest.alias("r"), same("source", "block", "draw"), "left")
         .select("l.*", F.col("r.draw").isNotNull().alias("near"))
-        .withColumn("extra", F.col("whole") | F.col("near"))
-        .drop("whole", "near")
+        .join(not_taken, "row", "left")
+        .withColumn("extra", F.col("whole") | (F.col("near") & F.col("not_taken").isNull()))
+        .drop("whole", "near", "not_taken")
     )
     keep = F.filter(F.coalesce("units", F.array()), lambda u: F.col("extra") | (u["pass"] < final))
     return settled.unionByName(open_).select(
@@ -201,18 +216,26 @@ def plan(
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each row of ``docs`` once for every time it is taken, with ``mix_pass`` and
     ``mix_shard``, shards together and in random order inside each. Columns of ``docs`` are kept."""
-    chosen = plan(docs, **settings).filter(F.size("copies") > 0)
+    chosen = materialise(plan(docs, **settings).select("draw", "copies"), "chosen")
     seed = settings.get("seed", 7)
-    keyed = docs.withColumn("_draw", _hash(F.lit(seed), "doc_id", "source", F.coalesce("text", F.lit(""))))
-    # Rows repeated in full have one draw; they were all taken alike or the plan kept one key for them.
-    copies = chosen.groupBy("draw").agg(F.max("copies").alias("copies"))
-    taken = keyed.join(copies, F.col("_draw") == F.col("draw")).withColumn("_copy", F.explode("copies"))
-    order = _hash(F.lit(seed + 5), "_draw", "_copy.pass")
+    by, copies, copy, order, number = unused(docs, "draw", "copies", "copy", "order", "number")
+    keyed = docs.withColumn(by, _hash(F.lit(seed), "doc_id", "source", F.coalesce("text", F.lit(""))))
+    # Rows with equal id, source and text have one draw and are mostly taken alike; where they are not, the rows
+    # are numbered on both sides.
+    per_draw = chosen.groupBy("draw").agg(F.min("copies").alias("least"), F.max("copies").alias("most"))
+    alike = per_draw.filter("least = most AND size(most) > 0").select(F.col("draw").alias(by), F.col("most").alias(copies))
+    unlike = materialise(per_draw.filter("least <> most").select(F.col("draw").alias(by)), "unlike")
+    taken = keyed.join(alike, by)
+    if not unlike.isEmpty():
+        left = number_rows(materialise(keyed.join(unlike, by, "left_semi"), "equal"), [by], number)
+        right = number_rows(chosen.withColumnRenamed("draw", by).join(unlike, by, "left_semi").withColumnRenamed("copies", copies), [by, copies], number)
+        # Both sides hold as many rows of each draw and are numbered in the order of the draws.
+        both = left.join(right.select(number, copies), number).filter(F.size(copies) > 0)
+        taken = taken.unionByName(both.select(*taken.columns))
+    rows = taken.withColumn(copy, F.explode(copies)).withColumn(order, _hash(F.lit(seed + 5), by, f"{copy}.pass"))
     return (
-        taken.withColumn("mix_pass", F.col("_copy.pass"))
-        .withColumn("mix_shard", F.col("_copy.shard"))
-        .withColumn("_order", order)
-        .repartitionByRange("mix_shard", "_order")
-        .sortWithinPartitions("mix_shard", "_order")
-        .drop("_draw", "draw", "copies", "_copy", "_order")
+        rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("mix_pass", "mix_shard")], F.col(f"{copy}.pass").alias("mix_pass"), F.col(f"{copy}.shard").alias("mix_shard"), order)
+        .repartitionByRange("mix_shard", order)
+        .sortWithinPartitions("mix_shard", order)
+        .drop(order)
     )

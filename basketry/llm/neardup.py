@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Cut, WordHashes, bitmap, components, in_bitmap, joined_labels, merged, minima, mix, shingles, ship
+from basketry.llm.common import Cut, WordHashes, bitmap, components, in_bitmap, joined_labels, kept, merged, minima, mix, shingles, ship, unused
 
 TREES, BASE, DEPTH, REGION = 16, 4, 8, 24
 SIGNATURE = 2 * TREES * BASE
@@ -48,8 +48,8 @@ _ORDER = np.array([[(BASE * t + j) % (TREES * BASE) for j in range(DEPTH)] for t
 _SKETCH = "doc_id long, n_shingles long, print1 long, print2 long, signature array<int>"
 
 
-#: Kept by a worker process from task to task.
-_words = WordHashes()
+def _words() -> WordHashes:
+    return kept("words", WordHashes)
 
 
 def members(text: str | None, width: int, words: WordHashes) -> np.ndarray:
@@ -62,7 +62,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             sizes, prints, signatures = [], [], []
             for text in batch.column("text"):
-                runs = members(text.as_py(), width, _words)
+                runs = members(text.as_py(), width, _words())
                 sizes.append(len(runs))
                 with np.errstate(over="ignore"):
                     both = mix(runs + np.uint64(1)).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(runs ^ np.uint64(0x5BF03635)))
@@ -176,7 +176,7 @@ def _sets(docs: DataFrame, needed: DataFrame, width: int) -> DataFrame:
             wanted = np.flatnonzero(in_bitmap(sent.value, batch.column("h").to_numpy()))
             for at in range(0, len(wanted), 512):
                 part = batch.take(pa.array(wanted[at : at + 512]))
-                runs = [members(t.as_py(), width, _words).view(np.int64) for t in part.column("text")]
+                runs = [members(t.as_py(), width, _words()).view(np.int64) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(runs, pa.list_(pa.int64()))], names=["id", "runs"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id IS NOT NULL")
@@ -260,5 +260,6 @@ def kept_only(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near-duplicates: of each component the rows of its least id; rows that repeat an id and its
     text stay once. Rows without id are dropped only as copies of each other. Columns are kept."""
     found = Cut(classes(docs, width, percent).filter("NOT kept").select("doc_id").distinct(), "dropped").df
-    rest = docs.join(found, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text"))
-    return rest.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    (text,) = unused(docs, "text_hash")
+    rest = docs.join(found, "doc_id", "left_anti").withColumn(text, F.xxhash64("text"))
+    return rest.dropDuplicates(["doc_id", text]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import WordTable, mix, ship
+from basketry.llm.common import WordTable, kept, mix, ship
 
 BITS = 18
 MAX_ROWS = 12_000
@@ -45,8 +45,8 @@ def _describe(raw: bytes) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(shape, 1)
 
 
-#: Kept by a worker process from task to task.
-_words = WordTable(_describe, 2)
+def _words() -> WordTable:
+    return kept("quality", lambda: WordTable(_describe, 2))
 
 
 def _runs(codes: np.ndarray, longest: int) -> np.ndarray:
@@ -127,7 +127,7 @@ def fit(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                pairs = [features(t, _words, bits) for t in part.column("text").to_pylist()]
+                pairs = [features(t, _words(), bits) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("draw"),
@@ -176,7 +176,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             found = []
             for text in batch.column("text"):
-                at, values = features(text.as_py(), _words, bits)
+                at, values = features(text.as_py(), _words(), bits)
                 found.append(sigmoid(float(w[at] @ values) + w[-1]))
             scored = np.array(found, float)
             yield pa.RecordBatch.from_arrays(

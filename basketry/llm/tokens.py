@@ -24,6 +24,7 @@ manifest. Columns other than the two named ones are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import file_at, fresh_folder, ship
+from basketry.llm.common import file_at, fresh_folder, kept, ship
 from basketry.session import materialise
 
 SKIPPABLE, SEEK_TABLE, SEEKABLE_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -55,9 +56,10 @@ class ChunkEncoder:
     """Token ids of whole texts, encoding each distinct run of non-white ASCII characters once.
 
     The tokenizer drops white space before it merges and neither its normaliser nor its pre-tokeniser
-    looks across it; it lowers case; and it never merges a letter with the signs that follow it. So the ids
+    looks across it; it lowers case; and it parts most letters from the signs that follow them. So the ids
     of a text are those of its runs in order, lower-cased, and those of a word with signs are the word's and
-    the signs'. Texts that may hold a special token's name keep their case. Every word is encoded by the
+    the signs', where the tokenizer's own cut says so. A tokenizer with other settings encodes whole texts.
+    Texts that may hold a special token's name keep their case. Every word is encoded by the
     library; tests compare with it on whole texts. The first ``KEPT_RUNS`` runs are kept, others are encoded
     again when they come again."""
 
@@ -66,6 +68,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.parting: dict[str, bool] = {}
+        self.whole_texts = not _looks_at_runs_alone(tokenizer_path)
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
@@ -86,7 +90,7 @@ class ChunkEncoder:
     def _learn(self, runs: list[bytes]) -> list[bytes]:
         known = self.known
         new = [r for r in dict.fromkeys(runs) if r not in known]
-        cut = [_word_and_signs(r) for r in new]
+        cut = [self._word_and_signs(r) for r in new]
         whole = [r for r, m in zip(new, cut, strict=True) if m is None]
         pairs = [(r, *m) for r, m in zip(new, cut, strict=True) if m is not None]
         encode = [p for p in dict.fromkeys([*whole, *(x for p in pairs for x in p[1:])]) if p not in known]
@@ -98,10 +102,25 @@ class ChunkEncoder:
             self._append([p[0] for p in pairs], lengths[0::2] + lengths[1::2], ids)
         return [*encode, *(p[0] for p in pairs)]
 
+    def _word_and_signs(self, run: bytes) -> tuple[bytes, bytes] | None:
+        """Letters and the signs that follow them, if a run is nothing else and the tokenizer parts them."""
+        m = _WORD_AND_SIGNS(run.decode())
+        return (m[1].encode(), m[2].encode()) if m and m[1].isalpha() and self._parts(m[1][-1]) else None
+
+    def _parts(self, letter: str) -> bool:
+        """Whether the tokenizer cuts between a letter and signs behind it. It normalises before it cuts, and some
+        letters become one with a mark behind it, which goes with the signs."""
+        if letter not in self.parting:
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter + ","))
+            self.parting[letter] = [piece for piece, _ in cut][-1] == ","
+        return self.parting[letter]
+
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        if self.whole_texts:
+            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = []
         for text in texts:
             raw = text.encode()
@@ -119,24 +138,27 @@ class ChunkEncoder:
         return np.split(ids, cuts[:-1]) if split else []
 
 
-#: Signs that never begin a contraction or a special token.
-_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)").fullmatch
-
-
-def _word_and_signs(run: bytes) -> tuple[bytes, bytes] | None:
-    """Letters and the signs that follow them, if a run is nothing else."""
-    m = _WORD_AND_SIGNS(run.decode())
-    return (m[1].encode(), m[2].encode()) if m and m[1].isalpha() else None
+def _looks_at_runs_alone(tokenizer_path: str) -> bool:
+    """Whether a tokenizer drops white space, lowers case and never looks across white space, so that runs can be
+    encoded one by one. Others encode whole texts."""
+    with open(tokenizer_path, encoding="utf-8") as held:
+        settings = json.load(held)
+    steps = [n.get("type") for n in (settings.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    first = cuts[0] if cuts else {}
+    pattern = (first.get("pattern") or {}).get("Regex", "")
+    drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and pattern.endswith("[^\\s\\p{L}\\p{N}]+")
+    special = all(t["content"].startswith("<|") for t in settings.get("added_tokens", []))
+    return bool(steps == ["NFC", "Replace", "Lowercase"] and drops and special)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+#: Signs that never begin a contraction or a special token.
+_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)").fullmatch
 
 
 def encoder_of(tokenizer_path: str) -> ChunkEncoder:
     """The encoder of this worker process, kept from task to task."""
-    if tokenizer_path not in _encoders:
-        _encoders[tokenizer_path] = ChunkEncoder(tokenizer_path)
-    return _encoders[tokenizer_path]
+    return kept(f"tokens {tokenizer_path}", lambda: ChunkEncoder(tokenizer_path))
 
 
 def parts_of(texts: list[str], characters: int = AT_ONCE) -> Iterator[slice]:

@@ -74,6 +74,26 @@ def test_mixed_holds_what_the_plan_says(spark, small):
     assert got == want
 
 
+@pytest.mark.parametrize("others", [0, 40])
+def test_equal_rows_are_taken_one_by_one(spark, others):
+    """Equal rows are most of a source: as many are taken as fit, and the mix holds them."""
+    rows = [(7, "one two three four", "a")] * 1500 + [(i, "w " * (i % 9), "a") for i in range(100, 100 + others)] + [(i, "b " * 6, "b") for i in range(2000, 2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = check(docs, mixing.plan(docs), ["a", "b"])
+    want = {}
+    for r in found:
+        want[r.doc_id] = want.get(r.doc_id, 0) + len(r.copies)
+    mixed = {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()}
+    assert mixed == {d: n for d, n in want.items() if n}
+    assert 1500 < want[7] < 3000 or others == 0
+
+
+def test_columns_with_the_names_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 5, "x", 3)], "doc_id long, text string, source string, draw int, copies string, mix_pass int")
+    rows = mixing.mixed(docs).collect()
+    assert rows and all((r.draw, r.copies) == (5, "x") and r.mix_pass in (1, 2) for r in rows)
+
+
 def test_edges(edge, nothing):
     rows = mixing.plan(edge).collect()
     assert len(rows) == 7

@@ -74,6 +74,8 @@ def test_edges(spark, edge, nothing):
     assert neardup.classes(nothing, 3, 85).collect() == []
     assert sorted(str(r.doc_id) for r in neardup.kept_only(edge).collect()) == ["1", "2", "3", "4", "5", "None"]
     assert neardup.kept_only(edge).columns == edge.columns
+    clash = neardup.kept_only(edge.selectExpr("*", "'own' as text_hash", "1 as _text")).collect()
+    assert all((r.text_hash, r._text) == ("own", 1) for r in clash)
 
 
 def test_components(spark):

@@ -31,6 +31,22 @@ def test_runs_give_the_ids_of_the_whole_text(text):
     assert tokens.encoder_of(PATH).encode(text).tolist() == expected(text)
 
 
+@pytest.mark.parametrize("signs", [",", ".!", "&x"])
+def test_every_letter_before_signs(signs):
+    """Some letters become one with a mark in normal form, and the mark goes with the signs."""
+    letters = [chr(c) for c in range(0x80, 0x20000) if chr(c).isalpha()]
+    texts = [" ".join(f"ab{c}{signs} {c}{signs}" for c in letters[i : i + 50]) for i in range(0, len(letters), 50)]
+    found = tokens.ChunkEncoder(PATH).encode_all(texts)
+    assert all(f.tolist() == expected(t) for f, t in zip(found, texts, strict=True))
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Two  words,\n and MORE.", "", "it's\tİ."]
+    whole = Tokenizer.from_file(path)
+    assert [t.tolist() for t in tokens.ChunkEncoder(path).encode_all(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_RUNS", 3)
     encoder = tokens.ChunkEncoder(PATH)
