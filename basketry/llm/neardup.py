@@ -15,7 +15,8 @@
    Of the other pairs only those between different components so far are confirmed.
 5. What dense regions left out: in every region that is larger or touches the edge of a partition, texts outside
    the region's largest component are compared with all texts of other components of that region, signatures
-   first, then full sets, inside the join. So leaving out pairs in step 3 loses no link between components.
+   first, then full sets, in cells of bounded size, each pair in the first tree where it shares a region. So
+   leaving out pairs in step 3 loses no link between components.
 6. Components of the confirmed links, by stars (``common.components``).
 
 A pair of similarity s shares a region of one tree with probability s**BASE, of some tree 1-(1-s**BASE)**TREES:
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import Cut, WordHashes, bitmap, components, in_bitmap, joined_labels, kept, merged, minima, mix, shingles, ship, unused
 
-TREES, BASE, DEPTH, REGION = 16, 4, 8, 24
+TREES, BASE, DEPTH, REGION, BLOCK = 16, 4, 8, 24, 256
 SIGNATURE = 2 * TREES * BASE
 SLACK = 3.5
 BITMAP_BITS = 24
@@ -229,17 +230,86 @@ def linked(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFr
     open_ = Cut(named.df.join(largest, "region"), "open").df
     if open_.isEmpty():
         return labels
-    # Decided in the join itself, so that only links come out of it.
     sets = _sets(docs, open_.select("id"), width)
     rows = Cut(open_.join(reps.select("id", "signature"), "id").join(sets, "id"), "open").df
-    fringe = rows.filter("label <> main").select("region", F.col("id").alias("p"), F.col("label").alias("lp"), F.col("signature").alias("sp"), F.col("runs").alias("x"))
-    others = rows.select("region", F.col("id").alias("q"), F.col("label").alias("lq"), F.col("signature").alias("sq"), F.col("runs").alias("y"))
-    like = (F.col("lp") != F.col("lq")) & (_agreeing("sp", "sq") >= least) & _reaches("x", "y", percent)
-    met = fringe.join(others, (fringe.region == others.region) & like)
-    more = Cut(met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "more").df
+    more = Cut(links_in_cells(rows, _prefixes, lambda x, y: _equal_values(x, y) >= least, percent), "more").df
     return labels if more.isEmpty() else merged(labels, more)
 
 
+def _prefixes(signatures: np.ndarray) -> np.ndarray:
+    """Of each signature its region in every tree, as a number."""
+    heads = signatures.view(np.uint32)[:, _ORDER[:, :BASE]].astype(np.uint64)
+    codes = np.zeros(heads.shape[:2], np.uint64)
+    for j in range(BASE):
+        codes = mix(codes + heads[:, :, j])
+    return codes
+
+
+def _equal_values(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of equal values of each signature of one block with each of another."""
+    return np.stack([(y == row).sum(axis=1) for row in x]) if len(x) else np.zeros((0, len(y)), np.int64)
+
+
+def links_in_cells(rows: DataFrame, regions_of, likely, percent: int) -> DataFrame:
+    """``a, b``: links between components inside regions. ``rows`` have ``region, id, label, main`` (the region's
+    largest component), ``signature`` and ``runs``.
+
+    Those outside the largest component are compared with all others of the region, in cells of about ``BLOCK``
+    by ``BLOCK`` rows, so the work on one region is dealt to as many tasks as it has cells. A pair is compared in
+    the first region it shares, as ``regions_of`` numbers them, if it is ``likely`` by its signatures, on full sets;
+    and not if it is connected in its cell by then. Only links that connect leave a cell."""
+    ship(rows.sparkSession)
+    fringe = F.col("label") != F.col("main")
+    sizes = rows.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).alias("down"), F.ceil(F.count_if(fringe) / BLOCK).alias("across"))
+    sized = rows.join(sizes, "region")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    left = sized.filter(fringe).select("region", one("across").alias("i"), each("down").alias("j"), F.lit(0).alias("side"), "id", "label", "signature", "runs")
+    right = sized.select("region", each("across").alias("i"), one("down").alias("j"), F.lit(1).alias("side"), "id", "label", "signature", "runs")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        side, ids = cell["side"].to_numpy(), cell["id"].to_numpy()
+        labels = cell["label"].to_numpy()
+        width = len(cell["signature"][0])
+        signatures = cell["signature"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+        runs = cell["runs"].combine_chunks()
+        p, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        regions = regions_of(signatures)
+        # This cell's region is one that all of its rows share; a pair that shares an earlier one is compared there.
+        shared = (regions == regions[0]).all(axis=0)
+        here = int(np.argmax(shared)) if shared.any() else regions.shape[1]
+        earlier = np.zeros((len(p), len(q)), bool)
+        for t in range(here):
+            earlier |= regions[p, t][:, None] == regions[q, t][None, :]
+        open_ = (labels[p][:, None] != labels[q][None, :]) & ~earlier & likely(signatures[p], signatures[q])
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        sets = {int(k): np.sort(runs[int(k)].values.to_numpy()) for k in np.unique(np.concatenate([p[open_.any(axis=1)], q[open_.any(axis=0)]]))}
+        found = []
+        for i, j in np.argwhere(open_).tolist():
+            k, m = int(p[i]), int(q[j])
+            a, b = root(int(labels[k])), root(int(labels[m]))
+            if a == b:
+                continue
+            x, y = sets[k], sets[m]
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                continue
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if common and 100 * common >= percent * (len(x) + len(y) - common):
+                up[a] = b
+                found.append((int(min(ids[k], ids[m])), int(max(ids[k], ids[m]))))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return left.unionByName(right).groupBy("region", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text)."""
     ship(docs.sparkSession)

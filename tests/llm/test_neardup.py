@@ -52,8 +52,11 @@ def test_documents(spark, small, width, percent):
     assert len(set(want.values())) < len(want)
 
 
-def test_a_dense_group(spark, monkeypatch):
-    """Many like texts: regions far larger than their limit, members that few others are like, and copies."""
+@pytest.mark.parametrize("block", [8, 256])
+def test_a_dense_group(spark, monkeypatch, block):
+    """Many like texts: regions far larger than their limit, members that few others are like, and copies; compared
+    in one cell a region, or in many."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(4)
     base = [f"b{i}" for i in range(120)]
     docs = {i: variant(rng, base, rng.choice([1, 2, 3, 4])) for i in range(150)}
