@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import col, rounded
-from basketry.functions.ranking import exact_quantiles, running_total
+from basketry.functions.quantiles import exact_points
+from basketry.functions.ranking import running_total
 
 
 def quantile(df: DataFrame, value: Column | str, p: float) -> Column:
-    """One exact quantile as a scalar."""
-    return exact_quantiles(df, value, {"q": p}).select("q").scalar()
+    """One exact quantile as a constant; null when there are no values."""
+    found, _ = exact_points(df, {"v": col(value)}, {"q": p})
+    return F.lit(found["v"]["q"]).cast("double")
 
 
 def log1p(c: Column | str) -> Column:
@@ -65,26 +69,37 @@ def skewness(df: DataFrame, values: dict[str, Column]) -> DataFrame:
 
 
 def medians(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    long = df.select(*[e.cast("double").alias(n) for n, e in values.items()]).unpivot([], list(values), "measure", "v")
-    return exact_quantiles(long, "v", {"q": 0.5}, ["measure"]).select("measure", rounded("q", 4).alias("median"))
+    found, _ = exact_points(df, values, {"median": 0.5})
+    rows = [(n, q["median"]) for n, q in found.items()]
+    return df.sparkSession.createDataFrame(rows, "measure string, median double").withColumn("median", rounded("median", 4))
 
 
-def boxplot(df: DataFrame, value: Column, by: str) -> DataFrame:
+def boxplot(df: DataFrame, value: Column, by: str, most: int = 1000) -> DataFrame:
     """Quartiles, whiskers and outliers per group. Whiskers end at the last value within one and a
-    half quartile ranges. The quartile table has one row per group; ``by`` must have few values."""
-    rows = df.select(by, value.alias("v")).filter("v IS NOT NULL")
-    box = exact_quantiles(rows, "v", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, [by])
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    box = box.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
-    inside = F.col("v").between(F.col("low"), F.col("high"))
-    joined = rows.join(box, by)
-    return joined.groupBy(by).agg(
+    half quartile ranges. Every group is a column of its own for the quartiles, and the fences are constants,
+    so no row is moved; ``by`` may have at most ``most`` values."""
+    rows = df.select(by, value.cast("double").alias("v")).filter("v IS NOT NULL")
+    groups = [r[0] for r in rows.select(by).distinct().limit(most + 1).collect()]
+    if len(groups) > most:
+        raise ValueError(f"{by} has more than {most} values")
+    own = {str(i): F.when(F.col(by).eqNullSafe(F.lit(g)), F.col("v")) for i, g in enumerate(groups)}
+    box, _ = exact_points(rows, own, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    kinds = rows.schema[by].dataType.simpleString()
+    fences = []
+    for i, g in enumerate(groups):
+        reach = (box[str(i)]["q3"] - box[str(i)]["q1"]) * 1.5
+        fences.append((F.col(by).eqNullSafe(F.lit(g)), box[str(i)]["q1"] - reach, box[str(i)]["q3"] + reach))
+    inside = reduce(or_, [is_g & F.col("v").between(low, high) for is_g, low, high in fences], F.lit(False))
+    counted = rows.groupBy(by).agg(
         F.count("*").alias("rows"),
-        *[rounded(F.max(q), 4).alias(q) for q in ("q1", "q2", "q3")],
         rounded(F.min(F.when(inside, F.col("v"))), 4).alias("whisker_low"),
         rounded(F.max(F.when(inside, F.col("v"))), 4).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
     )
+    shown = df.sparkSession.createDataFrame([(g, *box[str(i)].values()) for i, g in enumerate(groups)], f"_g {kinds}, q1 double, q2 double, q3 double")
+    return counted.join(shown, F.col(by).eqNullSafe(F.col("_g"))).select(
+        by, "rows", *[rounded(q, 4).alias(q) for q in ("q1", "q2", "q3")], "whisker_low", "whisker_high", "outliers"
+    )
 
 
 def pareto_curve(customers: DataFrame, value: str, key: str) -> DataFrame:

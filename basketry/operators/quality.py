@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.columns import rounded, share, strip, to_day
-from basketry.functions.ranking import exact_quantiles
+from basketry.functions.quantiles import exact_points
 from basketry.sources.delimited import ORDINAL
 from basketry.sources.tables import row_counts
 
@@ -54,23 +54,35 @@ def profile_sample(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFr
     return df.orderBy(*order_by).limit(n)
 
 
+def as_text(df: DataFrame) -> Column:
+    """A row as one text, its values in the order of the columns; null is shown as such."""
+    return F.concat_ws(" | ", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in df.columns])
+
+
+def profile_samples(tables: dict[str, tuple[DataFrame, Sequence[str]]], n: int = 5) -> DataFrame:
+    """The first rows of several tables, each in an order of its own, as texts."""
+    return stack([profile_sample(df, order, n).select(F.lit(name).alias("table"), as_text(df).alias("row")) for name, (df, order) in tables.items()])
+
+
+def duplicate_row_list(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row that occurs more than once, as text, with its copies."""
+    found = {name: duplicate_rows(df) for name, df in tables.items()}
+    return stack([df.select(F.lit(name).alias("table"), as_text(df.drop("copies")).alias("row"), "copies") for name, df in found.items()])
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max, one row per column.
 
-    Quartiles are exact and come from value counts spread over the cluster."""
+    Moments and sketches of all columns come from one pass; quartiles are exact, from the values between brackets."""
     columns = list(columns)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    long = long.filter("value IS NOT NULL")
-    moments = long.groupBy("column").agg(
-        F.count("*").alias("count"),
-        rounded(F.avg("value")).alias("mean"),
-        rounded(F.stddev_samp("value")).alias("std"),
-        rounded(F.min("value")).alias("min"),
-        rounded(F.max("value")).alias("max"),
-    )
-    quartiles = exact_quantiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
-    shown = quartiles.select("column", *[rounded(p).alias(p) for p in ("p25", "p50", "p75")])
-    return moments.join(shown, "column")
+    moments = {"count": F.count, "mean": lambda c: rounded(F.avg(c)), "std": lambda c: rounded(F.stddev_samp(c)), "min": lambda c: rounded(F.min(c)), "max": lambda c: rounded(F.max(c))}
+    also = [f(F.col(f"`{c}`")).alias(f"{name} {c}") for c in columns for name, f in moments.items()]
+    points = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles, seen = exact_points(df, {c: F.col(f"`{c}`") for c in columns}, points, also)
+    rows = [(c, *[seen[f"{name} {c}"] for name in moments], *[quartiles[c][p] for p in points]) for c in columns]
+    kinds = "column string, count long, " + ", ".join(f"{n} double" for n in ("mean", "std", "min", "max", *points))
+    shown = df.sparkSession.createDataFrame(rows, kinds)
+    return shown.withColumns({p: rounded(p) for p in points})
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

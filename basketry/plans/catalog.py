@@ -602,11 +602,33 @@ def _(w):
     return readable(plain(Q.profile_sample(sales(w), ["SaleID", "ProductKey"]).drop("SalesKey")))
 
 
+_SAMPLE_ORDER = {"FactSales": ["SaleID", "ProductKey", "Quantity", "LineTotalAmount"], "FactInvoices": ["SaleID", "InvoiceID"]}
+
+
+@query("profile_samples")
+def _(w):
+    """The first five rows of every star table."""
+    tables = {t: plain(w.table(t)).drop("SalesKey", "InvoiceKey") for t in STAR_TABLES}
+    return Q.profile_samples({t: (df, _SAMPLE_ORDER.get(t, df.columns[:1])) for t, df in tables.items()})
+
+
 @query("describe_numeric")
 def _(w):
     return Q.describe_numeric(sales(w), X.FACT_MEASURES)
 
 
+@query("describe_tables")
+def _(w):
+    """The same figures of every numeric column of the raw facts, typed, and of the customer scores."""
+    tables = {
+        "SalesHeader": (raw_typed(w, "SalesHeader"), ["bruteamount", "netamount", "taxamount", "totalamount"]),
+        "SalesLine": (raw_typed(w, "SalesLine"), ["qty", "unitprice", "httotalamount", "ttctotalamount", "promovalue"]),
+        "Invoice": (raw_typed(w, "Invoice"), ["paymentamount"]),
+        "rfm": (rfm(w), ["Recency", "Frequency", "Monetary"]),
+    }
+    return Q.stack([Q.describe_numeric(df, cs).select(F.lit(t).alias("table"), "*") for t, (df, cs) in tables.items()])
+
+
 @query("distinct_key_counts")
 def _(w):
     a = Q.distinct_counts(sales(w), ["SaleID", "CustomerKey", "SellerKey", "ProductKey"])
@@ -636,6 +658,11 @@ def _(w):
     return Q.stack([of(n) for n in ENTITIES])
 
 
+@query("duplicate_row_list")
+def _(w):
+    return Q.duplicate_row_list({n: plain(w.raw[n]) for n in ENTITIES})
+
+
 @query("duplicate_keys")
 def _(w):
     return Q.duplicate_keys(w.raw["SalesHeader"], ["saleid"])

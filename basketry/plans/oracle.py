@@ -533,6 +533,32 @@ def _describe(table: str, c: str) -> str:
 S["describe_numeric"] = " UNION ALL ".join(
     _describe("fact_sales", c) for c in ("Quantity", *FACT_AMOUNTS)
 )
+S["describe_tables"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", * FROM ({_describe(table, c)})"""
+    for name, table, cs in (
+        ("SalesHeader", "typed_header", ["bruteamount", "netamount", "taxamount", "totalamount"]),
+        ("SalesLine", "typed_line", ["qty", "unitprice", "httotalamount", "ttctotalamount", "promovalue"]),
+        ("Invoice", "typed_invoice", ["paymentamount"]),
+        ("rfm", "rfm", ["Recency", "Frequency", "Monetary"]),
+    )
+    for c in cs
+)
+
+
+def _shown(columns: list[str]) -> str:
+    return "concat_ws(' | ', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in columns) + ")"
+
+
+_SAMPLE_ORDER = {"FactSales": "SaleID, ProductKey, Quantity, LineTotalAmount", "FactInvoices": "SaleID, InvoiceID"}
+S["profile_samples"] = " UNION ALL ".join(
+    f"""(SELECT '{t}' AS "table", {_shown([c for c, _ in cs if c not in ('SalesKey', 'InvoiceKey')])} AS "row" FROM {STAR[t]}
+    ORDER BY {_SAMPLE_ORDER.get(t, cs[0][0])} LIMIT 5)"""
+    for t, cs in COLUMN_TYPES.items()
+)
+S["duplicate_row_list"] = " UNION ALL ".join(
+    f"""SELECT '{n}' AS "table", {_shown(cs)} AS "row", count(*) AS copies FROM {RAW[n]} GROUP BY {', '.join(cs)} HAVING count(*) > 1"""
+    for n, cs in RAW_COLUMNS.items()
+)
 S["distinct_key_counts"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS "table", '{c}' AS "column", count(DISTINCT {c}) AS "distinct" FROM {STAR[t]}"""
     for t, cs in {"FactSales": ["SaleID", "CustomerKey", "SellerKey", "ProductKey"], "FactInvoices": ["InvoiceID", "CustomerKey", "SaleID"]}.items()

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.functions import quantiles as Q
 from basketry.functions.ranking import exact_quantiles, number_rows, running_total, seated
 from basketry.operators import rfm as R
 from basketry.operators.distributions import histogram, pareto_curve
@@ -86,3 +87,47 @@ def test_histogram_of_one_value(spark):
 def test_pareto_ends_at_one_hundred(skewed):
     last = pareto_curve(skewed, "v", "k").orderBy(F.desc("rank")).first()
     assert (last.cum_pct_customers, last.cum_pct_revenue) == (100.0, 100.0)
+
+
+# ---- quantiles by bracketing ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("few", [5, 100, 50_000])
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, few, accuracy):
+    """However coarse the sketch and however few values are looked at one by one."""
+    monkeypatch.setattr(Q, "FEW", few)
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    rng = np.random.default_rng(few + accuracy)
+    n = 4000
+    columns = {
+        "spread": rng.standard_normal(n) * 1e6,
+        "hot": np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 30, n)).astype(float),
+        "one": np.full(n, 3.5),
+        "few": rng.integers(0, 3, n).astype(float),
+        "long tail": rng.pareto(0.7, n),
+        "nothing": np.full(n, np.nan),
+    }
+    frame = pd.DataFrame(columns)
+    frame.loc[::7, "spread"] = np.nan
+    df = spark.createDataFrame(frame).repartition(6)
+    points = {"a": 0.0, "b": 0.013, "c": 0.25, "d": 0.5, "e": 0.995, "f": 1.0}
+    found, seen = Q.exact_points(df, {c: F.col(f"`{c}`") for c in frame}, points, [F.max("one").alias("most")])
+    assert seen.most == 3.5 and set(found["nothing"].values()) == {None}
+    for c in frame.columns.drop("nothing"):
+        assert [found[c][p] for p in points] == pytest.approx([frame[c].quantile(q) for q in points.values()], rel=1e-12), c
+
+
+def test_bracketed_quantiles_copy_and_sort_no_rows(spark, skewed):
+    from basketry.operators.distributions import boxplot
+
+    box = boxplot(skewed.withColumn("g", (F.col("k") % 3).cast("string")), F.col("v"), "g")
+    plan = box._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "rangepartitioning" not in plan
+    frame = skewed.toPandas()
+    for r in box.collect():
+        own = frame[frame.k % 3 == int(r.g)].v
+        q1, q3 = own.quantile(0.25), own.quantile(0.75)
+        kept = own[(own >= q1 - 1.5 * (q3 - q1)) & (own <= q3 + 1.5 * (q3 - q1))]
+        assert (r.q1, r.q2, r.q3) == pytest.approx((q1, own.median(), q3))
+        assert (r.whisker_low, r.whisker_high, r.outliers) == (kept.min(), kept.max(), len(own) - len(kept))
