@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -17,6 +19,9 @@ from basketry.functions.ranking import number_rows
 from basketry.session import materialise
 from basketry.specs import UNKNOWN_TEXT
 
+# What is asked of a churn model, as least values that must be exceeded.
+GATES = {"auc": 0.70, "recall": 0.60}
+
 NUMERIC = ["recency", "frequency", "monetary", "avg_order_value", "avg_days_between_orders", "total_products"]
 CATEGORIES = ["region", "sector"]
 
@@ -97,6 +102,7 @@ class ChurnRun:
     table: DataFrame
     current: DataFrame
     models: dict[str, PipelineModel]
+    metrics: DataFrame | None = None
 
     def scored(self, name: str, rows: DataFrame) -> DataFrame:
         out = self.models[name].transform(rows)
@@ -154,7 +160,8 @@ def confusion(run: ChurnRun) -> DataFrame:
 
 
 def churn_metrics(run: ChurnRun) -> DataFrame:
-    """Accuracy, precision, recall, F1 and the area under the ROC curve per model on the test side."""
+    """Accuracy, precision, recall, F1 and the area under the ROC curve per model on the test side, and whether the
+    model reaches what is asked of it (``GATES``)."""
     area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
     parts = None
     for name in run.models:
@@ -170,13 +177,14 @@ def churn_metrics(run: ChurnRun) -> DataFrame:
             F.coalesce(ratio(tp, tp + fn, 4), F.lit(0.0)).alias("recall"),
             F.coalesce(ratio(tp * 2, tp * 2 + fp + fn, 4), F.lit(0.0)).alias("f1"),
             F.lit(round(auc, 4)).alias("auc"),
-        )
+        ).withColumn("passes", reduce(and_, [F.col(c) > least for c, least in GATES.items()]).cast("int"))
         parts = rows if parts is None else parts.unionByName(rows)
     return parts
 
 
 def feature_importance(run: ChurnRun) -> DataFrame:
-    """Importance per model and feature: of trees as given, of the regression the coefficient.
+    """Importance per model and feature, with its rank in the model: of trees as given, of the regression the
+    coefficient, ranked by its size.
 
     The list has one row per feature, a number set by the feature definition and the categories."""
     rows = []
@@ -186,8 +194,9 @@ def feature_importance(run: ChurnRun) -> DataFrame:
     for name, model in run.models.items():
         last = model.stages[-1]
         weights = last.coefficients if name == "logistic_regression" else last.featureImportances
-        rows += [(name, named[i], float(weights[i])) for i in sorted(named)]
-    return run.table.sparkSession.createDataFrame(rows, "model string, feature string, importance double")
+        order = sorted(named, key=lambda i: (-abs(float(weights[i])), named[i]))  # noqa: B023
+        rows += [(name, place, named[i], float(weights[i])) for place, i in enumerate(order, 1)]
+    return run.table.sparkSession.createDataFrame(rows, "model string, rank int, feature string, importance double")
 
 
 def churn_risk(run: ChurnRun, model: str) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import plain_code, strip, tidy_text, to_day, to_money, to_whole
@@ -20,6 +20,7 @@ from basketry.session import materialise
 from basketry.sources.delimited import ORDINAL
 from basketry.specs import (
     CUSTOMER,
+    ENTITIES,
     INVOICE,
     PRODUCT,
     REGION,
@@ -34,8 +35,8 @@ from basketry.specs import (
 )
 
 COPIES, KEYED, RULED = "_copies", "_keyed", "_ruled"
-#: Hash of the keys as they came, by which a row is the same in every load.
-ROW = "_row"
+#: Hash of the keys as they came, by which a row is the same in every load. Whether a row stays.
+ROW, KEPT = "_row", "_kept"
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,7 @@ class ForeignKey:
     """``column`` must be a value of ``parent_key`` in ``parent``; else map to unknown or drop."""
 
     column: str
-    parent: DataFrame
+    parent: DataFrame | None
     parent_key: str
     orphan: str = "map"
 
@@ -290,28 +291,38 @@ def null_counts(df: DataFrame, spec: EntitySpec) -> DataFrame:
 class Cleaned:
     """A cleaned entity over its flagged rows: the rows that stay, and the counters of the run."""
 
-    flagged: DataFrame
+    flagged: DataFrame | None
     spec: EntitySpec
     foreign_keys: Sequence[ForeignKey] = ()
     use_unknown: bool = True
     unknown_member: bool = False
 
-    def _rows(self, flagged: DataFrame) -> DataFrame:
-        rows = clean_flagged(flagged, self.spec, self.foreign_keys, self.use_unknown)
-        return with_unknown_member(rows, self.spec.keys[0]) if self.unknown_member else rows
-
     @property
     def rows(self) -> DataFrame:
-        return self._rows(self.flagged)
+        rows = clean_flagged(self.flagged, self.spec, self.foreign_keys, self.use_unknown)
+        return with_unknown_member(rows, self.spec.keys[0]) if self.unknown_member else rows
 
     @property
     def counts(self) -> DataFrame:
         return quality_counts(self.flagged, self.spec, self.foreign_keys, self.use_unknown)
 
-    def observed(self, seen: Observation) -> DataFrame:
-        """The rows; once they are written, ``seen`` holds the counters, from the same pass. Write them without a
-        shuffle in between: then every task counts once, also when executors are lost."""
-        return self._rows(self.flagged.observe(seen, *quality_aggregates(self.spec, self.foreign_keys, self.use_unknown)))
+    @property
+    def marked(self) -> DataFrame:
+        """All unique rows, typed, with their flags and ``_kept``: what a load stores, so that the rows that stay and
+        the counters of the run are both read from it."""
+        kept = F.col(KEYED) & F.col(RULED)
+        for fk in _dropping(self.foreign_keys, self.use_unknown):
+            kept = kept & ~F.col(f"_orphan_{fk.column}")
+        return cast_entity(self.flagged.withColumn(KEPT, kept), self.spec)
+
+    def of_marked(self, marked: DataFrame) -> DataFrame:
+        """The rows that stay of stored ``marked`` ones."""
+        columns = [c for c in [*self.spec.columns, ORDINAL, ROW] if c in marked.columns]
+        rows = marked.filter(KEPT).select(*columns)
+        return with_unknown_member(rows, self.spec.keys[0]) if self.unknown_member else rows
+
+    def counts_of_marked(self, marked: DataFrame) -> DataFrame:
+        return quality_counts(marked, self.spec, self.foreign_keys, self.use_unknown)
 
 
 def clean_dimension(raw: DataFrame, spec: EntitySpec, add_unknown: bool = True) -> Cleaned:
@@ -324,15 +335,15 @@ def clean_fact(
     return Cleaned(flag_entity(raw, spec, foreign_keys, use_unknown), spec, foreign_keys, use_unknown)
 
 
-def header_keys(customer: DataFrame, seller: DataFrame) -> list[ForeignKey]:
+def header_keys(customer: DataFrame | None, seller: DataFrame | None) -> list[ForeignKey]:
     return [ForeignKey("accountid", customer, "accountid"), ForeignKey("sellerid", seller, "sellerid")]
 
 
-def line_keys(header: DataFrame, product: DataFrame) -> list[ForeignKey]:
+def line_keys(header: DataFrame | None, product: DataFrame | None) -> list[ForeignKey]:
     return [ForeignKey("saleid", header, "saleid", "drop"), ForeignKey("itemid", product, "itemid")]
 
 
-def invoice_keys(header: DataFrame) -> list[ForeignKey]:
+def invoice_keys(header: DataFrame | None) -> list[ForeignKey]:
     return [ForeignKey("salesid", header, "saleid")]
 
 
@@ -348,6 +359,16 @@ def clean_invoice(raw: DataFrame, header: DataFrame, use_unknown: bool = True) -
     return clean_fact(raw, INVOICE, invoice_keys(header), use_unknown)
 
 
+def outline(entity: str) -> Cleaned:
+    """How an entity is cleaned, without rows: for reading what a load has stored."""
+    keys = {"SalesHeader": header_keys, "SalesLine": line_keys}.get(entity)
+    if keys:
+        return Cleaned(None, ENTITIES[entity], keys(None, None))
+    if entity == "Invoice":
+        return Cleaned(None, INVOICE, invoice_keys(None))
+    return Cleaned(None, ENTITIES[entity], unknown_member=True)
+
+
 def clean_all(raw: Mapping[str, DataFrame], use_unknown: bool = True) -> dict[str, Cleaned]:
     """All entities in dependency order. Rows and counts are lazy; only the orphan keys are computed."""
     done = {s.name: clean_dimension(raw[s.name], s) for s in (REGION, SECTOR, CUSTOMER, SELLER, PRODUCT)}

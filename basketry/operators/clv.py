@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import date_from_key, number, ratio, rounded
+from basketry.functions.columns import date_from_key, date_key, number, ratio, rounded
 from basketry.functions.ranking import exact_quantiles
 from basketry.operators.churn import NUMERIC, churn_features, cutoff_day, stratified_split
+from basketry.operators.facts import MONTH
 from basketry.session import materialise
 
+# Fixed value: the share of variance a model of coming value must exceed.
+LEAST_R2 = 0.50
 TIERS = ["High", "Medium", "Low"]
 
 
@@ -61,6 +64,14 @@ def clv_churn_matrix(tiers: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def clv_risk_matrix(tiers: DataFrame, risk: DataFrame, limit: float = 0.5) -> DataFrame:
+    """Customers per tier of value and class of risk, with their mean risk and value, from a model's risk."""
+    joined = tiers.join(risk, "CustomerKey").withColumn("risk", F.when(F.col("ChurnRisk") >= limit, "at risk").otherwise("safe"))
+    return joined.groupBy("tier", "risk").agg(
+        F.count("*").alias("customers"), rounded(F.avg("ChurnRisk"), 4).alias("avg_risk"), rounded(F.avg("clv_historical")).alias("avg_value")
+    )
+
+
 def clv_by_segment(history: DataFrame, rfm: DataFrame) -> DataFrame:
     """Distribution of value per segment."""
     joined = history.join(rfm.select("CustomerKey", "Segment"), "CustomerKey")
@@ -69,12 +80,16 @@ def clv_by_segment(history: DataFrame, rfm: DataFrame) -> DataFrame:
     return spread.select("Segment", F.col("n").alias("customers"), *[rounded(p).alias(p) for p in points])
 
 
+def revenue_after(sales: DataFrame, cutoff: Column) -> DataFrame:
+    """Revenue per customer after a day. Only months that reach beyond it are read, and days compare as keys."""
+    month = F.year(cutoff) * 100 + F.month(cutoff)
+    later = sales.filter((F.col(MONTH) >= month) & (F.col("OrderDateKey") > date_key(cutoff)))
+    return later.groupBy("CustomerKey").agg(number(F.sum("LineTotalAmount")).alias("future_revenue"))
+
+
 def clv_table(sales: DataFrame, customers: DataFrame, days: int = 90) -> DataFrame:
     """Features up to the cutoff and, as target, the revenue after it (0 for none)."""
-    cutoff = cutoff_day(sales, days)
-    after = sales.filter(date_from_key("OrderDateKey") > cutoff).groupBy("CustomerKey").agg(
-        number(F.sum("LineTotalAmount")).alias("future_revenue")
-    )
+    after = revenue_after(sales, cutoff_day(sales, days))
     rows = churn_features(sales, customers, days).join(after, "CustomerKey", "left")
     return materialise(stratified_split(rows.na.fill(0.0, ["future_revenue"]), by=None), "clv")
 
@@ -101,15 +116,16 @@ def fit_clv(table: DataFrame) -> tuple[DataFrame, dict[str, object]]:
 
 
 def clv_model_quality(ready: DataFrame, models: dict[str, object]) -> DataFrame:
-    """Share of variance explained and mean error on the customers not trained on."""
+    """Share of variance explained and mean error on the customers not trained on, and whether the share exceeds
+    what is asked (``LEAST_R2``)."""
     rows = []
     for name, model in models.items():
         scored = model.transform(ready.filter("is_train = 0"))
         judge = RegressionEvaluator(labelCol="future_revenue")
         r2 = float(judge.evaluate(scored, {judge.metricName: "r2"}))
         error = float(judge.evaluate(scored, {judge.metricName: "mae"}))
-        rows.append((name, r2, error))
-    return ready.sparkSession.createDataFrame(rows, "model string, r2 double, mean_error double")
+        rows.append((name, r2, error, int(r2 > LEAST_R2)))
+    return ready.sparkSession.createDataFrame(rows, "model string, r2 double, mean_error double, passes int")
 
 
 def clv_predicted(ready: DataFrame, model) -> DataFrame:

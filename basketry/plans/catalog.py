@@ -21,6 +21,7 @@ from basketry.operators import quality as Q
 from basketry.operators import recommend as RC
 from basketry.operators import rfm as R
 from basketry.operators import sales as SL
+from basketry.plans.models import models_of
 from basketry.plans.warehouse import KEYED, STAR_TABLES, Warehouse, open_fixture
 from basketry.session import materialise
 from basketry.sources import delimited as L
@@ -378,7 +379,7 @@ def _(w):
 
 @query("dq_metrics")
 def _(w):
-    """Counters of all eight cleaning runs, one row per entity, as they were observed while the load wrote."""
+    """Counters of all eight cleaning runs, one row per entity, as stored with the load."""
     return w.quality_counters()
 
 
@@ -575,18 +576,14 @@ def _(w):
     """Analytic columns from observed figures: risk is whether the customer left, the prediction is
     what was spent after the cutoff."""
     labels = CH.churn_label(sales(w)).select("CustomerKey", K.number("label").alias("ChurnRisk"))
-    cutoff = CH.cutoff_day(sales(w))
-    later = sales(w).filter(K.date_from_key("OrderDateKey") > cutoff).groupBy("CustomerKey")
-    return _enriched(w, labels, later.agg(K.number(F.sum("LineTotalAmount")).alias("clv_predicted")))
+    later = V.revenue_after(sales(w), CH.cutoff_day(sales(w)))
+    return _enriched(w, labels, later.withColumnRenamed("future_revenue", "clv_predicted"))
 
 
 @query("dim_customer_enrich_models")
 def _(w):
     """The same columns from the fitted models."""
-    run = CH.fit_churn(sales(w), named_dim(w), ["logistic_regression"])
-    ready, models = V.fit_clv(V.clv_table(sales(w), named_dim(w)))
-    predicted = V.clv_predicted(V.current_customers(sales(w), named_dim(w)), models["linear_regression"])
-    return _enriched(w, CH.churn_risk(run, "logistic_regression"), predicted)
+    return _enriched(w, _risk(w), _clv_predictions(w))
 
 
 # ---- profiling and quality ------------------------------------------------------------------
@@ -838,47 +835,55 @@ _RFM: dict[str, Callable[[Warehouse], DataFrame]] = {
 # ---- models, baskets, recommendations -------------------------------------------------------
 
 
-def _points(w) -> DataFrame:
-    return materialise(CL.scaled(CL.rfm_features(rfm(w))), "points")
+def _baskets_as_text(w) -> DataFrame:
+    return B.basket_items(sales(w)).select("SaleID", B.as_text("items").alias("items"), "item_count")
+
 
+def _segments(w) -> DataFrame:
+    run = models_of(w).segments()
+    return CL.kmeans_segments(run.points, CL.best_silhouette(run.curve))
 
-def _clv(w):
-    return V.fit_clv(V.clv_table(sales(w), named_dim(w)))
+
+def _k_curve(w) -> DataFrame:
+    run = models_of(w).segments()
+    return CL.k_curve_table(w.spark, run.curve, run.elbow)
 
 
 def _clv_predictions(w) -> DataFrame:
-    ready, models = _clv(w)
-    return V.clv_predicted(V.current_customers(sales(w), named_dim(w)), models["linear_regression"])
+    run = models_of(w).value()
+    return V.clv_predicted(run.current, run.models["linear_regression"])
 
 
-def _baskets_as_text(w) -> DataFrame:
-    return B.basket_items(sales(w)).select("SaleID", B.as_text("items").alias("items"), "item_count")
+def _clv_quality(w) -> DataFrame:
+    run = models_of(w).value()
+    return V.clv_model_quality(run.ready, run.models)
 
 
-def _importance(w) -> DataFrame:
-    return CH.feature_importance(CH.fit_churn(sales(w), named_dim(w)))
+def _risk(w) -> DataFrame:
+    return CH.churn_risk(models_of(w).churn(), "logistic_regression")
 
 
 _MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "feature_scale": lambda w: CL.scaled_columns(CL.rfm_features(rfm(w))),
-    "kmeans_segments": lambda w: CL.kmeans_segments(_points(w)),
-    "kmeans_k_curve": lambda w: CL.k_curve_table(_points(w)),
-    "cluster_profile": lambda w: CL.cluster_profile(CL.kmeans_segments(_points(w)), rfm(w)),
-    "pca_project": lambda w: CL.pca_project(_points(w)),
+    "kmeans_segments": _segments,
+    "kmeans_k_curve": _k_curve,
+    "cluster_profile": lambda w: CL.cluster_profile(_segments(w), rfm(w)),
+    "pca_project": lambda w: CL.pca_project(models_of(w).segments().points, 3),
     "density_clusters": lambda w: CL.density_clusters(CL.scaled_columns(CL.rfm_features(rfm(w))), ["recency_z", "log_monetary_z"], 0.25, 10),
     "churn_label": lambda w: CH.churn_label(sales(w)),
     "churn_features": lambda w: CH.churn_features(sales(w), named_dim(w)),
     "stratified_split": lambda w: CH.split_sizes(CH.churn_label(sales(w))),
-    "churn_models": lambda w: CH.churn_metrics(CH.fit_churn(sales(w), named_dim(w))),
-    "churn_metrics": lambda w: CH.confusion(CH.fit_churn(sales(w), named_dim(w), ["logistic_regression"])),
-    "feature_importance": _importance,
-    "at_risk_list": lambda w: CH.at_risk_list(CH.fit_churn(sales(w), named_dim(w), ["random_forest"]), "random_forest"),
+    "churn_models": lambda w: models_of(w).churn().metrics,
+    "churn_metrics": lambda w: CH.confusion(models_of(w).churn()),
+    "feature_importance": lambda w: CH.feature_importance(models_of(w).churn()),
+    "at_risk_list": lambda w: CH.at_risk_list(models_of(w).churn(), "random_forest"),
     "clv_historical": lambda w: V.clv_historical(sales(w)),
     "clv_summary_table": lambda w: V.clv_summary_table(sales(w)),
     "clv_predicted": _clv_predictions,
-    "clv_model_quality": lambda w: V.clv_model_quality(*_clv(w)),
+    "clv_model_quality": _clv_quality,
     "clv_tiers": lambda w: V.clv_tiers(V.clv_historical(sales(w))),
     "clv_churn_matrix": lambda w: V.clv_churn_matrix(V.clv_tiers(V.clv_historical(sales(w))), CH.churn_label(sales(w))),
+    "clv_risk_matrix": lambda w: V.clv_risk_matrix(V.clv_tiers(V.clv_historical(sales(w))), _risk(w)),
     "clv_by_segment": lambda w: V.clv_by_segment(V.clv_historical(sales(w)), rfm(w)),
     "basket_items": _baskets_as_text,
     "frequent_itemsets": lambda w: B.frequent_itemsets(B.itemset_model(sales(w))),

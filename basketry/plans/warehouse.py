@@ -10,7 +10,7 @@ from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import date_from_key
@@ -39,6 +39,10 @@ KEYED = {
 PARTITIONED = {"FactSales": [X.MONTH], "FactInvoices": [X.MONTH]}
 
 
+# Clean tables that are read from the marked rows of their entity; the others are small and stored.
+_VIEWS = {f"clean_{e}": e for e in ("SalesHeader", "SalesLine", "Invoice")}
+
+
 class _Landed(Mapping):
     """The raw entities of a warehouse, as stored text tables."""
 
@@ -88,7 +92,11 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         with self._locks[name]:
             if name not in self._open:
-                if name in self._reloading or not self.store.exists(name):
+                if name in _VIEWS:
+                    # The rows that stay are those of the marked ones, which are stored.
+                    entity = _VIEWS[name]
+                    self._open[name] = C.outline(entity).of_marked(self.table(f"marked_{entity}"))
+                elif name in self._reloading or not self.store.exists(name):
                     self._open[name] = self._write(name)
                     self._reloading.discard(name)
                 else:
@@ -96,26 +104,12 @@ class Warehouse:
             return self._open[name]
 
     def _write(self, name: str) -> DataFrame:
-        if not name.startswith("clean_"):
-            return self.store.write(name, self._build(name), PARTITIONED.get(name, ()))
-        # The counters are collected while the rows are written, by the tasks that write them.
-        entity = name.removeprefix("clean_")
-        seen = Observation(f"{entity}-{uuid.uuid4().hex}")
-        table = self.store.write(name, self._cleaned(entity).observed(seen), rebalance=False)
-        counters = seen.get
-        kinds = ", ".join(["entity string", *(f"{c} long" for c in counters)])
-        self.store.write(f"counts_{entity}", self.spark.createDataFrame([(entity, *counters.values())], kinds))
-        return table
+        return self.store.write(name, self._build(name), PARTITIONED.get(name, ()), rebalance=not name.startswith("marked_"))
 
     def quality_counters(self) -> DataFrame:
-        """The counters of all cleanings of the load, as stored with it. Only those that a failure kept from being
-        stored are counted again."""
-        self.tables(*(f"clean_{e}" for e in ENTITIES))
-        parts = []
-        for e in ENTITIES:
-            stored = self.store.exists(f"counts_{e}")
-            parts.append(self.store.read(f"counts_{e}") if stored else self._cleaned(e).counts)
-        return reduce(DataFrame.unionByName, parts)
+        """The counters of all cleanings, as stored with the load. They are counted from the stored flags of the
+        rows, so no row is cleaned for them, and a lost executor does not count twice."""
+        return reduce(DataFrame.unionByName, self.tables(*map(_counts_name, ENTITIES)))
 
     def tables(self, *names: str) -> list[DataFrame]:
         """Several tables; those still to be built are built side by side, since jobs on small
@@ -127,8 +121,9 @@ class Warehouse:
         return self.table(f"clean_{entity}")
 
     def build_star(self) -> dict[str, DataFrame]:
-        """The whole star schema in load order."""
-        return dict(zip(STAR_TABLES, self.tables(*STAR_TABLES), strict=True))
+        """The whole star schema in load order, and the counters of its cleanings."""
+        built = self.tables(*STAR_TABLES, *map(_counts_name, ENTITIES))
+        return dict(zip(STAR_TABLES, built, strict=False))
 
     def publish(self) -> Snapshot:
         """Build what is missing of the star and show all of it at once."""
@@ -141,12 +136,20 @@ class Warehouse:
         new ones."""
         self.sources = raw or self.sources
         self._open.clear()
-        self._reloading = {f"{s}_{e}" for e in ENTITIES for s in ("raw", "clean")} | set(STAR_TABLES) | {"sale_keys", "rfm", *map(_map_name, KEYED)}
+        self._reloading = {f"{s}_{e}" for e in ENTITIES for s in ("raw", "marked", "clean", "counts")} | set(STAR_TABLES) | {"sale_keys", "rfm", *map(_map_name, KEYED)}
         return self.build_star()
 
     def _build(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self.sources[name.removeprefix("raw_")]
+        if name.startswith("marked_"):
+            return self._cleaned(name.removeprefix("marked_")).marked
+        if name.startswith("clean_"):
+            entity = name.removeprefix("clean_")
+            return C.outline(entity).of_marked(self.table(f"marked_{entity}"))
+        if name.startswith("counts_"):
+            entity = name.removeprefix("counts_")
+            return C.outline(entity).counts_of_marked(self.table(f"marked_{entity}"))
         if name.startswith("keys_"):
             return self._build_keys(name.removeprefix("keys_"))
         if name in KEYED:
@@ -333,6 +336,10 @@ def _map_name(dim: str) -> str:
     return f"keys_{dim}"
 
 
+def _counts_name(entity: str) -> str:
+    return f"counts_{entity}"
+
+
 class _Files(Mapping):
     """The eight entities from delimited files, each read when it is asked for: a load that resumes does not
     read what has landed."""

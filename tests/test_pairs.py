@@ -123,9 +123,9 @@ def test_two_equal_large_orders_do_not_give_all_their_subsets(spark):
     assert {r["items"] for r in found} == {str(100 + i) for i in range(7)}
 
 
-def brute_density(points, steps, min_points):
+def brute_density(points, eps, min_points):
     """Labels by definition: neighbours by distance, components by search."""
-    near = {a: [b for b in points if sum((x - y) ** 2 for x, y in zip(points[a], points[b], strict=True)) <= steps**2] for a in points}
+    near = {a: [b for b in points if sum((x - y) ** 2 for x, y in zip(points[a], points[b], strict=True)) <= eps * eps] for a in points}
     core = {a for a in points if len(near[a]) >= min_points}
     label, seen = {}, set()
     for a in sorted(core):
@@ -145,18 +145,49 @@ def brute_density(points, steps, min_points):
     return groups, core
 
 
+def check_density(spark, spots, eps, min_points):
+    names = ["a", "b", "c"][: len(spots[0])]
+    rows = [(i, *map(float, x)) for i, x in enumerate(spots)]
+    df = spark.createDataFrame(rows, "CustomerKey int, " + ", ".join(f"{n} double" for n in names)).repartition(4)
+    expected, core = brute_density({r[0]: r[1:] for r in rows}, eps, min_points)
+    found = {r.CustomerKey: (r.cluster, r.is_core) for r in CL.density_clusters(df, names, eps, min_points).collect()}
+    assert {k for k, (_, c) in found.items() if c} == core
+    assert {k: v for k, (v, _) in found.items()} == expected
+    return expected
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_density_clusters_follow_the_definition(spark, seed):
     rng = np.random.default_rng(seed)
     spots = np.vstack([rng.normal(c, 0.25, (40, 2)) for c in ((0, 0), (3, 3), (0, 3))] + [rng.uniform(-2, 6, (40, 2)), np.zeros((60, 2))])
-    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(spots)]
-    df = spark.createDataFrame(rows, "CustomerKey int, a double, b double")
-    eps, steps = 0.4, 4
-    snapped = {r.CustomerKey: (r.x0, r.x1) for r in CL.lattice_points(df, ["a", "b"], eps / steps).collect()}
-    expected, core = brute_density(snapped, steps, 5)
-    found = {r.CustomerKey: (r.cluster, r.is_core) for r in CL.density_clusters(df, ["a", "b"], eps, 5, steps).collect()}
-    assert {k for k, (_, c) in found.items() if c} == core
-    assert {k: v for k, (v, _) in found.items()} == expected
+    assert len(set(check_density(spark, spots, 0.4, 5).values())) > 3
+
+
+def test_density_clusters_in_space(spark):
+    rng = np.random.default_rng(3)
+    spots = np.vstack([rng.normal(c, 0.3, (50, 3)) for c in ((0, 0, 0), (1.5, 0, 0), (4, 4, 4))] + [rng.uniform(-1, 5, (30, 3))])
+    check_density(spark, spots, 0.5, 6)
+
+
+@pytest.mark.parametrize(("gap", "few"), [(0.999, 30), (1.001, 30), (0.999, 4096), (1.001, 4096)])
+def test_two_crowds_that_just_touch(spark, monkeypatch, gap, few):
+    """Two long walls of points whose nearest pair decides: their boxes are halved until it is found, or ruled out."""
+    monkeypatch.setattr(CL, "FEW_PAIRS", few)
+    rng = np.random.default_rng(5)
+    left = np.column_stack([rng.uniform(-0.4, 0, 150), rng.uniform(0, 0.7, 150)])
+    right = np.column_stack([rng.uniform(gap, gap + 0.4, 150), rng.uniform(0, 0.7, 150)])
+    ends = np.array([[0.0, 0.35], [gap, 0.35]])
+    left[:, 0] -= 0.02
+    right[:, 0] += 0.02
+    found = check_density(spark, np.vstack([left, right, ends]), 1.0, 20)
+    assert len(set(found.values())) == (1 if gap < 1 else 2)
+
+
+def test_points_without_a_place_are_noise(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 0.1), (3, None), (4, float("nan")), (5, -0.0)], "CustomerKey int, a double")
+    found = {r.CustomerKey: (r.cluster, r.is_core) for r in CL.density_clusters(df, ["a"], 0.5, 3).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (-1, 0), 4: (-1, 0), 5: (1, 1)}
+    assert CL.density_clusters(df.filter("CustomerKey > 9"), ["a"], 0.5, 3).collect() == []
 
 
 def test_components_of_a_long_chain_and_a_star(spark):

@@ -241,12 +241,12 @@ def test_late_members_keep_their_key(spark, small, tmp_path):
     assert len({r.CustomerKey for r in after.values()}) == len(after)
 
 
-def test_counters_are_observed_by_the_load(spark, warehouse):
+def test_counters_are_stored_by_the_load(spark, warehouse):
     """The same numbers as counting the flagged rows, without a second cleaning in the plan."""
-    observed = {r.entity: r.asDict() for r in warehouse.quality_counters().collect()}
-    assert set(observed) == set(ENTITIES)
+    stored = {r.entity: r.asDict() for r in warehouse.quality_counters().collect()}
+    assert set(stored) == set(ENTITIES)
     for entity in ENTITIES:
-        assert warehouse._cleaned(entity).counts.first().asDict() == observed[entity], entity
+        assert warehouse._cleaned(entity).counts.first().asDict() == stored[entity], entity
     plan = warehouse.quality_counters()._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and plan.count("FileScan") == len(ENTITIES)
 
