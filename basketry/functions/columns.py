@@ -21,7 +21,8 @@ WHITE_SPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-MONEY = "decimal(18,2)"
+# Amounts of the star, and amounts as they come: their further digits stay until the facts are written.
+MONEY, AMOUNT = "decimal(18,2)", "decimal(20,6)"
 
 
 def col(c: Column | str) -> Column:
@@ -44,7 +45,7 @@ def tidy_text(c: Column | str, longest: int | None = None) -> Column:
     return flat if longest is None else F.substring(flat, 1, longest)
 
 
-def to_money(c: Column | str, kind: str = MONEY) -> Column:
+def to_money(c: Column | str, kind: str = AMOUNT) -> Column:
     """Text with a decimal comma or point to DECIMAL, null when it is not a number."""
     return F.replace(col(c), F.lit(","), F.lit(".")).try_cast(kind)
 

@@ -56,14 +56,18 @@ def bundle_candidates(rules: DataFrame, min_lift: float = 1.0, min_orders: int =
     return kept.select("item_a", "item_b", "orders_both", "support", "lift")
 
 
+#: Orders that must share a set, however few there are.
+LEAST_ORDERS = 2
+
+
 def itemset_model(sales: DataFrame, min_support: float = 0.001, min_confidence: float = 0.1):
-    """FP-Growth over the baskets. The threshold is a share of the orders, so it keeps its meaning at any size;
-    every set that reaches it is found. A fixed number of orders would let a few equal large orders give all
-    subsets of theirs."""
+    """FP-Growth over the baskets. The threshold is a share of the orders, so it keeps its meaning at any size, but
+    ``LEAST_ORDERS`` at least: what one order holds is no pattern, and every subset of a large order would be one.
+    Every set that reaches the threshold is found."""
     baskets = materialise(basket_items(sales).select("items"), "baskets")
     orders = baskets.count()
     # Half an order below the least number that reaches the share, so that rounding does not lose a set.
-    support = max(math.ceil(min_support * orders) - 0.5, 0.5) / max(orders, 1)
+    support = (max(math.ceil(min_support * orders), LEAST_ORDERS) - 0.5) / max(orders, 1)
     return FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
 
 

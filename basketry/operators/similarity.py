@@ -137,7 +137,7 @@ def _expand_in_blocks(rows: DataFrame, limit: int) -> DataFrame:
     return _pairs(left, right, on)
 
 
-def prefix_pairs(triples: DataFrame, min_cosine: float) -> DataFrame:
+def prefix_pairs(triples: DataFrame, min_cosine: float, limit: int = 1000) -> DataFrame:
     """Unordered pairs ``a < b`` with their ``cosine`` at or above the threshold, by prefix filtering.
 
     The features of an entity stand in one global order, rare ones first. Only those are joined from which on
@@ -155,9 +155,13 @@ def prefix_pairs(triples: DataFrame, min_cosine: float) -> DataFrame:
     )
     vectors = materialise(ranked.select("entity", "feature", "weight", "n", "rest"), "prefixes")
     prefix = vectors.filter(F.col("rest") >= F.col("n") * (min_cosine**2) * _SLACK)
-    left = prefix.select(F.col("entity").alias("a"), "feature")
-    right = prefix.select(F.col("entity").alias("b"), "feature")
-    candidates = left.join(right, "feature").filter("a < b").select("a", "b").distinct()
+    # A popular feature may be the only one of many entities: the pairs of such a feature are formed in blocks.
+    common = prefix.groupBy("feature").agg(F.count("*").alias("size"))
+    one = F.lit(1.0)
+    rows = materialise(prefix.select("entity", "feature").join(common, "feature").withColumns({"weight": one, "n": one, "h": one}), "prefix")
+    few = _expand(rows.filter(F.col("size") <= limit), ["feature"])
+    many = _expand_in_blocks(rows.filter(F.col("size") > limit), limit)
+    candidates = few.unionByName(many).select("a", "b").distinct()
     va = vectors.select(F.col("entity").alias("a"), "feature", F.col("weight").alias("wa"), F.col("n").alias("na"))
     vb = vectors.select(F.col("entity").alias("b"), "feature", F.col("weight").alias("wb"), F.col("n").alias("nb"))
     met = candidates.join(va, "a").join(vb, ["b", "feature"]).groupBy("a", "b")

@@ -264,7 +264,7 @@ B["triples"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, c
 B["quads"] = """SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, count(*) AS c FROM basket a
     JOIN basket b ON a.SaleID = b.SaleID AND a.item < b.item JOIN basket c ON b.SaleID = c.SaleID AND b.item < c.item
     JOIN basket d ON c.SaleID = d.SaleID AND c.item < d.item GROUP BY ALL HAVING count(*) >= 2"""
-B["support"] = "SELECT CAST(ceil(CAST(0.001 AS DOUBLE) * CAST(n AS DOUBLE)) AS BIGINT) AS least FROM orders_n"
+B["support"] = "SELECT greatest(2, CAST(ceil(CAST(0.001 AS DOUBLE) * CAST(n AS DOUBLE)) AS BIGINT)) AS least FROM orders_n"
 B["orders_n"] = "SELECT count(DISTINCT SaleID) AS n FROM basket"
 B["pair_rules"] = f"""SELECT item_a, item_b, p.c AS orders_both, {rnd('CAST(p.c AS DOUBLE) / CAST(n AS DOUBLE)', 8)} AS support,
     {rnd('CAST(p.c AS DOUBLE) / CAST(a.c AS DOUBLE)', 6)} AS confidence_ab, {rnd('CAST(p.c AS DOUBLE) / CAST(b.c AS DOUBLE)', 6)} AS confidence_ba,

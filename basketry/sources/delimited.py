@@ -168,25 +168,27 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def files_overview(spark: SparkSession, folder: str, tables: list[str]) -> DataFrame:
-    """Table, kind, parts and size of every source file; contents are not read."""
+    """Table, kind, parts, size and encodings of every source file. Contents are read once, for the encodings; those
+    of several files of a table are listed."""
     overview = None
     for table in tables:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
-            .load(source_path(folder, table))
-            .select("length")
-        )
+        path = source_path(folder, table)
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("length")
         kind = "Fact" if table in ("SalesHeader", "SalesLine", "Invoice") else "Dimension"
+        candidates = SOURCE_FILES[table][1] if table in SOURCE_FILES else ["utf-8", "cp1252"]
+        found = encodings_at(spark, path, candidates).agg(F.array_join(F.array_sort(F.collect_set("encoding")), ", ").alias("encodings"))
         row = listing.agg(
             F.count("*").alias("parts"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
-        ).select(F.lit(table).alias("table"), F.lit(kind).alias("kind"), "parts", "bytes")
+        ).select(F.lit(table).alias("table"), F.lit(kind).alias("kind"), "parts", "bytes", found.select("encodings").scalar().alias("encodings"))
         overview = row if overview is None else overview.unionByName(row)
     return overview
 
 
 def write_delimited(df: DataFrame, path: str, encoding: str = "utf-8") -> None:
-    """Write ``;`` files with header. Windows-1252 goes out as Latin-1 with mapped characters."""
+    """Write ``;`` files with header. Windows-1252 goes out as Latin-1 with mapped characters. Amounts have two
+    decimals, and further ones only where they are not zero."""
+    digits = {f.name: f.dataType.scale for f in df.schema if isinstance(f.dataType, T.DecimalType)}
+    df = df.withColumns({c: F.regexp_replace(F.col(c).cast("string"), r"(\.\d\d\d*?)0+$", "$1") for c, n in digits.items() if n > 2})
     if encoding == "cp1252":
         df = df.select(*[F.translate(c, CP1252_CHARS, CP1252_BYTES).alias(c) for c in df.columns])
     (

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import columns as K
 from basketry.operators import cleaning as C
+from basketry.operators import facts as X
 from basketry.specs import CUSTOMER, SALES_LINE, UNKNOWN_KEY, Rule
 
 
@@ -24,7 +25,7 @@ def test_whole_numbers_round_half_to_even_and_reject_infinity(spark):
 def test_decimal_comma(spark):
     df = texts(spark, "18,676", "18.674", "n/a", None, "-3", "1e2")
     found = [None if v is None else float(v) for v in values(df, K.to_money("x"))]
-    assert found == [18.68, 18.67, None, None, -3.0, 100.0]
+    assert found == [18.676, 18.674, None, None, -3.0, 100.0]
 
 
 def test_dates(spark):
@@ -150,3 +151,15 @@ def test_null_counts_see_nulls(spark):
 
 def test_line_rule_is_declared():
     assert SALES_LINE.rules == (Rule("qty", ">", 0),)
+
+
+def test_amounts_keep_their_digits_until_the_facts(spark):
+    """The difference of two amounts is rounded, not the amounts."""
+    raw = spark.createDataFrame([("1", "a", "1", "3,005", "5,002", "10,006", "Gift", "0,125")], "saleid string, itemid string, qty string, unitprice string, httotalamount string, ttctotalamount string, promotype string, promovalue string")
+    typed = C.cast_entity(raw, SALES_LINE)
+    assert float(typed.first().ttctotalamount) == 10.006 and float(typed.first().promovalue) == 0.125
+    measures = X.line_measures(typed).first()
+    assert [str(measures[c]) for c in ("UnitPrice", "LineBruteAmount", "LineTaxAmount", "LineTotalAmount")] == ["3.01", "5.00", "5.00", "10.01"]
+    sales = spark.createDataFrame([("1", 20240101, 20240102, 1, 1, 0, 0, 0, 0)], "saleid string, OrderDateKey int, DeliveryDateKey int, CustomerKey int, SellerKey int, HeaderBruteAmount int, HeaderNetAmount int, HeaderTaxAmount int, HeaderTotalAmount int")
+    fact = X.fact_sales(sales, typed, spark.createDataFrame([("a", 1)], "ItemID string, ProductKey int"), spark.createDataFrame([("Gift", 1)], "PromoType string, PromotionKey int"))
+    assert str(fact.first().LineTaxAmount) == "5.00" and dict(fact.dtypes)["LineTaxAmount"] == "decimal(18,2)"

@@ -213,3 +213,24 @@ def test_giant_feature_is_split_over_join_keys(spark):
     )
     pairs = _expand_in_blocks(rows, 50)
     assert pairs.count() == pairs.select("a", "b").distinct().count() == 400 * 399 // 2
+
+
+@pytest.mark.parametrize("orders", [3, 900])
+def test_sets_of_one_large_order_are_no_patterns(spark, orders):
+    """An order of forty products among few orders: only what two orders share is found."""
+    rows = [(1, p) for p in range(40)] + [(o, p) for o in range(2, orders + 1) for p in (1, 2, 100 + o)]
+    sales = spark.createDataFrame(rows, "SaleID long, ProductKey int")
+    found = {r["items"]: r.orders for r in B.frequent_itemsets(B.itemset_model(sales)).collect()}
+    assert found == {"1": orders, "2": orders, "1,2": orders}
+
+
+@pytest.mark.parametrize("limit", [7, 1000])
+def test_pairs_of_a_popular_feature(spark, limit):
+    """A feature that is all that many entities have: its pairs come in blocks, and none is missing."""
+    rows = [(e, 0, 1) for e in range(60)] + [(e, 1 + e % 5, 1) for e in range(40, 60)]
+    df = spark.createDataFrame(rows, "entity int, feature int, weight int")
+    vectors = {e: {f: w for x, f, w in rows if x == e} for e in range(60)}
+    cosine = lambda a, b: sum(w * vectors[b].get(f, 0) for f, w in vectors[a].items()) / (len(vectors[a]) * len(vectors[b])) ** 0.5
+    want = {(a, b): round(cosine(a, b), 6) for a in range(60) for b in range(a + 1, 60) if round(cosine(a, b), 6) >= 0.6}
+    found = {(r.a, r.b): r.cosine for r in prefix_pairs(df, 0.6, limit).collect()}
+    assert found == pytest.approx(want, abs=2e-6)

@@ -105,6 +105,12 @@ def test_written_files_read_back(spark, folder):
         assert L.count_lines(spark, path).first().lines == 2
 
 
+def test_amounts_are_written_with_the_decimals_they_have(spark, folder):
+    df = spark.createDataFrame([("5",), ("12.345",), ("7.1",), ("0.000001",)], "v string").selectExpr("cast(v as decimal(20,6)) as v")
+    L.write_delimited(df, str(folder / "amounts"))
+    assert sorted(r.v or "" for r in L.scan_delimited(spark, str(folder / "amounts")).collect()) == ["0.000001", "12.345", "5.00", "7.10"]
+
+
 def test_readers_see_the_last_whole_version(spark, folder):
     store = TableStore(spark, str(folder / "store"))
     with pytest.raises(FileNotFoundError):
