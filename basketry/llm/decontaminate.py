@@ -33,16 +33,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import WordTable, bitmap, in_bitmap, kept, mix, ship
+from basketry.llm.tokens import parts_of
 from basketry.session import materialise
 
 WIDTH, LITERAL, SHARE = 5, 3, 0.8
 BITMAP_BITS = 24
+#: Characters of texts that are described at once.
+AT_ONCE = 1 << 18
 
 # Number words and units of measure in the languages of the data.
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
     "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million "
-    "billion".split()
+    "billion "
+    "zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante "
+    "cinquante soixante cent cents mille millions milliard milliards "
+    "null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn "
+    "achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen "
+    "milliarde milliarden "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete "
+    "dieciocho diecinueve veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil millón "
+    "millones".split()
 )
 UNITS = frozenset(
     "% mm cm dm m km mg g kg t ml cl l in ft yd mi oz lb lbs mph kmh s sec min h hr hrs kb mb gb tb hz khz mhz "
@@ -75,17 +86,16 @@ def _describe(raw: bytes) -> tuple[int, int, int]:
         kind = "number"
     elif value in UNITS:
         kind = "unit"
-    elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+    elif len(bare) > 1 and bare[0].isupper() and (bare[1:].islower() or bare.isalpha()):
+        # Also in capitals only, and with further ones inside.
         flags |= _CAPITAL
     return code, _SLOT_CODE[kind] if kind else code, flags | (_SLOT if kind else 0)
 
 
-#: Kept by a worker process from task to task.
 def _words() -> WordTable:
     return kept("templates", lambda: WordTable(_describe, 3))
 
 
-
 def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values, codes and whether each is a slot, of the words of a text."""
     return described(text)[:3]
@@ -93,18 +103,31 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def described(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The same, and whether each is a literal word that may be a name, since it begins a sentence."""
-    raw = (text or "").encode()
-    if _GLUED.search(raw):
-        raw = _GLUE.sub(b" ", raw)
-    words = raw.split()
+    return described_all([text])[:4]
+
+
+def described_all(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """The same of several texts, one behind the other, and the number of the text of each word."""
+    words, sizes = [], []
+    for text in texts:
+        raw = (text or "").encode()
+        if _GLUED.search(raw):
+            raw = _GLUE.sub(b" ", raw)
+        split = raw.split()
+        words += split
+        sizes.append(len(split))
     found = _words().of(words)
+    owner = np.repeat(np.arange(len(texts)), sizes)
     flags = found[:, 2].astype(np.uint8)
-    fresh = np.concatenate([[True], (flags[:-1] & _ENDS) > 0]) if len(words) else np.zeros(0, bool)
-    name = ((flags & _CAPITAL) > 0) & ~fresh
+    fresh = np.ones(len(words), bool)
+    if len(words):
+        fresh[1:] = ((flags[:-1] & _ENDS) > 0) | (owner[1:] != owner[:-1])
+    capital = (flags & _CAPITAL) > 0
+    name = capital & ~fresh
     codes = np.where(name, np.uint64(_SLOT_CODE["name"]), found[:, 1])
     slots = name | ((flags & _SLOT) > 0)
     keep = (flags & _SKIP) == 0
-    return found[keep, 0], codes[keep], slots[keep], ((flags & _CAPITAL) > 0)[keep] & ~slots[keep]
+    return found[keep, 0], codes[keep], slots[keep], (capital & ~slots)[keep], owner[keep]
 
 
 def windows(values: np.ndarray, codes: np.ndarray, slots: np.ndarray, width: int, literal: bool) -> np.ndarray:
@@ -129,49 +152,68 @@ def _joined(codes: np.ndarray, width: int, count: int, seed: int) -> np.ndarray:
     return mix(total)
 
 
-def name_windows(codes: np.ndarray, slots: np.ndarray, maybe: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Starts, hashes and slots of the windows that take some words that begin sentences for names."""
-    if len(codes) < width or not maybe.any():
+def name_windows(
+    codes: np.ndarray, slots: np.ndarray, maybe: np.ndarray, width: int, within: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Starts, hashes and taken words (a row of the places in the window) of the windows that take some words that
+    begin sentences for names; only of starts ``within``. Most windows have one such word: those with all of theirs
+    taken come from one pass over all words, the others from their subsets."""
+    count = len(codes) - width + 1
+    if count <= 0 or not maybe.any():
         return
     held = np.concatenate([[0], np.cumsum(maybe)])
-    held = held[width:] - held[: len(held) - width]
-    starts = np.flatnonzero(held)
+    held = held[width:] - held[:count]
+    if within is not None:
+        held = np.where(within, held, 0)
+    literal = np.concatenate([[0], np.cumsum(~(slots | maybe))])
+    starts = np.flatnonzero((held > 0) & (literal[width:] - literal[:count] >= min(LITERAL, width)))
+    every = _joined(np.where(maybe, np.uint64(_SLOT_CODE["name"]), codes), width, count, width)
+    yield starts, every[starts], maybe[starts[:, None] + np.arange(width)]
+    starts = np.flatnonzero(held > 1)
+    if not len(starts):
+        return
     places = starts[:, None] + np.arange(width)
     codes, slots, maybe, held = codes[places], slots[places], maybe[places], held[starts]
     rank = np.where(maybe, np.cumsum(maybe, axis=1) - 1, 63)
-    for subset in range(1, 1 << int(held.max(initial=0))):
+    for subset in range(1, (1 << int(held.max())) - 1):
         taken = (subset >> rank) & 1 > 0
-        inside = slots | taken
-        use = (held >= subset.bit_length()) & ((~inside).sum(axis=1) >= min(LITERAL, width))
+        use = (held >= subset.bit_length()) & (subset + 1 < (1 << held)) & ((~(slots | taken)).sum(axis=1) >= min(LITERAL, width))
         if use.any():
             named = np.where(taken[use], np.uint64(_SLOT_CODE["name"]), codes[use])
             total = np.full(len(named), width, np.uint64)
             for i in range(width):
                 total = (total ^ named[:, i]) * np.uint64(0x9E3779B97F4A7C15)
                 total ^= total >> np.uint64(29)
-            yield starts[use], mix(total), inside[use]
+            yield starts[use], mix(total), taken[use]
 
 
-def _pieces(text: str | None, width: int | None, known: np.ndarray | None = None) -> Iterator[tuple]:
-    """Windows of a text, of those ``known`` may hold: number of windows, hash, width, start, values of slots, codes of
-    the literal words around it (0 for others) and whether it takes the beginning of a sentence for a name."""
-    values, codes, slots, maybe = described(text)
+def pieces(texts: list[str | None], width: int | None, known: np.ndarray | None = None) -> Iterator[tuple]:
+    """Windows of several texts, of those ``known`` may hold: number of the text, its windows, and of each hash,
+    width, start, values of slots, codes of the literal words around it (0 for others) and whether it takes the
+    beginning of a sentence for a name. Without ``width`` of one text, windows of its own length if it is short."""
+    values, codes, slots, maybe, owner = described_all(texts)
     width = width or min(WIDTH, len(values))
-    if not width or len(values) < width:
+    count = len(values) - width + 1
+    if not width or count <= 0:
         return
     found = windows(values, codes, slots, width, width < WIDTH)
-    every = np.arange(len(found))
-    kinds = [(every, found, None, False)]
+    inside = owner[:count] == owner[width - 1 :]
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    kinds = [(np.flatnonzero(inside), found[inside], None)]
     if width == WIDTH:
-        kinds += [(*kind, True) for kind in name_windows(codes, slots, maybe, width)]
-    signed = values.view(np.int64)
-    literal = np.pad(np.where(slots, np.uint64(0), codes).view(np.int64), WIDTH - 1)
-    for starts, hashes, inside, loose in kinds:
+        kinds += list(name_windows(codes, slots, maybe, width, inside))
+    signed, literal = values.view(np.int64), np.where(slots, np.uint64(0), codes).view(np.int64)
+    reach = WIDTH - 1
+    for starts, hashes, taken in kinds:
         for i in (range(len(hashes)) if known is None else np.flatnonzero(in_bitmap(known, hashes)).tolist()):
             at = int(starts[i])
-            held = inside[i] if loose else slots[at : at + width]
-            around = np.concatenate([literal[at : at + WIDTH - 1], literal[at + WIDTH - 1 + width : at + 2 * WIDTH - 2 + width]])
-            yield len(found), int(hashes[i].astype(np.int64)), width, at, signed[at : at + width][held].tolist(), around.tolist(), loose
+            text = int(owner[at])
+            first, last = int(bounds[text]), int(bounds[text + 1])
+            held = slots[at : at + width] if taken is None else slots[at : at + width] | taken[i]
+            before, after = literal[max(first, at - reach) : at], literal[at + width : min(last, at + width + reach)]
+            around = [0] * (reach - len(before)) + before.tolist() + after.tolist() + [0] * (reach - len(after))
+            n = last - first - width + 1
+            yield text, n, int(hashes[i].astype(np.int64)), width, at - first, signed[at : at + width][held].tolist(), around, taken is not None
 
 
 _WINDOW = "hash long, width int, at int, slots array<long>, around array<long>, loose boolean"
@@ -194,7 +236,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows += [(item, *piece) for piece in _pieces(text, None)]
+                rows += [(item, *piece[1:]) for piece in pieces([text], None)]
             yield _batch(rows, [pa.int64(), pa.int32()], ["item_id", "n_windows"])
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -211,9 +253,11 @@ def text_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
         known = sent.value
         for batch in batches:
             rows = []
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            ids, keys, texts = (c.to_pylist() for c in batch.columns)
+            for part in parts_of([t or "" for t in texts], AT_ONCE):
+                mine, own = ids[part], keys[part]
                 for width in widths:
-                    rows += [(doc, key, *piece[1:]) for piece in _pieces(text, width, known)]
+                    rows += [(mine[i], own[i], *piece) for i, _, *piece in pieces(texts[part], width, known)]
                 if len(rows) >= 20_000:
                     yield _batch(rows, [pa.int64(), pa.int64()], ["doc_id", "text_key"])
                     rows = []

@@ -61,6 +61,33 @@ def test_windows_of_the_tables_against_plain_search(spark, small):
     assert got == want and got
 
 
+def test_number_words_and_names_of_other_spellings(spark):
+    german = "Ein Zug fährt um sieben Uhr ab und braucht drei Stunden bis zur alten Brücke am Fluss im Tal."
+    loud = "The agent told JOSEF that the parcel from McDonald would be late and asked him to come again tomorrow."
+    items = spark.createDataFrame([(1, german), (2, loud)], "item_id long, text string")
+    got = found(
+        spark, items, german.replace("sieben", "drei ").replace("drei Stunden", "zwei Stunden").replace("um drei ", "um drei"),
+        loud.replace("JOSEF", "MARIA").replace("McDonald", "O'Hara").replace("O'Hara", "MacLeod"), NOISE,
+    )
+    assert {k for k in got} == {(0, 1), (1, 2)} and all(r.coverage == 1.0 and not r.exact for r in got.values())
+
+
+def test_texts_at_once_give_what_each_gives_alone(spark, small):
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(60).collect()] + [None, "", "Ann. Bob. Eve went home. Zoe", "one"]
+    shown = lambda t, n, h, w, at, s, a, loose: (n, h, w, at, tuple(s), tuple(a), loose)
+    alone = sorted((i, *shown(*p)) for i, t in enumerate(texts) for p in decontaminate.pieces([t], 5))
+    assert sorted((p[0], *shown(*p)) for p in decontaminate.pieces(texts, 5)) == alone and alone
+
+
+def test_windows_take_every_choice_of_names():
+    """Four possible names in a window: as many hashes as there are ways to take some of them, each once."""
+    text = "ann. Bob. Cat. walks along the river bank with dogs. Dan sees them"
+    taken = {}
+    for _, _, h, _, at, _, _, loose in decontaminate.pieces([text], 5):
+        taken.setdefault(at, []).append((h, loose))
+    assert [len(set(taken[at])) for at in (0, 1, 2, 3)] == [4, 4, 2, 1]
+
+
 def test_clean_keeps_the_rest(spark, benchmark, edge, nothing):
     docs = spark.createDataFrame([(1, ITEM), (2, NOISE), (None, ITEM), (None, NOISE), (3, None)], "doc_id long, text string")
     kept = decontaminate.clean(docs, benchmark).collect()
