@@ -31,6 +31,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,14 +90,15 @@ class ChunkEncoder:
 
     def _learn(self, runs: list[bytes]) -> list[bytes]:
         known = self.known
-        new = [r for r in dict.fromkeys(runs) if r not in known]
-        cut = [self._word_and_signs(r) for r in new]
+        new = list(set(runs).difference(known))
+        # Only what ends with a sign can be a word with signs.
+        cut = [self._word_and_signs(r) if r[-1] in _SIGNS else None for r in new]
         whole = [r for r, m in zip(new, cut, strict=True) if m is None]
         pairs = [(r, *m) for r, m in zip(new, cut, strict=True) if m is not None]
         encode = [p for p in dict.fromkeys([*whole, *(x for p in pairs for x in p[1:])]) if p not in known]
         found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in encode], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._append(encode, lengths, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())))
+        self._append(encode, lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())))
         if pairs:
             ids, lengths = self._gather(np.array([known[x] for p in pairs for x in p[1:]], np.int64))
             self._append([p[0] for p in pairs], lengths[0::2] + lengths[1::2], ids)
@@ -118,12 +120,14 @@ class ChunkEncoder:
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: list[str] | list[bytes]) -> list[np.ndarray]:
+        """Ids of each text; texts may come as the bytes of their UTF-8."""
         if self.whole_texts:
-            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            whole = [t.decode() if isinstance(t, bytes) else t for t in texts]
+            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
         split = []
         for text in texts:
-            raw = text.encode()
+            raw = text if isinstance(text, bytes) else text.encode()
             split.append((raw if b"<|" in raw else raw.lower()).split())
         runs = [r for s in split for r in s]
         kept = len(self.known), self.first, self.flat
@@ -153,6 +157,7 @@ def _looks_at_runs_alone(tokenizer_path: str) -> bool:
 
 
 #: Signs that never begin a contraction or a special token.
+_SIGNS = frozenset(b"!#$%&()*+,-./:;=?@[\\]^_`{}~\"")
 _WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)").fullmatch
 
 
@@ -161,8 +166,8 @@ def encoder_of(tokenizer_path: str) -> ChunkEncoder:
     return kept(f"tokens {tokenizer_path}", lambda: ChunkEncoder(tokenizer_path))
 
 
-def parts_of(texts: list[str], characters: int = AT_ONCE) -> Iterator[slice]:
-    """Consecutive texts of about so many ``characters``, one text at least."""
+def parts_of(texts: list[str] | list[bytes], characters: int = AT_ONCE) -> Iterator[slice]:
+    """Consecutive texts of about so many ``characters`` (or bytes), one text at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text)
@@ -283,7 +288,7 @@ def write_shards(
         encoder, writer, stream, path = encoder_of(tokenizer_path), None, None, ""
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
             for part in parts_of(texts):
                 if writer is None:
                     path = f"{folder}/shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
