@@ -2,13 +2,15 @@
 
 1. Every page is parsed into elements (unclosed and misnested tags as browsers mend them, in outline) and
    each element gets a hash of its subtree: names, classes, text and children.
-2. Spark counts, per host, on how many pages a subtree occurs. One that occurs on at least ``MANY`` pages
-   belongs to the template. Pages send a subtree once, as one 64-bit key of host and subtree, and the counts
+2. Spark counts, per host, on how many pages a subtree occurs. One that occurs on at least ``MANY`` pages, and on
+   the share ``SHARE`` of the host's, belongs to the template. Pages send a subtree once, as one 64-bit key of host and subtree, and the counts
    are combined before the shuffle.
 3. Template subtrees are deleted, with what markup itself declares to be no content: scripts, styles, forms,
    menus, headers, footers, sidebars, notices, adverts and reader comments, by element, role or class. The
-   second kind is what a page of a small host has nothing but.
-4. Of what is left the text is taken: from the elements ``article``, else ``main``, else the whole page.
+   second kind is what a page of a small host has nothing but. Inside an article a class says so only if all its
+   words do, and an id only if its words name nothing else.
+4. Of what is left the text is taken: from the elements ``article``; from ``main`` if there are none, or if more
+   of its words lie outside of them; else from the whole page.
 
 A subtree is content, however often it occurs, if it is, holds or lies in an ``article`` or ``main`` that is
 itself no comment or sidebar, or if it holds more than half of a page's words (copies of one page are no
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import Cut, ship
 
-MANY, FEW = 5, 4
+#: A template subtree is on so many pages of its host at least, and on this share of them; it has so many words.
+MANY, SHARE, FEW = 5, 0.2, 4
 
 # Element names of HTML and what markup calls things that are no content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +59,19 @@ WORDS = frozenset(
     "subscription signup login share sharing social comment comments commentlist discussion disqus reply replies respond "
     "related recommended recommendations pagination pager toolbar skip hidden".split()
 )
+#: Words beside those above in names of boxes that are no content, such as site-footer or comment-list.
+NEUTRAL = frozenset(
+    "site page main top bottom left right inner outer container wrapper wrap box block area section list item items bar "
+    "primary secondary global local mobile desktop fixed sticky content widget module panel form link links button "
+    "buttons title text icon icons image slot unit row col column group post posts article articles the my js is has id "
+    "thread count feed inline wide small large first last left1 right1 header footer".split()
+)
+#: Words that name content too: an id or a part of a heading's name that has one says nothing alone.
+AMBIGUOUS = frozenset(
+    "discussion related recommended recommendations recommendation notice notices notification alert hidden social share "
+    "sharing promotion banner header subscription reply replies login signup skip comment overlay modal ad ads".split()
+)
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Classes that make an ``article`` or ``main`` inside them no content.
 AROUND = frozenset(
     "comment comments commentlist comment-list comments-area discussion disqus replies sidebar related related-posts "
@@ -185,7 +201,8 @@ class Page:
         return f"{a.get('class', '')} {a.get('id', '')}".lower().split() if a else []
 
     def roots(self) -> list[bool]:
-        """Elements that hold the content: articles, else mains."""
+        """Elements that hold the content: articles, or mains where there are none or more words of a main lie outside
+        of articles than inside, as beside teasers."""
         spoiled, found = [], {"article": [], "main": []}
         for i, tag in enumerate(self.tags):
             up = self.parents[i]
@@ -198,8 +215,20 @@ class Page:
                 if kind in found:
                     found[kind].append(i)
         chosen = set(found["article"] or found["main"])
+        if found["article"] and found["main"]:
+            _, words = self.subtrees()
+            outer = [i for i in found["article"] if not self._within(i, chosen - {i})]
+            held = sum(words[i] for i in outer if self._within(i, set(found["main"])))
+            if sum(words[i] for i in found["main"]) > 2 * held:
+                chosen = set(found["main"])
         return [i in chosen for i in range(len(self.tags))]
 
+    def _within(self, i: int, others: set[int]) -> bool:
+        while (i := self.parents[i]) >= 0:
+            if i in others:
+                return True
+        return False
+
     def inside(self, roots: list[bool]) -> list[bool]:
         within: list[bool] = []
         for i, up in enumerate(self.parents):
@@ -247,12 +276,27 @@ class Page:
             return True
         if tag in ("html", "body", "main", "article"):
             return False
-        for token in self._tokens(i):
-            pieces = {token, *re.split(r"[-_:]+", token)}
-            named = pieces & WORDS
-            if named - HEADERS or named and not within or any(map(_BEGINS.match, pieces)):
+        small = within and (tag in _HEADINGS or tag == "p")
+        for token in a.get("class", "").lower().split():
+            # A paragraph or heading of the content goes only by a name that says nothing else.
+            if token in WORDS - HEADERS if small else self._names_no_content(token, within, WORDS):
                 return True
-        return False
+        # Inside the content an id may name a section of it; a heading's is its anchor.
+        if small:
+            return False
+        return any(self._names_no_content(t, within, WORDS - AMBIGUOUS if within else WORDS) for t in a.get("id", "").lower().split())
+
+    @staticmethod
+    def _names_no_content(token: str, within: bool, words: frozenset) -> bool:
+        """Whether a class or id is made of words for what is no content. Outside of an article one such word is
+        enough; inside, all others must be neutral ones: ad-slot is none, ad-hoc is."""
+        pieces = {p for p in re.split(r"[-_:]+", token) if p}
+        named = (pieces | {token}) & words
+        grown = any(map(_BEGINS.match, pieces))
+        if not within:
+            return bool(named) or grown
+        rest = pieces - words - NEUTRAL
+        return (bool(named - HEADERS) and not rest) or (grown and len(pieces) == 1)
 
     def text(self, template: set[int]) -> str:
         """The text without template subtrees and without what markup declares no content.
@@ -321,29 +365,34 @@ def _keys(page: Page, host: str) -> dict[int, int]:
 
 
 def template_keys(pages: DataFrame) -> DataFrame:
-    """``row_key, key``: the subtrees of each page, each once."""
+    """``row_key, host, key``: the subtrees of each page, each once, and a row without one for the page itself, with
+    the hash of its host."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys = [], []
+            rows, hosts, keys = [], [], []
             for row, url, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = _keys(Page(source or ""), host_of(url))
-                rows += [row] * len(found)
-                keys += found
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(keys, pa.int64())], names=["row_key", "key"])
+                host = host_of(url)
+                found = _keys(Page(source or ""), host)
+                rows += [row] * (len(found) + 1)
+                hosts += [xxhash.xxh64_intdigest(host) >> 1] * (len(found) + 1)
+                keys += [None, *found]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (rows, hosts, keys)], names=["row_key", "host", "key"])
 
-    return pages.select("row_key", "url", "html").mapInArrow(cut, "row_key long, key long")
+    return pages.select("row_key", "url", "html").mapInArrow(cut, "row_key long, host long, key long")
 
 
-def extract(pages: DataFrame, many: int = MANY) -> DataFrame:
+def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
     """``page_id, url, text, n_chars, n_template``: the text of each page; ``n_template`` counts its subtrees that belong
     to the template of its host."""
     ship(pages.sparkSession)
     # Rows equal in all three columns share a key, their text is the same.
     keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("row_key"))
     keys = Cut(template_keys(keyed), "subtrees").df
-    counts = keys.groupBy("key").agg(F.count("*").alias("pages")).filter(F.col("pages") >= many).select("key")
-    per_page = keys.join(counts, "key").groupBy("row_key").agg(F.collect_set("key").alias("keys"))
+    counts = keys.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("pages"), F.max("host").alias("host")).filter(F.col("pages") >= many)
+    sizes = keys.filter("key IS NULL").groupBy("host").agg(F.count("*").alias("all"))
+    counts = counts.join(sizes, "host").filter(F.col("pages") >= share * F.col("all")).select("key")
+    per_page = keys.drop("host").join(counts, "key").groupBy("row_key").agg(F.collect_set("key").alias("keys"))
     joined = keyed.join(per_page, "row_key", "left")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,27 @@ def test_pages_without_article():
     assert text(deep) == "x"
 
 
+def test_sections_and_paragraphs_named_like_boxes_stay():
+    article = """<article><h2 id="comments-on-the-law">On the law</h2><p class="ad-hoc">An ad hoc rule</p><section id="discussion"><p>We find</p></section>
+    <section id="related-work"><p>Others found</p></section><h2 id="social-policy">Policy</h2><p class="notice">Log in</p><div class="ad-slot">Buy</div>
+    <div class="comment-list"><p>I disagree</p></div><div id="comments"><p>Me too</p></div><div id="newsletter-box">Join</div></article>"""
+    assert text(article) == "On the law\nAn ad hoc rule\nWe find\nOthers found\nPolicy"
+
+
+def test_a_main_beside_teasers():
+    teasers = "".join(f"<article><h3>Teaser {i}</h3></article>" for i in range(3))
+    assert text(f"<main><p>{'The story itself. ' * 5}</p>{teasers}</main>").startswith("The story itself.")
+    assert text(f"<main><article><p>{'The story itself. ' * 5}</p></article><p>More here</p></main>").endswith("itself.")
+
+
+def test_what_some_pages_of_a_host_share_stays(spark):
+    """Five of fifty reports share two paragraphs: no template, however many pages five are."""
+    shared = "<p>Prices rose by two percent in the spring of the year.</p><p>The bank left its rates where they had been before.</p>"
+    pages = [(i, f"http://a.org/{i}", f"<body><p>Report {i} opens with words of its own, {'more and more of them ' * 9}{i}.</p>{shared if i < 5 else ''}</body>") for i in range(50)]
+    found = {r.page_id: r for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[i].text.count("\n") == (2 if i < 5 else 0) and found[i].n_template == 0 for i in range(50))
+
+
 def test_repeated_subtrees_of_a_host_go(spark):
     bar = "<div><p>Read our other pages every day of the week</p><p>And tell all your friends of them</p></div>"
     pages = [(i, f"http://a.org/{i}", f"<body>{bar}<p>Story number {i} is told here in its own words and at length, so that it is most.</p></body>") for i in range(9)]
