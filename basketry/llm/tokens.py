@@ -47,7 +47,7 @@ from basketry.session import materialise
 SKIPPABLE, SEEK_TABLE, SEEKABLE_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 256 << 10
 #: Runs of characters whose ids a worker keeps, and characters it encodes at once.
-KEPT_RUNS, AT_ONCE = 700_000, 4 << 20
+KEPT_RUNS, AT_ONCE = 700_000, 2 << 20
 
 MANIFEST = "shard int, path string, documents long, tokens long, frames int"
 ENCODED = "doc_id long, start long, n_tokens long, ids_crc32 long"
