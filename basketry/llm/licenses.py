@@ -16,6 +16,8 @@ when it was read; its cost is linear in its length.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,14 +107,61 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"<public-domain>", "[Public-Domain]"),
 )
 
-#: Names alone, after all known sentences; ``scan_sql`` does not know them.
+# Names and short forms of the public licences, looked for after all known sentences; the first group, if
+# any, is a version.
+_N = r"([0-9](?:\.[0-9])?)"
 NAMES: tuple[tuple[str, str], ...] = (
+    ("agpl-later", r"\bagpl ?(?:v(?:ersion)? ?|-)?" + _N + r"(?:\+|-or-later)"),
+    ("lgpl-later", r"\blgpl ?(?:v(?:ersion)? ?|-)?" + _N + r"(?:\+|-or-later)"),
+    ("gpl-later", r"\bgpl ?(?:v(?:ersion)? ?|-)?" + _N + r"(?:\+|-or-later)"),
+    ("agpl-short", r"\bagpl ?(?:v(?:ersion)? ?|-)?" + _N),
+    ("lgpl-short", r"\blgpl ?(?:v(?:ersion)? ?|-)?" + _N),
+    ("gpl-short", r"\bgpl ?(?:v(?:ersion)? ?|-)?" + _N),
+    ("or-later", r"\bor (?:\(at your option\) )?later\b"),
+    ("apache-short", r"\bapache[- ](?:licen[sc]e[- ])?([0-9]\.[0-9])"),
+    ("bsd-clause", r"\bbsd[- ]([0-4])[- ]clause\b"),
+    ("clause-bsd", r"\b([0-4])[- ]clause bsd\b"),
+    ("mpl-short", r"\bmpl[- ]?(?:v(?:ersion)? ?)?([0-9]\.[0-9])"),
+    ("epl-short", r"\bepl[- ]?(?:v(?:ersion)? ?)?([0-9]\.[0-9])"),
+    ("eupl-version", r"european union public licen[sc]e,? (?:\(?eupl\)?,? )?v(?:ersion|\.)? ?([0-9]\.[0-9])"),
+    ("eupl-short", r"\beupl[- ,]*(?:v(?:ersion|\.)? ?)?([0-9]\.[0-9])"),
+    ("artistic", r"\bartistic licen[sc]e,? (?:v(?:ersion)? ?)?([0-9]\.[0-9])"),
+    ("by-nc-sa", r"creative commons attribution[- ]noncommercial[- ]sharealike ([0-9]\.[0-9])"),
+    ("by-nc-nd", r"creative commons attribution[- ]noncommercial[- ]noderivatives ([0-9]\.[0-9])"),
+    ("by-nc", r"creative commons attribution[- ]noncommercial ([0-9]\.[0-9])"),
+    ("by-sa", r"creative commons attribution[- ]sharealike ([0-9]\.[0-9])"),
+    ("by-nd", r"creative commons attribution[- ]noderivatives ([0-9]\.[0-9])"),
+    ("by", r"creative commons attribution ([0-9]\.[0-9])"),
+    ("zlib-grant", r"permission is granted to anyone to use this software for any purpose"),
+    ("zlib-name", r"\bzlib(?:/libpng)? licen[sc]e\b"),
+    ("boost", r"\bboost software licen[sc]e\b"),
+    ("unlicense-name", r"\bunlicense\b"),
+    ("wtfpl", r"do what the fuck you want to public licen[sc]e|\bwtfpl\b"),
     ("mit-name", r"\bmit licen[sc]e\b"),
     ("bsd-name", r"\bbsd licen[sc]e\b"),
     ("isc-name", r"\bisc licen[sc]e\b"),
     ("apache-name", r"\bapache licen[sc]e\b"),
 )
-NAME_RULES = ((r"<apache-name>(?:<apache-use>)?(?:<apache-copy>)?(?:<apache-basis>)?(?:<apache-limits>)?", "[Apache]"),)
+NAME_RULES = (
+    *[(f"<{k}-(?:later" + _V + f">|short" + _V + "><(?:or-later|later-version)>)", f"[{k.upper()}-$1$2-or-later]") for k in ("agpl", "lgpl", "gpl")],
+    *[(f"<{k}-version" + _V + "><or-later>", f"[{k.upper()}-$1-or-later]") for k in ("agpl", "lgpl", "gpl")],
+    *[(f"<{k}-short" + _V + ">", f"[{k.upper()}-$1]") for k in ("agpl", "lgpl", "gpl", "mpl", "epl", "eupl")],
+    (r"<apache-short" + _V + ">", "[Apache-$1]"),
+    (r"<(?:bsd-clause|clause-bsd)" + _V + ">", "[BSD-$1-Clause]"),
+    (r"<eupl-version" + _V + ">", "[EUPL-$1]"),
+    (r"<artistic" + _V + ">", "[Artistic-$1]"),
+    *[(f"<{k}" + _V + ">", f"[CC-{k.upper()}-$1]") for k in ("by-nc-sa", "by-nc-nd", "by-nc", "by-sa", "by-nd", "by")],
+    (r"<zlib-grant>|<zlib-name>", "[Zlib]"),
+    (r"<boost>", "[BSL-1.0]"),
+    (r"<unlicense-name>", "[Unlicense]"),
+    (r"<wtfpl>", "[WTFPL]"),
+    (r"<mit-name>", "[MIT]"),
+    (r"<bsd-name>", "[BSD]"),
+    (r"<isc-name>", "[ISC]"),
+    (r"<apache-name>(?:<apache-use>)?(?:<apache-copy>)?(?:<apache-basis>)?(?:<apache-limits>)?", "[Apache]"),
+)
+#: What a text says it is not under: such a part of a sentence names no licence.
+NEGATED = r"\bnot\b[^a-z0-9]{1,4}(?:[a-z]+ ){0,2}under (?:the )?(?:terms of the )?(?:[a-z0-9.+-]+ ){1,5}licen[sc]e"
 #: An operator of an SPDX expression, with what stands before it, as written; ``\\G`` carries on where the last one ended.
 OPERATOR = r"((?i:spdx-license-identifier:)[ \t]*|\G(?!\A))([(]*[A-Za-z0-9.+:-]+[)]*)[ \t]+(OR|AND|WITH)[ \t]+(?=[(]*[A-Za-z0-9])"
 #: Characters for private use: the bounds of an identifier in a sentence, and a licence that follows in an expression.
@@ -121,7 +170,8 @@ OPEN, CLOSE, NEXT = "\ue000", "\ue001", "\ue002"
 #: A sentence without any of these words holds no known sentence (tested).
 WORDS = (
     r"licen[sc]e|permission|redistribution|endorse|advertising materials|as is|in no event|any later version|"
-    r"in the hope that|received a copy|a copy of the mpl|cc[ -]by|cc0|creative commons zero|public domain|rights reserved"
+    r"in the hope that|received a copy|a copy of the mpl|cc[ -]by|cc0|creative commons|public domain|rights reserved|"
+    r"\b[al]?gpl|\b[em]pl[ -]?v?[0-9]|\beupl|\bwtfpl|\bapache[ -][0-9]|[0-4][ -]clause"
 )
 MARKERS = r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--)"
 SPACE, STOP = r"[ \t\r\n\x0B\x0C]+", r"([.;:!?]) "
@@ -130,14 +180,19 @@ TAG = r"(spdx-license-identifier:) "
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _has_version(pattern: str) -> bool:
+    return re.search(r"(?<!\\)\((?!\?)", pattern) is not None
+
+
 def _identifiers(sentence: Column) -> Column:
     """The identifiers of a sentence in order."""
     first = SENTENCES[0][1]
+    sentence = F.regexp_replace(sentence, NEGATED, " ")
     # The mark before a licence keeps it from being read as a name below.
     marked = F.regexp_replace(sentence, first.replace(": ?", ": ?[(]*"), f"{OPEN}spdx:_$1{CLOSE}")
     marked = F.regexp_replace(marked, f"[)]*{NEXT}[(]*([a-z0-9.+-]+)", f"{OPEN}spdx:_$1{CLOSE}")
     for k, (_, pattern) in enumerate((*SENTENCES[1:], *NAMES)):
-        versioned = "(" in pattern.replace("(?:", "")
+        versioned = _has_version(pattern)
         marked = F.regexp_replace(marked, pattern, f"{OPEN}{k}_:$1{CLOSE}" if versioned else f"{OPEN}{k}_{CLOSE}")
     found = F.regexp_extract_all(marked, F.lit(f"{OPEN}([^{CLOSE}]*){CLOSE}"), F.lit(1))
     names = F.array(*[F.lit(name) for name, _ in (*SENTENCES[1:], *NAMES)])
@@ -183,25 +238,44 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Operators of an SPDX expression that the SQL follows.
+OPERATORS = 8
+
+
 def scan_sql(table: str = "documents") -> str:
-    """The same in DuckDB SQL, from the same patterns, for texts whose sentences hold one known sentence each and whose
-    SPDX tags name one licence; it gives the first of several, and knows no ``NAMES``."""
+    """The same in DuckDB SQL, from the same patterns. Of an SPDX expression it reads the first ``OPERATORS`` + 1
+    licences, since its regular expressions cannot carry on where the last one ended."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    cases = []
-    for name, pattern in SENTENCES:
-        versioned = "(" in pattern.replace("(?:", "")
-        token = f"'<{name}:' || regexp_extract(s, {q(pattern)}, 1) || '>'" if versioned else f"'<{name}>'"
-        cases.append(f"WHEN regexp_matches(s, {q(pattern)}) THEN {token}")
+    licence = r"[(]*[A-Za-z0-9.+:-]+[)]*"
+    joined = rf"((?i:spdx-license-identifier:)[ \t]*(?:{licence}{NEXT}(?:OR|AND|WITH){NEXT})*{licence})[ \t]+(OR|AND|WITH)[ \t]+([(]*[A-Za-z0-9])"
+    tagged = f"translate(coalesce(text, ''), '{OPEN}{CLOSE}{NEXT}', '   ')"
+    for _ in range(OPERATORS):
+        tagged = f"regexp_replace({tagged}, {q(joined)}, {q(chr(92) + '1' + NEXT + chr(92) + '2' + NEXT + chr(92) + '3')}, 'g')"
+    tagged = f"regexp_replace(replace({tagged}, '{NEXT}WITH{NEXT}', '-with-'), '{NEXT}(?:OR|AND){NEXT}', '{NEXT}', 'g')"
+    mark = lambda inner: q(f"{OPEN}{inner}{CLOSE}")
+    spdx = mark("spdx:_" + chr(92) + "1")
+    marked = f"regexp_replace(s, {q(NEGATED)}, ' ', 'g')"
+    marked = f"regexp_replace({marked}, {q(SENTENCES[0][1].replace(': ?', ': ?[(]*'))}, {spdx}, 'g')"
+    marked = f"regexp_replace({marked}, {q(f'[)]*{NEXT}[(]*([a-z0-9.+-]+)')}, {spdx}, 'g')"
+    known = (*SENTENCES[1:], *NAMES)
+    for k, (_, pattern) in enumerate(known):
+        versioned = _has_version(pattern)
+        inner = f"{k}_:" + chr(92) + "1" if versioned else f"{k}_"
+        marked = f"regexp_replace({marked}, {q(pattern)}, {mark(inner)}, 'g')"
+    names = "[" + ", ".join(q(name) for name, _ in known) + "]"
+    token = f"""CASE WHEN starts_with(x, 'spdx:_') THEN '<spdx:' || substr(x, 7) || '>'
+        ELSE '<' || ({names})[CAST(regexp_extract(x, '^([0-9]+)_', 1) AS INTEGER) + 1] || regexp_replace(x, '^[0-9]+_', '') || '>' END"""
     sequence = "array_to_string(ids, '')"
-    for pattern, name in RULES:
-        sequence = f"regexp_replace({sequence}, {q(pattern)}, {q(name.replace('$1', chr(92) + '1'))}, 'g')"
-    tagged = f"regexp_replace(t, {q(TAG)}, {q(chr(92) + '1')}, 'g')"
+    for pattern, name in (*RULES, *NAME_RULES):
+        sequence = f"regexp_replace({sequence}, {q(pattern)}, {q(name.replace('$1', chr(92) + '1').replace('$2', chr(92) + '2'))}, 'g')"
+    tag = f"regexp_replace(t, {q(TAG)}, {q(chr(92) + '1')}, 'g')"
     return f"""
-WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}') AS t FROM {table}),
+WITH lowered AS (SELECT doc_id, translate({tagged}, '{ASCII_UPPER}', '{ASCII_LOWER}') AS t FROM {table}),
 spaced AS (SELECT doc_id, regexp_replace(regexp_replace(t, {q(MARKERS)}, ' ', 'g'), {q(SPACE)}, ' ', 'g') AS t FROM lowered),
-cut AS (SELECT doc_id, list_filter(string_split(regexp_replace({tagged}, {q(STOP)}, E'\\\\1\\n', 'g'), E'\\n'),
+cut AS (SELECT doc_id, list_filter(string_split(regexp_replace({tag}, {q(STOP)}, E'\\\\1\\n', 'g'), E'\\n'),
   lambda s: regexp_matches(s, {q(WORDS)})) AS sentences FROM spaced),
-found AS (SELECT doc_id, list_filter(list_transform(sentences, lambda s: CASE {' '.join(cases)} END), lambda x: x IS NOT NULL) AS ids FROM cut),
+marked AS (SELECT doc_id, list_transform(sentences, lambda s: {marked}) AS sentences FROM cut),
+found AS (SELECT doc_id, list_transform(flatten(list_transform(sentences, lambda s: regexp_extract_all(s, '{OPEN}([^{CLOSE}]*){CLOSE}', 1))), lambda x: {token}) AS ids FROM marked),
 ruled AS (SELECT doc_id, len(ids) AS n_sentences, {sequence} AS sequence FROM found)
 SELECT doc_id, sequence, n_sentences,
   array_to_string(list_sort(list_distinct(regexp_extract_all(sequence, '\\[([^\\]]+)\\]', 1))), ',') AS licenses,

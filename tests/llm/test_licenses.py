@@ -52,6 +52,44 @@ def test_several_licences_in_a_sentence(spark):
     assert found[0].sequence == "[MIT][Apache-2.0]" and [found[i].n_unmatched for i in range(7)] == [0, 0, 0, 0, 0, 0, 1]
 
 
+NAMED = {
+    "Licensed under GPLv3.": "GPL-3",
+    "GNU GPL v2 or later": "GPL-2-or-later",
+    "released as LGPL-2.1+": "LGPL-2.1-or-later",
+    "AGPL-3.0-or-later": "AGPL-3.0-or-later",
+    "under the Apache-2.0 license": "Apache-2.0",
+    "The BSD-3-Clause license applies": "BSD-3-Clause",
+    "a 2-clause BSD licence": "BSD-2-Clause",
+    "the zlib license": "Zlib",
+    "Boost Software License - Version 1.0": "BSL-1.0",
+    "Licensed under the EUPL, Version 1.2": "EUPL-1.2",
+    "European Union Public Licence v1.2": "EUPL-1.2",
+    "the Artistic License 2.0": "Artistic-2.0",
+    "Creative Commons Attribution 4.0 International License": "CC-BY-4.0",
+    "Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+    "MPL 2.0 and EPL-2.0": "EPL-2.0,MPL-2.0",
+    "This is the Unlicense.": "Unlicense",
+    "This program is not under the MIT license.": "",
+    "It is *not* licensed under the terms of the GNU General Public License": "",
+    "not under the MIT license but under the Apache License, Version 2.0": "Apache-2.0",
+    "SPDX-License-Identifier: MIT OR (GPL-2.0-only WITH Classpath-exception-2.0) AND ISC": "SPDX:gpl-2.0-only-with-classpath-exception-2.0,SPDX:isc,SPDX:mit",
+}
+
+
+def test_names_short_forms_and_negation(spark):
+    found = scan(spark, *NAMED)
+    assert {t: found[i].licenses for i, t in enumerate(NAMED)} == NAMED
+
+
+def test_sql_is_the_same_operator(spark):
+    """Several sentences, names and expressions in a text, in SQL too."""
+    texts = [MIT, BSD3, GPL, *NAMED, "\n".join(NAMED), "Dual licensed under the MIT License or the Apache License, Version 2.0; all rights reserved"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    assert difference(licenses.scan(df), con, licenses.scan_sql()) is None
+
+
 def test_the_word_test_lets_every_known_sentence_through():
     for name, pattern in licenses.SENTENCES:
         example = pattern.replace("[sc]", "s").replace("[ -]", " ").replace(r"\b", "").replace("(?:under|is) ", "under ")
