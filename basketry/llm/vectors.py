@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import Cut, components, ship
 
-SHARD_ROWS, BLOCK_ROWS, COUNT_ROWS = 20_000, 4096, 2048
+SHARD_ROWS, BLOCK_ROWS, COUNT_ROWS, BUCKETS = 20_000, 4096, 2048, 256
 AUDIT, RECALL, BEAM = 64, 0.95, 48
 
 
@@ -343,8 +343,9 @@ def _counts(reps: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     sizes = named.groupBy("component").agg(F.ceil(F.count("*") / F.lit(COUNT_ROWS)).cast("int").alias("blocks"))
     joined = named.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    # Small components share tasks: a bucket of them is one group.
-    bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(256))).otherwise(F.col("component"))
+    # Small components share tasks: a bucket of them is one group, and there are more of these where there are more rows.
+    buckets = max(BUCKETS, -(-reps.count() // COUNT_ROWS))
+    bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(buckets))).otherwise(F.col("component"))
     spread = joined.withColumn("other", other).select(
         bucket.alias("bucket"),
         F.least("own", "other").alias("low"),
