@@ -364,22 +364,25 @@ def _keys(page: Page, host: str) -> dict[int, int]:
     return {signed(xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed)): h for h in page.candidates()}
 
 
+def _host_key(host: str) -> int:
+    """The key under which the pages of a host are counted."""
+    return xxhash.xxh64_intdigest(f"pages of {host}") - (1 << 63)
+
+
 def template_keys(pages: DataFrame) -> DataFrame:
-    """``row_key, host, key``: the subtrees of each page, each once, and a row without one for the page itself, with
-    the hash of its host."""
+    """``row_key, key``: the subtrees of each page, each once, and the key of its host."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hosts, keys = [], [], []
+            rows, keys = [], []
             for row, url, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 host = host_of(url)
                 found = _keys(Page(source or ""), host)
                 rows += [row] * (len(found) + 1)
-                hosts += [xxhash.xxh64_intdigest(host) >> 1] * (len(found) + 1)
-                keys += [None, *found]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (rows, hosts, keys)], names=["row_key", "host", "key"])
+                keys += [_host_key(host), *found]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(keys, pa.int64())], names=["row_key", "key"])
 
-    return pages.select("row_key", "url", "html").mapInArrow(cut, "row_key long, host long, key long")
+    return pages.select("row_key", "url", "html").mapInArrow(cut, "row_key long, key long")
 
 
 def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
@@ -389,18 +392,18 @@ def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFra
     # Rows equal in all three columns share a key, their text is the same.
     keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("row_key"))
     keys = Cut(template_keys(keyed), "subtrees").df
-    counts = keys.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("pages"), F.max("host").alias("host")).filter(F.col("pages") >= many)
-    sizes = keys.filter("key IS NULL").groupBy("host").agg(F.count("*").alias("all"))
-    counts = counts.join(sizes, "host").filter(F.col("pages") >= share * F.col("all")).select("key")
-    per_page = keys.drop("host").join(counts, "key").groupBy("row_key").agg(F.collect_set("key").alias("keys"))
+    counts = keys.groupBy("key").agg(F.count("*").alias("pages")).filter(F.col("pages") >= many)
+    # A page gets the counts of its subtrees and of its host's pages together.
+    per_page = keys.join(counts, "key").groupBy("row_key").agg(F.map_from_entries(F.collect_set(F.struct("key", "pages"))).alias("counts"))
     joined = keyed.join(per_page, "row_key", "left")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, numbers = [], []
-            for url, source, keys in zip(*(batch.column(c) for c in ("url", "html", "keys")), strict=True):
-                page, held = Page(source.as_py() or ""), set(keys.as_py() or ())
-                template = {h for k, h in _keys(page, host_of(url.as_py())).items() if k in held} if held else set()
+            for url, source, counted in zip(*(batch.column(c) for c in ("url", "html", "counts")), strict=True):
+                page, held, host = Page(source.as_py() or ""), dict(counted.as_py() or ()), host_of(url.as_py())
+                least = share * held.pop(_host_key(host), 0)
+                template = {h for k, h in _keys(page, host).items() if held.get(k, -1) >= least} if held else set()
                 texts.append(page.text(template))
                 numbers.append(len(template))
             yield pa.RecordBatch.from_arrays(
