@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 # ---- fixed values, given by the source data contract -------------------------------------
 UNKNOWN_KEY = "__UNKNOWN__"
 UNKNOWN_TEXT = "Unknown"
@@ -53,12 +51,8 @@ class EntitySpec:
     def columns(self) -> list[str]:
         return [*self.required, *self.optional]
 
-    @property
-    def scan_schema(self) -> T.StructType:
-        """Every column as text: typing happens in the cleaner, where a bad value becomes null."""
-        return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-
 
+# ---- fixed values: the contracts of the eight source tables ------------------------------
 REGION = EntitySpec(
     "Region", ("regionid",), ("regionid",), ("description",), text={"regionid": 50, "description": 100}
 )
@@ -110,6 +104,7 @@ INVOICE = EntitySpec(
     decimals=("paymentamount",),
     codes=("paymentmethod",),
 )
+# ------------------------------------------------------------------------------------------
 
 ENTITIES = {
     s.name: s for s in (REGION, SECTOR, CUSTOMER, SELLER, PRODUCT, SALES_HEADER, SALES_LINE, INVOICE)
