@@ -42,6 +42,8 @@ from basketry.llm.common import Cut, WordHashes, bitmap, components, in_bitmap,
 TREES, BASE, DEPTH, REGION, BLOCK = 16, 4, 8, 24, 256
 SIGNATURE = 2 * TREES * BASE
 SLACK = 3.5
+#: Entries of a matrix of sets by members, up to which a cell's intersections are one product.
+DENSE = 8_000_000
 BITMAP_BITS = 24
 
 _PREFIX = 1 + 4 * BASE
@@ -292,6 +294,17 @@ def links_in_cells(rows: DataFrame, regions_of, likely, percent: int) -> DataFra
             return x
 
         sets = {int(k): np.sort(runs[int(k)].values.to_numpy()) for k in np.unique(np.concatenate([p[open_.any(axis=1)], q[open_.any(axis=0)]]))}
+        total = sum(map(len, sets.values()))
+        if sets and len(sets) * total <= DENSE:
+            # Small sets: all intersections of the cell in one product, which leaves only pairs that are links.
+            at = {k: i for i, k in enumerate(sets)}
+            _, member = np.unique(np.concatenate(list(sets.values())), return_inverse=True)
+            has = np.zeros((len(sets) + 1, int(member.max(initial=0)) + 1), np.float32)
+            sizes = np.array([*map(len, sets.values()), 0])
+            has[np.repeat(np.arange(len(sets)), sizes[:-1]), member] = 1
+            x, y = (np.array([at.get(int(k), len(sets)) for k in side_]) for side_ in (p, q))
+            shared_runs = (has[x] @ has[y].T).astype(np.int64)
+            open_ &= (shared_runs > 0) & (100 * shared_runs >= percent * (sizes[x][:, None] + sizes[y][None, :] - shared_runs))
         found = []
         for i, j in np.argwhere(open_).tolist():
             k, m = int(p[i]), int(q[j])
