@@ -264,6 +264,23 @@ def test_facts_point_at_the_version_of_their_day(spark):
     assert len(found) == 9 and all(r.v == r.want for r in found)
 
 
+def test_few_versions_are_not_laid_out_over_months(spark):
+    """A version that holds for centuries is one row, not one a month; members with many versions are still told apart."""
+    days = spark.sql("SELECT explode(sequence(to_date('2024-01-01'), to_date('2024-06-30'))) AS ValidFrom")
+    many = days.selectExpr("1 as k", "ValidFrom", "date_add(ValidFrom, 1) as ValidTo", "datediff(ValidFrom, '2024-01-01') as v")
+    few = spark.sql("SELECT 2 AS k, to_date('0001-01-01') AS ValidFrom, to_date(null) AS ValidTo, 900 AS v")
+    spans = [(k, d) for k in (1, 2) for d in ("1000-01-01", "2024-01-01", "2024-03-01", "2024-07-01", "2500-01-01", None)]
+    facts = spark.createDataFrame([*spans, (None, "2024-03-01"), (3, "2024-03-01")], "k int, d string")
+    wanted = {(1, "2024-01-01"): 0, (1, "2024-03-01"): 60, **{(2, d): 900 for k, d in spans if k == 2 and d}}
+    for versions in (few, many.unionByName(few)):
+        found = D.valid_versions(facts, "k", F.to_date("d"), versions, "k", "v")
+        rows, own = found.collect(), {r.k for r in versions.collect()}
+        assert len(rows) == facts.count()
+        assert all(r.v == (wanted.get((r.k, r.d)) if r.k in own else None) for r in rows)
+    plan = D.valid_versions(facts, "k", F.to_date("d"), few, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_history_is_stored_and_facts_point_at_it(spark, small, tmp_path):
     raw = fixtures.raw_tables(spark, small)
     w = Warehouse(TableStore(spark, str(tmp_path / "history")), raw)
