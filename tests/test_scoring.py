@@ -12,6 +12,7 @@ from basketry.operators import churn as CH
 from basketry.operators import clustering as CL
 from basketry.operators import clv as V
 from basketry.operators import sales as SL
+from basketry.plans import catalog
 from basketry.plans import models as M
 from basketry.plans.catalog import named_dim, sales
 
@@ -157,3 +158,11 @@ def test_value_by_risk(warehouse):
     found = {(r.tier, r.risk): (r.customers, r.avg_risk) for r in V.clv_risk_matrix(tiers, risk).collect()}
     assert {k: n for k, (n, _) in found.items()} == {k: len(v) for k, v in plain.items()}
     assert all(found[k][1] == pytest.approx(np.mean(v), abs=1e-4) for k, v in plain.items())
+
+
+def test_the_projection_fits_no_clusters(spark, small, warehouse, monkeypatch, tmp_path):
+    models = M.Models(warehouse)
+    models.root = str(tmp_path / "models")
+    monkeypatch.setattr(catalog, "models_of", lambda w: models)
+    monkeypatch.setattr(CL, "choose_k", lambda *a, **k: pytest.fail("clusters were fitted"))
+    assert catalog.QUERIES["pca_project"](spark, small).count() == warehouse.table("rfm").count()
