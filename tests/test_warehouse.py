@@ -264,6 +264,16 @@ def test_facts_point_at_the_version_of_their_day(spark):
     assert len(found) == 9 and all(r.v == r.want for r in found)
 
 
+def test_columnar_sources_are_read_in_place(spark, small, warehouse, tmp_path):
+    """Rows that lie in columnar tables already are neither copied nor shuffled before they are cleaned."""
+    w = Warehouse(TableStore(spark, str(tmp_path / "place")), fixtures.raw_tables(spark, small), in_place=fixtures.IN_PLACE)
+    w.tables("clean_Customer", "clean_Region")
+    assert w.store.exists("raw_Region") and not w.store.exists("raw_Customer")
+    assert not [e for e in fixtures.IN_PLACE if warehouse.store.exists(f"raw_{e}")]
+    landed = Warehouse(TableStore(spark, str(tmp_path / "landed")), fixtures.raw_tables(spark, small))
+    assert as_set(landed.clean("Customer")) == as_set(w.clean("Customer")) and landed.store.exists("raw_Customer")
+
+
 def test_few_versions_are_not_laid_out_over_months(spark):
     """A version that holds for centuries is one row, not one a month; members with many versions are still told apart."""
     days = spark.sql("SELECT explode(sequence(to_date('2024-01-01'), to_date('2024-06-30'))) AS ValidFrom")
