@@ -234,3 +234,25 @@ def test_pairs_of_a_popular_feature(spark, limit):
     want = {(a, b): round(cosine(a, b), 6) for a in range(60) for b in range(a + 1, 60) if round(cosine(a, b), 6) >= 0.6}
     found = {(r.a, r.b): r.cosine for r in prefix_pairs(df, 0.6, limit).collect()}
     assert found == pytest.approx(want, abs=2e-6)
+
+
+def test_a_common_feature_beside_others_does_not_pair_all(spark):
+    """All entities have one feature that is a small share of each: its pairs cannot reach and are not formed."""
+    from basketry.operators import similarity as S
+
+    rows = spark.range(300).select(F.col("id").alias("entity"), F.lit(1).alias("feature"), F.lit(1).alias("weight"), F.lit(30).alias("n"), F.lit(1).alias("h"), F.lit(300).alias("size"))
+    assert S._expand_able(rows, 50, 0.1).count() == 0
+    assert S._expand_able(rows.withColumn("n", F.lit(10)), 50, 0.1).count() == 300 * 299 // 2
+    mixed = rows.withColumn("n", F.when(F.col("entity") < 2, 2).otherwise(40))
+    pairs = {(r.a, r.b) for r in S._expand_able(mixed, 50, 0.1).collect()}
+    assert (0, 1) in pairs and {(e, b) for e in (0, 1) for b in range(2, 300)} <= pairs and not any(a > 1 for a, _ in pairs)
+
+
+def test_light_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Sums of pairs of light features are spread over as many tasks as the pairs ask for."""
+    from basketry.operators import similarity as S
+
+    monkeypatch.setattr(S, "_PAIRS_A_TASK", 10)
+    data = {e: {e // 4: 1, 100 + e % 4: 2} for e in range(40)}
+    found = {(r.a, r.b): r.cosine for r in S.prefix_pairs(triples(spark, data), 0.5).collect()}
+    assert found == {(a, b): 0.8 for a, b in itertools.combinations(range(40), 2) if a % 4 == b % 4}
