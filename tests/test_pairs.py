@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import basket as B
 from basketry.operators import clustering as CL
+from basketry.functions import blocks
 from basketry.operators import recommend as RC
 from basketry.operators.similarity import prefix_pairs, shared_pairs
 
@@ -117,6 +118,52 @@ def test_scores_add_up_over_all_customers(spark):
     assert set(found) == set(expected) and all(found[k] == pytest.approx(s, abs=1e-4) for k, s in expected.items())
 
 
+def test_a_customer_of_many_products_is_not_multiplied_out(spark, monkeypatch):
+    """Scores by definition, with large customers, several blocks of customers and columns, and few columns a block."""
+    rng = np.random.default_rng(8)
+    data = {c: {int(p): int(rng.integers(1, 4)) for p in rng.choice(30, rng.integers(1, 6), replace=False)} for c in range(40)}
+    data |= {100 + c: {p: 1 + (p + c) % 3 for p in range(c, 25)} for c in range(2)}
+    rows = [(c, p, 1, n) for c, v in data.items() for p, n in v.items()]
+    matrix = spark.createDataFrame(rows, "CustomerKey int, ProductKey int, quantity long, orders long")
+    for name, most in (("_LARGE", 10), ("_ENTRIES", 60), ("_MATRIX", 100)):
+        monkeypatch.setattr(RC, name, most)
+    norm = {c: sum(n * n for n in v.values()) ** 0.5 for c, v in data.items()}
+    cosine = lambda a, b: sum(n * data[b].get(f, 0) for f, n in data[a].items()) / norm[a] / norm[b]
+    expected = {}
+    for c, v in data.items():
+        scores = {p: sum(cosine(c, o) * w.get(p, 0) for o, w in data.items()) for p in range(30) if p not in v}
+        ranked = sorted(((-round(x, 4), p) for p, x in scores.items() if x > 0))[:3]
+        expected |= {(c, i + 1): (p, -x) for i, (x, p) in enumerate(ranked)}
+    found = {(r.CustomerKey, r["rank"]): (r.ProductKey, r.score) for r in RC.recommend_top_n(matrix, n=3).collect()}
+    assert set(found) == set(expected)
+    for key, (p, x) in expected.items():
+        assert found[key][0] == p and found[key][1] == pytest.approx(x, abs=1e-6)
+
+
+def test_equal_scores_of_a_block_are_cut_by_key():
+    """Of columns that surely round alike only the first are handed on."""
+    one = np.ones(500)
+    summed = blocks.outer_sums((np.array([1]), np.array([1]), one[:1]), (np.array([500]), np.arange(500) * 2, one))
+    at, code, _ = blocks.best_of_sparse((np.array([2]), np.array([1, 4]), one[:2]), summed, 3, 1e-4)
+    assert at.tolist() == [0, 0, 0] and sorted(code.tolist()) == [0, 2, 6]
+
+
+@pytest.mark.parametrize("low", [-1.0, 0.0])
+def test_best_products_are_those_of_all_products(spark, monkeypatch, low):
+    for name, most in (("_CUSTOMERS", 20), ("_PRODUCTS", 300)):
+        monkeypatch.setattr(RC, name, most)
+    rng = np.random.default_rng(4)
+    x, y = rng.uniform(low, 1, (60, 4)).astype("f4"), rng.uniform(low, 1, (1500, 4)).astype("f4")
+    y[700:710] = y[0]
+    frame = lambda v: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "id int, features array<float>")
+    found = {(r.id, r["rank"]): (r["product"], r.score) for r in RC.best_products(frame(x), frame(y), 4).collect()}
+    assert len(found) == 240
+    for i, scores in enumerate(x.astype("f8") @ y.astype("f8").T):
+        best = np.lexsort((np.arange(1500), -scores.astype("f4")))[:4]
+        assert [found[i, k + 1][1] for k in range(4)] == pytest.approx(scores[best].tolist(), abs=1e-5)
+        assert all(scores[found[i, k + 1][0]] == pytest.approx(found[i, k + 1][1], abs=1e-5) for k in range(4))
+
+
 def test_two_equal_large_orders_do_not_give_all_their_subsets(spark):
     rows = [(s, i) for s in (1, 2) for i in range(40)] + [(10 + s, 100 + s % 7) for s in range(3000)]
     found = B.frequent_itemsets(B.itemset_model(spark.createDataFrame(rows, "SaleID long, ProductKey long"))).collect()
