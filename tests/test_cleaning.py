@@ -127,6 +127,24 @@ def test_first_row_in_file_order_wins_even_for_one_hot_key(spark, keep):
     assert [(r.v, r[C.COPIES]) for r in kept] == [(2999, 3000)]
 
 
+def test_only_rows_that_may_share_a_hash_are_twins(spark, monkeypatch):
+    """Copies are one row; rows whose keys share a hash stay two rows, told as twins, and get two fact keys."""
+    columns = "saleid string, itemid string, qty string, _ord int"
+    raw = spark.createDataFrame([("1", "a", "5", 0), ("1", "a", "6", 1), ("1", "b", "7", 2), ("2", "c", "8", 3), (None, "c", "9", 4), (None, "c", "9", 5)], columns)
+    rows = lambda: sorted((r.saleid or "", r.itemid, r.qty, r[C.COPIES], r[C.TWIN]) for r in C.keep_first_of_few(raw, ["saleid", "itemid"]).collect())
+    assert rows() == [("", "c", "9", 1, False), ("", "c", "9", 1, False), ("1", "a", "5", 2, True), ("1", "b", "7", 1, False), ("2", "c", "8", 1, False)]
+    monkeypatch.setattr(C.F, "xxhash64", lambda *keys: F.length(C.F.col("saleid")).cast("long"))
+    assert rows() == [("", "c", "9", 1, False), ("", "c", "9", 1, False), ("1", "a", "5", 2, True), ("1", "b", "7", 1, True), ("2", "c", "8", 1, True)]
+
+
+def test_clean_rows_tell_which_may_share_a_hash(spark, warehouse):
+    """So that the keys of the facts are not counted once more."""
+    lines = warehouse.clean("SalesLine")
+    shared = lines.groupBy(C.ROW).count().filter("count > 1").select(C.ROW)
+    assert C.TWIN in lines.columns and lines.filter(~F.col(C.TWIN)).join(shared, C.ROW).isEmpty()
+    assert 0 < lines.filter(C.TWIN).count() < lines.count()
+
+
 def test_unknown_member_only_joins_filled_dimensions(spark):
     schema = "accountid string, accountname string, regionid string, sectorid string, _ord int"
     empty = C.with_unknown_member(spark.createDataFrame([], schema), "accountid")
