@@ -181,3 +181,52 @@ def test_amounts_keep_their_digits_until_the_facts(spark):
     sales = spark.createDataFrame([("1", 20240101, 20240102, 1, 1, 0, 0, 0, 0)], "saleid string, OrderDateKey int, DeliveryDateKey int, CustomerKey int, SellerKey int, HeaderBruteAmount int, HeaderNetAmount int, HeaderTaxAmount int, HeaderTotalAmount int")
     fact = X.fact_sales(sales, typed, spark.createDataFrame([("a", 1)], "ItemID string, ProductKey int"), spark.createDataFrame([("Gift", 1)], "PromoType string, PromotionKey int"))
     assert str(fact.first().LineTaxAmount) == "5.00" and dict(fact.dtypes)["LineTaxAmount"] == "decimal(18,2)"
+
+
+def many_lines(spark):
+    """Lines of 3,000 sales and 50 items, every seventh sale without header, item 7 unknown, with copies and null keys."""
+    n = F.col("id")
+    sale = F.when(n % 499 != 0, F.concat(F.lit(" "), (n % 3000).cast("string")))
+    rest = [F.lit(v).alias(c) for c, v in {"qty": "1", "unitprice": "1", "httotalamount": "1", "ttctotalamount": "2", "promotype": "Gift", "promovalue": "3"}.items()]
+    raw = spark.range(0, 12000, 1, 4).select(sale.alias("saleid"), F.when(n % 501 != 0, F.concat(F.lit("i"), (n % 50).cast("string"))).alias("itemid"), *rest, n.alias("_ord"))
+    header = spark.range(3000).filter("id % 7 <> 0").select(F.col("id").cast("string").alias("saleid"))
+    product = spark.range(50).filter("id <> 7").select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("itemid"))
+    return raw, header, product
+
+
+def test_many_orphans_are_flagged_as_few_are(spark, monkeypatch):
+    raw, header, product = many_lines(spark)
+    flagged = lambda: sorted(map(str, C.clean_sales_line(raw, header, product).flagged.select("saleid", "itemid", "_ord", C.COPIES, "_orphan_saleid", "_orphan_itemid").collect()))
+    few = flagged()
+    assert sum("_orphan_saleid=True" in r for r in few) > 400 and sum("_orphan_itemid=True" in r for r in few) > 50
+    monkeypatch.setattr(C, "FEW_ORPHANS", 0)
+    assert flagged() == few
+    monkeypatch.setattr(C, "SIEVE_WORDS", 1)  # nearly every row is suspected
+    assert flagged() == few
+
+
+def test_rows_without_orphans_stay_in_place(spark):
+    """Without broadcasts by size the rows that have no orphan for sure are told without a shuffle of them."""
+    raw, header, _ = many_lines(spark)
+    orphans = C.orphan_keys(raw, C.ForeignKey("saleid", header, "saleid"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sure, rest = C.sift(raw, [("saleid", orphans)])
+        plan = sure._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    lost = {r[0] for r in orphans.collect()}
+    assert not lost & {(r[0] or "").strip() for r in sure.select("saleid").collect()}
+    assert sure.count() + rest.count() == raw.count() and rest.count() < 1.05 * raw.filter(F.trim("saleid").isin(lost)).count()
+
+
+def test_hash_of_the_keys_is_stored_only_where_they_changed(spark):
+    raw, header, product = many_lines(spark)
+    cleaned = C.clean_sales_line(raw.withColumn("saleid", F.trim("saleid")), header, product)
+    marked = cleaned.marked
+    assert marked.filter(f"{C.ROW} IS NULL").count() > 0.9 * marked.count()
+    assert marked.filter(f"{C.ROW} IS NULL AND _orphan_itemid AND itemid IS NOT NULL AND itemid <> '{UNKNOWN_KEY}'").isEmpty()
+    of = lambda df: sorted((r.saleid, r.itemid, r[C.ROW]) for r in df.collect())
+    assert of(cleaned.of_marked(marked)) == of(cleaned.rows)
