@@ -303,3 +303,20 @@ def test_light_pairs_are_dealt_by_their_number(spark, monkeypatch):
     data = {e: {e // 4: 1, 100 + e % 4: 2} for e in range(40)}
     found = {(r.a, r.b): r.cosine for r in S.prefix_pairs(triples(spark, data), 0.5).collect()}
     assert found == {(a, b): 0.8 for a, b in itertools.combinations(range(40), 2) if a % 4 == b % 4}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_pairs_of_light_features_are_no_rows(spark, monkeypatch, kind):
+    """Blocks of entities give all pairs, whatever the type of features, and hand on those only that can be of the result."""
+    from basketry.operators import similarity as S
+
+    data = vectors(9, entities=120, features=60, hot=0)
+    rows = [(e, f"f{f}" if kind == "string" else f, float(w), float(dot(own, own)), 0.0) for e, own in data.items() for f, w in own.items()]
+    df = spark.createDataFrame(rows, f"entity int, feature {kind}, weight double, n double, h double")
+    monkeypatch.setattr(S, "_PAIRS_A_TASK", 100)
+    found = S._summed(df, 1000, S._able(0.5))
+    assert found.schema["a"].dataType.simpleString() == "int"
+    norm = {e: math.sqrt(dot(v, v)) for e, v in data.items()}
+    expected = {(a, b): dot(data[a], data[b]) for a, b in itertools.combinations(sorted(data), 2)}
+    expected = {p: x for p, x in expected.items() if x / (norm[p[0]] * norm[p[1]]) >= 0.5}
+    assert {(r.a, r.b): r.dot for r in found.collect()} == expected
