@@ -311,8 +311,8 @@ def test_pairs_of_light_features_are_no_rows(spark, monkeypatch, kind):
     from basketry.operators import similarity as S
 
     data = vectors(9, entities=120, features=60, hot=0)
-    rows = [(e, f"f{f}" if kind == "string" else f, float(w), float(dot(own, own)), 0.0) for e, own in data.items() for f, w in own.items()]
-    df = spark.createDataFrame(rows, f"entity int, feature {kind}, weight double, n double, h double")
+    rows = [(e, f"f{f}" if kind == "string" else f, float(w), float(dot(own, own)), 0.0, None) for e, own in data.items() for f, w in own.items()]
+    df = spark.createDataFrame(rows, f"entity int, feature {kind}, weight double, n double, h double, size long")
     monkeypatch.setattr(S, "_PAIRS_A_TASK", 100)
     found = S._summed(df, 1000, S._able(0.5))
     assert found.schema["a"].dataType.simpleString() == "int"
@@ -320,3 +320,18 @@ def test_pairs_of_light_features_are_no_rows(spark, monkeypatch, kind):
     expected = {(a, b): dot(data[a], data[b]) for a, b in itertools.combinations(sorted(data), 2)}
     expected = {p: x for p, x in expected.items() if x / (norm[p[0]] * norm[p[1]]) >= 0.5}
     assert {(r.a, r.b): r.dot for r in found.collect()} == expected
+
+
+def test_pairs_of_one_heavy_feature_are_no_rows_before_the_threshold(spark, monkeypatch):
+    """A feature that all have gives only those pairs that reach the threshold, complete in the blocks that form them."""
+    from basketry.operators import similarity as S
+
+    rng = np.random.default_rng(4)
+    data = {e: {0: int(rng.integers(1, 5)), **{int(f): int(rng.integers(1, 4)) for f in rng.choice(range(1, 300), 6, replace=False)}} for e in range(200)}
+    monkeypatch.setattr(S, "_PAIRS_A_TASK", 1000)
+    monkeypatch.setattr(S, "_finish", None)
+    norm = {e: math.sqrt(dot(v, v)) for e, v in data.items()}
+    expected = {(a, b): dot(data[a], data[b]) for a, b in itertools.combinations(sorted(data), 2)}
+    expected = {p: x for p, x in expected.items() if round(x / (norm[p[0]] * norm[p[1]]), 6) >= 0.4}
+    found = shared_pairs(triples(spark, data), min_cosine=0.4, limit=50).collect()
+    assert {(r.a, r.b): r.dot for r in found} == expected
