@@ -335,3 +335,16 @@ def test_pairs_of_one_heavy_feature_are_no_rows_before_the_threshold(spark, monk
     expected = {p: x for p, x in expected.items() if round(x / (norm[p[0]] * norm[p[1]]), 6) >= 0.4}
     found = shared_pairs(triples(spark, data), min_cosine=0.4, limit=50).collect()
     assert {(r.a, r.b): r.dot for r in found} == expected
+
+
+def test_factorisations_have_more_blocks_for_more_ratings(spark, monkeypatch):
+    rows = [(c, p, 1) for c in range(20) for p in range(30) if (c * 7 + p) % 3]
+    matrix = spark.createDataFrame(rows, "CustomerKey int, ProductKey int, orders long")
+    asked = []
+    fit = RC.ALS.fit
+    monkeypatch.setattr(RC.ALS, "fit", lambda als, df: asked.append((als.getNumUserBlocks(), als.getNumItemBlocks())) or fit(als, df))
+    few = {(r.CustomerKey, r["rank"]) for r in RC.als_recommend(matrix, n=2).collect()}
+    monkeypatch.setattr(RC, "_RATINGS", 20)
+    many = {(r.CustomerKey, r["rank"]) for r in RC.als_recommend(matrix, n=2).collect()}
+    assert asked[0] == (10, 10) and asked[1][0] == asked[1][1] == len(rows) // 20
+    assert few == many == {(c, k) for c in range(20) for k in (1, 2)}
